@@ -7,7 +7,7 @@ campaign, so NULL keys occur. An event lands up to 59 minutes after it happened.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.functions.days import Day, as_day, shift
@@ -29,55 +29,62 @@ TYPE_OF = {
     "error": WALL_IMPRESSION,
 }
 
+# The columns used, declared: no job has to open the files to learn their schema.
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING"
+CUSTOMERS = "c_custkey BIGINT, c_mktsegment STRING"
 
-def _event_type() -> Column:
-    mapped = F.lit(None).cast("string")
-    for source, target in TYPE_OF.items():
-        mapped = F.when(F.col("event_type") == source, F.lit(target)).otherwise(mapped)
-    return mapped
+DERIVED = (
+    "event_id",
+    "user_id",
+    "concat('w', user_id % 2) AS WALL_ID",
+    "'g0' AS WALLGROUP_ID",
+    "concat('c', nullif(CAST(get_json_object(props, '$.k') AS INT) % 3, 0)) AS CAMPAIGN_ID",
+    "CASE event_type "
+    + " ".join(f"WHEN '{source}' THEN '{target}'" for source, target in TYPE_OF.items())
+    + " END AS EVENT_TYPE",
+    "date_format(ts, 'dd') AS DAY",
+    "concat(translate(CAST(ts AS STRING), ' ', 'T'), 'Z') AS ISOTIMESTAMP",
+    "CAST(ts AS DATE) AS event_date",
+    "ts + make_dt_interval(0, 0, CAST(event_id % 60 AS INT)) AS landed",
+)
 
 
 def table_events(
     spark: SparkSession,
     sf_dir: str,
-    types: tuple[str, ...] | None = None,
+    types: tuple[str, ...] = tuple(TYPE_OF.values()),
     first: Day | None = None,
     last: Day | None = None,
 ) -> DataFrame:
     """Typed events, with the time text, the landing date and hour and the event id.
 
     Types and days are selected on the table's own columns, where the selection reaches
-    the Parquet scan. The customer side is left to the optimizer: it is broadcast only
-    while its size stays below the session's threshold; beyond it the join shuffles, and
-    adaptive execution splits the partitions of a hot user.
+    the Parquet scan. Everything is derived before the join, so that a join too large to
+    broadcast shuffles the short keys and not the payload. Whether the customers are
+    broadcast is left to the optimizer and its size threshold; beyond that, adaptive
+    execution splits the partitions of a hot user.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    if types is not None:
-        wanted = [source for source, target in TYPE_OF.items() if target in types]
-        events = events.where(F.col("event_type").isin(*wanted))
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    sources = [source for source, target in TYPE_OF.items() if target in types]
+    if len(sources) < len(TYPE_OF):
+        events = events.where(F.col("event_type").isin(sources))
     if first is not None:
-        events = events.where(F.col("ts") >= F.lit(as_day(first)).cast("timestamp_ntz"))
+        events = events.where(f"ts >= TIMESTAMP_NTZ '{as_day(first)}'")
     if last is not None:
-        events = events.where(F.col("ts") < F.lit(shift(last, 1)).cast("timestamp_ntz"))
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("BRAND")
+        events = events.where(f"ts < TIMESTAMP_NTZ '{shift(last, 1)}'")
+    customers = (
+        spark.read.schema(CUSTOMERS)
+        .parquet(f"{sf_dir}/customer.parquet")
+        .selectExpr("c_custkey AS user_id", "c_mktsegment AS BRAND")
     )
-    campaign = F.get_json_object("props", "$.k").cast("int") % 3
-    landed = F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 60).cast("int"))
-    return events.join(customers, "user_id", "left").select(
-        "BRAND",
-        F.concat(F.lit("w"), F.col("user_id") % 2).alias("WALL_ID"),
-        F.lit("g0").alias("WALLGROUP_ID"),
-        F.when(campaign != 0, F.concat(F.lit("c"), campaign)).alias("CAMPAIGN_ID"),
-        _event_type().alias("EVENT_TYPE"),
-        F.date_format("ts", "dd").alias("DAY"),
-        F.concat(F.translate(F.col("ts").cast("string"), " ", "T"), F.lit("Z")).alias(
-            "ISOTIMESTAMP"
-        ),
-        F.col("ts").cast("date").alias("event_date"),
-        landed.cast("date").alias("landing_date"),
-        F.lpad(F.hour(landed).cast("string"), 2, "0").alias("landing_hour"),
-        "event_id",
+    return (
+        events.selectExpr(*DERIVED)
+        .join(customers, "user_id", "left")
+        .selectExpr(
+            "* EXCEPT (user_id, landed)",
+            "CAST(landed AS DATE) AS landing_date",
+            "lpad(CAST(hour(landed) AS STRING), 2, '0') AS landing_hour",
+        )
     )
 
 

@@ -19,17 +19,16 @@ from adpulse.sinks.files import numbered_dirs, remove
 LOG, SNAPSHOTS = "log", "snapshots"
 
 
-def batch_writer(path: str, files: int | None = None) -> Callable[[DataFrame, int], None]:
+def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that logs each batch below ``path``.
 
-    Rows are already one per group, so ``files`` may spread them evenly over fewer files
-    than there are state partitions without meeting a hot key.
+    Every state partition writes its own rows, without another shuffle; the many small
+    files this leaves are what ``compact`` is for.
     """
 
     def write(changes: DataFrame, batch_id: int) -> None:
-        rows = changes.repartition(files) if files else changes
         (
-            rows.write.mode("overwrite")
+            changes.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("event_date")
             .parquet(f"{path}/{LOG}/batch_id={batch_id}")

@@ -37,13 +37,13 @@ def checkpoint_of(path: str) -> str:
 
 
 def start_upserts(
-    result: DataFrame, path: str, every: str | None = "1 second", files: int | None = None
+    result: DataFrame, path: str, every: str | None = "1 second"
 ) -> StreamingQuery:
     """Update mode into the change log at ``path``. ``every=None`` works off what has
     arrived so far and ends."""
     return (
         result.writeStream.outputMode("update")
-        .foreachBatch(batch_writer(path, files))
+        .foreachBatch(batch_writer(path))
         .option("checkpointLocation", checkpoint_of(path))
         .trigger(**_trigger(every))
         .start()
