@@ -6,12 +6,12 @@ rows and one job cannot wipe another day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from adpulse.functions.days import Day, as_day, days_between
-from adpulse.sinks.files import remove
+from adpulse.sinks.files import a_file_of_each, exists, remove
 
 
 def overwrite_days(
@@ -25,17 +25,18 @@ def overwrite_days(
     """Replace the given days of a Parquet table with those days of ``rows``.
 
     Dynamic partition overwrite stages the new files and swaps them in at commit, so a
-    failed job leaves the old day in place. It does not touch a day that got no rows;
-    the row counts observed during the write tell which days those are, and what they
-    held before is removed.
+    failed job leaves the old day in place. It does not touch a partition that got no
+    rows. Such a partition still has the file it had before, and is then removed.
 
     ``rebalance`` lets adaptive execution give each day files of a sensible size: small
     days share a task, a large one is split over several.
     """
+    spark = rows.sparkSession
     wanted = [as_day(day) for day in days]
-    per_day = [F.count_if(F.col(by) == F.lit(day)).alias(day.isoformat()) for day in wanted]
-    seen = Observation()
-    chosen = rows.where(F.col(by).isin(wanted)).observe(seen, *per_day)
+    before: dict[str, str] = {}
+    for day in wanted:
+        before.update(a_file_of_each(spark, f"{path.rstrip('/')}/{by}={day.isoformat()}"))
+    chosen = rows.where(F.col(by).isin(wanted))
     if rebalance:
         chosen = chosen.hint("rebalance", by, *then_by)
     (
@@ -44,10 +45,9 @@ def overwrite_days(
         .partitionBy(by, *then_by)
         .parquet(path)
     )
-    written = seen.get
-    for day in wanted:
-        if not written[day.isoformat()]:
-            remove(rows.sparkSession, f"{path.rstrip('/')}/{by}={day.isoformat()}")
+    for partition, file in before.items():
+        if exists(spark, file):
+            remove(spark, partition)
 
 
 def overwrite_day(rows: DataFrame, path: str, day: Day) -> None:

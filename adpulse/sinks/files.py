@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
@@ -10,6 +12,22 @@ def _locate(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def _entries(spark: SparkSession, path: str) -> Iterator:
+    """What lies in a directory, hidden names left out; nothing when it is not there."""
+    files, target = _locate(spark, path)
+    if files.exists(target):
+        listing = files.listStatusIterator(target)
+        while listing.hasNext():
+            entry = listing.next()
+            if entry.getPath().getName()[0] not in "._":
+                yield entry
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _locate(spark, path)
+    return files.exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a directory if it is there."""
     files, target = _locate(spark, path)
@@ -18,8 +36,18 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def numbered_dirs(spark: SparkSession, path: str, name: str) -> list[int]:
     """The numbers N for which a directory ``name=N`` exists, in order."""
-    files, target = _locate(spark, path)
-    if not files.exists(target):
-        return []
-    entries = [status.getPath().getName() for status in files.listStatus(target)]
+    entries = [entry.getPath().getName() for entry in _entries(spark, path)]
     return sorted(int(entry.split("=")[1]) for entry in entries if entry.startswith(f"{name}="))
+
+
+def a_file_of_each(spark: SparkSession, path: str) -> dict[str, str]:
+    """One file of every directory at or below ``path`` that holds files."""
+    found: dict[str, str] = {}
+    for entry in _entries(spark, path):
+        below = entry.getPath().toString()
+        if entry.isDirectory():
+            found.update(a_file_of_each(spark, below))
+        else:
+            found[path] = below
+            break
+    return found

@@ -59,7 +59,7 @@ def landing_dirs(day: Day, grace_hours: int = GRACE_HOURS, layout: Layout = PLAI
         raise ValueError("grace_hours must be between 0 and 24")
     before = [layout.hour_dir(shift(day, -1), h) for h in range(24 - grace_hours, 24)]
     after = [layout.hour_dir(shift(day, 1), h) for h in range(grace_hours)]
-    return [*before, f"{layout.day_dir(day)}/*", *after]
+    return [*before, layout.day_dir(day), *after]
 
 
 def read_json(
@@ -69,12 +69,14 @@ def read_json(
 
     Inference would scan the input once more and make the columns depend on which files
     are there. A line that is not JSON becomes a row of NULLs; with ``keep_malformed``
-    its text is kept in ``_corrupt_record``.
+    its text is kept in ``_corrupt_record``. Directories are read with all below them,
+    so one path stands for all hours of a day and listing stays cheap.
     """
     schema = EVENT_SCHEMA
     if keep_malformed:
         schema = StructType([*EVENT_SCHEMA, StructField(CORRUPT, StringType())])
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    return reader.option("recursiveFileLookup", "true").json(paths)
 
 
 def read_landing(
@@ -102,7 +104,7 @@ def read_landing_hours(
     spark: SparkSession, base: str, days: list[Day], layout: Layout = PLAIN
 ) -> DataFrame:
     """Whole landing days, each row with the date and hour of its directory."""
-    paths = [f"{base.rstrip('/')}/{layout.day_dir(day)}/*" for day in days]
+    paths = [f"{base.rstrip('/')}/{layout.day_dir(day)}" for day in days]
     part = [
         F.regexp_extract(F.col("_metadata.file_path"), layout.pattern, n).alias(str(n))
         for n in range(1, 5)

@@ -1,0 +1,165 @@
+"""Landing directories, the schema contract and the landing table."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from adpulse.functions.event_time import with_event_time
+from adpulse.model import EVENT_SCHEMA, WALL_IMPRESSION
+from adpulse.operators.counts import event_counts, event_time_quality
+from adpulse.plans.daily import day_events
+from adpulse.sources.landing import (
+    CORRUPT,
+    PARTITIONED,
+    PLAIN,
+    landing_dirs,
+    read_json,
+    read_landing,
+    read_landing_hours,
+    read_landing_table,
+    store_landing,
+)
+from tests.events import event, many, rows, write_lines
+
+A = ("a", "w", "g", "c")
+DAY = "2021-06-30"
+
+
+def wall(time, **kwargs):
+    return event(A, WALL_IMPRESSION, time, **kwargs)
+
+
+@pytest.fixture
+def base(tmp_path):
+    """Files around one day: who landed where, and when the events happened."""
+    files = {
+        "2021/06/29/22/f.json": [wall("2021-06-30T00:10:00Z")],  # too early by hours
+        "2021/06/29/23/f.json": [wall("2021-06-30T00:05:00Z"), wall("2021-06-29T23:30:00Z")],
+        "2021/06/30/00/f.json": [wall("2021-06-29T23:59:00Z"), wall("2021-06-30T00:01:00Z")],
+        "2021/06/30/13/f.json": [wall("2021-06-30T13:00:00Z")],
+        "2021/06/30/13/g.json": [wall("2021-06-30T13:30:00Z")],
+        "2021/07/01/00/f.json": [wall("2021-06-30T23:58:00Z"), wall("2021-07-01T00:10:00Z")],
+        "2021/07/01/01/f.json": [wall("2021-06-30T23:59:00Z")],  # too late
+    }
+    for name, events in files.items():
+        write_lines(tmp_path / "in" / name, events)
+    return f"{tmp_path}/in"
+
+
+def test_directories_of_a_day():
+    assert landing_dirs("2021-07-01") == ["2021/06/30/23", "2021/07/01", "2021/07/02/00"]
+    assert landing_dirs("2021-07-01", 0) == ["2021/07/01"]
+    assert landing_dirs("2020-03-01", 2) == [
+        "2020/02/29/22",
+        "2020/02/29/23",
+        "2020/03/01",
+        "2020/03/02/00",
+        "2020/03/02/01",
+    ]
+    assert landing_dirs("2021-07-01", layout=PARTITIONED)[0] == (
+        "landing_date=2021-06-30/landing_hour=23"
+    )
+    with pytest.raises(ValueError):
+        landing_dirs("2021-07-01", 25)
+
+
+def test_reads_the_day_and_its_grace_hours(spark, base):
+    assert read_landing(spark, base, DAY).count() == 8
+    assert day_events(spark, base, DAY).count() == 5
+    assert day_events(spark, base, DAY, grace_hours=0).count() == 3
+    assert day_events(spark, base, DAY, grace_hours=2).count() == 7
+
+
+def test_columns_are_the_agreed_ones(spark, base):
+    assert read_landing(spark, base, DAY).columns == [*EVENT_SCHEMA.names, "event_ts", "event_date"]
+
+
+def test_each_day_is_read_around_itself(spark, base, tmp_path):
+    """The day before has hours of its own; it is not what the later day's read saw."""
+    write_lines(tmp_path / "in/2021/06/28/23/f.json", [wall("2021-06-29T00:00:00Z")])
+    write_lines(tmp_path / "in/2021/06/29/10/f.json", many(7, A, WALL_IMPRESSION, "2021-06-29T10:00:00Z"))
+    counted = event_counts(day_events(spark, base, "2021-06-29"), WALL_IMPRESSION)
+    assert rows(counted, "event_date", "impressions") == [(dt.date(2021, 6, 29), 10)]
+
+
+def test_missing_directory_fails_unless_allowed(spark, base):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_landing(spark, base, "2021-07-01")
+    assert day_events(spark, base, "2021-07-01", allow_missing=True).count() == 1
+    # Another day's neighbours are still read; nothing at all is still an error.
+    assert day_events(spark, base, DAY, allow_missing=True).count() == 5
+    with pytest.raises(AnalysisException):
+        read_landing(spark, base, "2022-01-01", allow_missing=True)
+
+
+def test_by_label_follows_the_day_text(spark, tmp_path):
+    write_lines(
+        tmp_path / "2021/06/30/10/f.json",
+        [wall("2021-06-30T10:00:00Z"), wall("bad", day="30"), wall("2021-06-30T10:00:00Z", day="29")],
+    )
+    read = {"allow_missing": True}
+    assert day_events(spark, str(tmp_path), DAY, **read).count() == 2
+    labelled = day_events(spark, str(tmp_path), DAY, by_label=True, **read)
+    assert rows(event_counts(labelled, WALL_IMPRESSION), "event_date", "impressions") == [
+        (dt.date(2021, 6, 30), 2)
+    ]
+
+
+def test_schema_contract(spark, tmp_path):
+    """A column that first appears in the second record, numbers where text is meant, an
+    unknown field and a line that is not JSON."""
+    write_lines(
+        tmp_path / "f.json",
+        [
+            {"BRAND": "a", "DAY": 30, "ISOTIMESTAMP": "2021-06-30T10:00:00Z"},
+            {"BRAND": "b", "WALL_ID": 12, "OTHER": {"x": 1}},
+            '{"BRAND": "c"',
+        ],
+    )
+    df = read_json(spark, str(tmp_path), keep_malformed=True)
+    assert rows(df, "BRAND", "WALL_ID", "DAY", CORRUPT) == sorted(
+        [("a", None, "30", None), ("b", "12", None, None), (None, None, None, '{"BRAND": "c"')],
+        key=repr,
+    )
+    quality = event_time_quality(with_event_time(read_json(spark, str(tmp_path))))
+    assert sum(r.events for r in quality.collect()) == 3
+
+
+def test_rows_know_their_landing_hour(spark, base):
+    df = read_landing_hours(spark, base, ["2021-06-29", DAY])
+    found = rows(df.groupBy("landing_date", "landing_hour").count())
+    assert found == sorted(
+        [
+            (dt.date(2021, 6, 29), 22, 1),
+            (dt.date(2021, 6, 29), 23, 2),
+            (dt.date(2021, 6, 30), 0, 2),
+            (dt.date(2021, 6, 30), 13, 2),
+        ],
+        key=repr,
+    )
+
+
+def test_landing_table_agrees_with_the_files_and_can_be_stored_again(spark, base, tmp_path):
+    table = f"{tmp_path}/table"
+    days = ["2021-06-29", DAY, "2021-07-01"]
+    for _ in range(2):
+        store_landing(spark, base, table, days, PLAIN)
+        stored = read_landing_table(spark, table, DAY)
+        expected = rows(read_landing(spark, base, DAY), *EVENT_SCHEMA.names, "event_date")
+        assert rows(stored, *EVENT_SCHEMA.names, "event_date") == expected
+    write_lines(tmp_path / "in/2021/06/30/14/f.json", [wall("2021-06-30T14:00:00Z")])
+    store_landing(spark, base, table, [DAY], PLAIN)
+    assert read_landing_table(spark, table, DAY).count() == 9
+    assert read_landing_table(spark, table, "2021-06-29", 0).count() == 3
+
+
+def test_an_hour_that_became_empty_leaves_the_landing_table(spark, tmp_path):
+    first = tmp_path / "in/2021/06/30/10/f.json"
+    write_lines(first, [wall("2021-06-30T10:00:00Z")])
+    write_lines(tmp_path / "in/2021/06/30/11/f.json", [wall("2021-06-30T11:00:00Z")])
+    table = f"{tmp_path}/table"
+    store_landing(spark, f"{tmp_path}/in", table, [DAY])
+    first.write_text("")
+    store_landing(spark, f"{tmp_path}/in", table, [DAY])
+    assert rows(read_landing_table(spark, table, DAY), "landing_hour") == [(11,)]
