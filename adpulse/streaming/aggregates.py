@@ -56,8 +56,10 @@ def daily_rate(events: DataFrame, pair: Pair, lateness: str | None = LATENESS) -
 def joined_daily_rate(events: DataFrame, pair: Pair, lateness: str = LATENESS) -> DataFrame:
     """The rate as a full join of two streaming counts, for append mode.
 
-    Each finished day is emitted once. The join leaves NULL-key groups in two halves;
-    they are summed again by the reader (``rate_by_join`` does it for batches).
+    Each finished day is emitted once, as counts; the reader computes the rate with
+    ``operators.rates.regroup``. That also sums the halves of a group with a NULL key,
+    whether or not the join has paired them. ``daily_rate`` needs less state and also
+    shows the days still running.
     """
     watermarked = _watermarked(of_type(events, *pair.types), lateness)
     impressions, clicks = (
