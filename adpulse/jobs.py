@@ -32,7 +32,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{argument}", required=True)
         return sub
 
-    for name in ("daily-count", "daily-rate"):
+    for name in ("daily-count", "daily-rate", "daily-all"):
         sub = job(name, "source", "day")
         sub.add_argument("--grace-hours", type=int, default=GRACE_HOURS)
         sub.add_argument("--layout", choices=LAYOUTS, default="plain")
@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--lateness", default=LATENESS, help="or 'none' to count all late events")
         sub.add_argument("--every", default="1 second", help="or 'once' to end when caught up")
         sub.add_argument("--wait-seconds", type=int, help="give up after this long")
+        sub.add_argument("--day", help="only events whose DAY names this day")
     jobs.choices["stream-count"].add_argument(
         "--final", action="store_true", help="write each day once, when it is over"
     )
@@ -62,7 +63,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     types = tuple(getattr(args, "type", None) or (WALL_IMPRESSION,))
 
-    if args.job in ("daily-count", "daily-rate"):
+    if args.job in ("daily-count", "daily-rate", "daily-all"):
         read = {
             "grace_hours": args.grace_hours,
             "layout": LAYOUTS[args.layout],
@@ -72,8 +73,10 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         where = (spark, args.source, args.target, args.day)
         if args.job == "daily-count":
             daily.write_daily_counts(*where, *types, **read)
-        else:
+        elif args.job == "daily-rate":
             daily.write_daily_rate(*where, PAIRS[args.family], **read)
+        else:
+            daily.write_day(*where, **read)
     elif args.job == "count-change":
         insights.write_count_change(spark, args.source, args.target, args.day)
     elif args.job == "rate-change":
@@ -94,10 +97,11 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
                 lateness=lateness,
                 every=every,
                 final=args.final,
+                day=args.day,
             )
         else:
             query = streams.stream_daily_rate(
-                spark, args.source, args.target, PAIRS[args.family], lateness, every
+                spark, args.source, args.target, PAIRS[args.family], lateness, every, args.day
             )
         wait(query, args.wait_seconds)
 

@@ -37,6 +37,8 @@ class Pair:
 PRODUCT = Pair(PRODUCT_IMPRESSION, PRODUCT_CLICK)
 POST = Pair(POST_IMPRESSION, POST_CLICK)
 
+ALL_TYPES = (WALL_IMPRESSION, *PRODUCT.types, *POST.types)
+
 # Events may land an hour before or after the day they belong to. The batch reads
 # that many extra landing hours on each side, the streams wait that long.
 GRACE_HOURS = 1

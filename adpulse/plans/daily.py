@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.functions.days import Day, as_day
-from adpulse.model import GRACE_HOURS, Pair
+from adpulse.model import ALL_TYPES, GRACE_HOURS, POST, PRODUCT, Pair
 from adpulse.operators.counts import event_counts
-from adpulse.operators.rates import rate
+from adpulse.operators.rates import rate, rate_from_counts
 from adpulse.operators.selection import on_day_label, on_days
-from adpulse.sinks.daily import overwrite_day
+from adpulse.plans.tables import COUNT_TABLE
+from adpulse.sinks.daily import collection, overwrite_day, read_days
 from adpulse.sources.landing import PLAIN, Layout, read_landing
 
 
@@ -44,3 +45,16 @@ def write_daily_rate(
     spark: SparkSession, base: str, target: str, day: Day, pair: Pair, **read
 ) -> None:
     overwrite_day(rate(day_events(spark, base, day, **read), pair), target, day)
+
+
+def write_day(spark: SparkSession, base: str, root: str, day: Day, **read) -> None:
+    """All daily metrics of one day from a single pass over its landing hours.
+
+    Counts of every type go to ``<root>/daily/counts``; both rates are computed from
+    those and go to ``<root>/daily/product_rate`` and ``<root>/daily/post_rate``.
+    """
+    counts = collection(root, "daily", "counts")
+    write_daily_counts(spark, base, counts, day, *ALL_TYPES, **read)
+    stored = read_days(spark, counts, COUNT_TABLE, day, day)
+    for name, pair in (("product_rate", PRODUCT), ("post_rate", POST)):
+        overwrite_day(rate_from_counts(stored, pair), collection(root, "daily", name), day)

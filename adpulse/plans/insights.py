@@ -6,42 +6,12 @@ They start from what the daily jobs stored, so the events are not scanned again.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import (
-    DateType,
-    DoubleType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
 
 from adpulse.functions.days import Day, shift
-from adpulse.model import KEYS
 from adpulse.operators.changes import compare_counts, compare_rates
-from adpulse.operators.rates import RATE
+from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
 from adpulse.sinks.daily import overwrite_day, read_days
 
-_KEY_FIELDS = [StructField(key, StringType()) for key in KEYS]
-_DATE_FIELD = StructField("event_date", DateType())
-
-COUNT_TABLE = StructType(
-    [
-        *_KEY_FIELDS,
-        StructField("EVENT_TYPE", StringType()),
-        StructField("impressions", LongType()),
-        _DATE_FIELD,
-    ]
-)
-RATE_TABLE = StructType(
-    [
-        *_KEY_FIELDS,
-        StructField("impressions", LongType()),
-        StructField("clicks", LongType()),
-        StructField(RATE, DoubleType()),
-        _DATE_FIELD,
-    ]
-)
-
 
 def write_rate_change(spark: SparkSession, rates: str, target: str, day: Day) -> None:
     stored = read_days(spark, rates, RATE_TABLE, shift(day, -1), day)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from adpulse.functions.days import Day
 from adpulse.model import KEYS, LATENESS, Pair
-from adpulse.sources.streams import stream_events
+from adpulse.operators.selection import on_day_label
+from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming.aggregates import daily_counts, daily_rate
 from adpulse.streaming.changelog import latest, read_changes
 from adpulse.streaming.runs import start_finals, start_upserts
@@ -15,6 +17,11 @@ RATE_KEY = ("event_date", *KEYS)
 COUNT_KEY = (*RATE_KEY, "EVENT_TYPE")
 
 
+def _arrivals(spark: SparkSession, source: str, day: Day | None) -> DataFrame:
+    events = count_arrivals(stream_events(spark, source))
+    return events if day is None else on_day_label(events, day)
+
+
 def stream_daily_counts(
     spark: SparkSession,
     source: str,
@@ -23,9 +30,11 @@ def stream_daily_counts(
     lateness: str | None = LATENESS,
     every: str | None = "1 second",
     final: bool = False,
+    day: Day | None = None,
 ) -> StreamingQuery:
-    """Running counts as upserts, or each day once when ``final``."""
-    counts = daily_counts(stream_events(spark, source), *types, lateness=lateness)
+    """Running counts as upserts, or each day once when ``final``. With ``day``, only of
+    events whose ``DAY`` text names it."""
+    counts = daily_counts(_arrivals(spark, source, day), *types, lateness=lateness)
     start = start_finals if final else start_upserts
     return start(counts, target, every)
 
@@ -37,8 +46,10 @@ def stream_daily_rate(
     pair: Pair,
     lateness: str | None = LATENESS,
     every: str | None = "1 second",
+    day: Day | None = None,
 ) -> StreamingQuery:
-    return start_upserts(daily_rate(stream_events(spark, source), pair, lateness), target, every)
+    result = daily_rate(_arrivals(spark, source, day), pair, lateness)
+    return start_upserts(result, target, every)
 
 
 def current(spark: SparkSession, target: str, stream: DataFrame, key: tuple[str, ...]) -> DataFrame:

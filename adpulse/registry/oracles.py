@@ -197,6 +197,8 @@ FROM ev WHERE EVENT_TYPE = '{WALL}' GROUP BY ALL""",
     "rate_post_join": _one_pass_rate("post"),
     "rate_product_sql": f"""
 SELECT {K}, event_date, impressions_per_click FROM ({_one_pass_rate("product")})""",
+    "rate_product_from_counts": _rate("product"),
+    "rate_post_from_counts": _rate("post"),
     "dod_rate_product": _rate_change("product"),
     "dod_rate_post": _rate_change("post"),
     "dod_rate_product_days": _rate_changes("product"),

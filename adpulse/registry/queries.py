@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from adpulse.functions.days import as_day, days_between, shift
 from adpulse.functions.event_time import with_event_time
 from adpulse.model import (
+    ALL_TYPES,
     EVENT_SCHEMA,
     GRACE_HOURS,
     KEYS,
@@ -24,12 +25,9 @@ from adpulse.model import (
     Pair,
 )
 from adpulse.operators import changes, counts, rates, selection, unions
-from adpulse.plans.insights import (
-    COUNT_TABLE,
-    write_count_change,
-    write_rate_change,
-)
+from adpulse.plans.insights import write_count_change, write_rate_change
 from adpulse.plans.streams import COUNT_KEY, RATE_KEY
+from adpulse.plans.tables import COUNT_TABLE
 from adpulse.registry.dates import DAY, FIRST, GRACE_DAY, LAST, SPLIT
 from adpulse.scratch import scratch_dir
 from adpulse.sinks import daily as sink
@@ -184,6 +182,14 @@ def rate_product_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.rate_by_sql(spark, joined)
 
 
+def _rate_from_counts(pair: Pair) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        all_counts = counts.event_counts(table_events(spark, sf_dir), *ALL_TYPES)
+        return rates.rate_from_counts(all_counts, pair)
+
+    return query
+
+
 def count_pairs_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.join_counts(*_count_sides(spark, sf_dir, PRODUCT))
 
@@ -466,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "rate_product_join": _rate_join(PRODUCT),
     "rate_post_join": _rate_join(POST),
     "rate_product_sql": rate_product_sql,
+    "rate_product_from_counts": _rate_from_counts(PRODUCT),
+    "rate_post_from_counts": _rate_from_counts(POST),
     "dod_rate_product": _rate_change(PRODUCT),
     "dod_rate_post": _rate_change(POST),
     "dod_rate_product_days": _rate_changes(PRODUCT),

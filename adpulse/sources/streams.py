@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adpulse.functions.event_time import with_event_time
 from adpulse.model import EVENT_SCHEMA
@@ -22,3 +23,17 @@ def stream_events(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     columns = EVENT_SCHEMA.fieldNames()
     return with_event_time(reader.options(**options).json(path).select(*columns))
+
+
+def count_arrivals(events: DataFrame, name: str = "arrivals") -> DataFrame:
+    """Report each micro-batch's rows, and those without a usable time, in the query's
+    progress under ``observedMetrics``.
+
+    Counted before any aggregation. The state operator's own counter of rows dropped as
+    late counts partial groups, not events.
+    """
+    return events.observe(
+        name,
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("event_ts").isNull()).alias("without_time"),
+    )

@@ -13,8 +13,8 @@ from adpulse.model import (
     PRODUCT_IMPRESSION,
     WALL_IMPRESSION,
 )
-from adpulse.plans.insights import COUNT_TABLE, RATE_TABLE
 from adpulse.plans.streams import COUNT_KEY, RATE_KEY, current
+from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
 from adpulse.sinks.daily import read_days
 from adpulse.sources.landing import read_landing_table
 from adpulse.sources.streams import stream_events
@@ -66,6 +66,17 @@ def test_daily_jobs_and_insights(spark, landed):
     assert found == [100 * 4 / 6, 50.0]
 
 
+def test_one_pass_over_the_day_gives_the_same_tables(spark, landed):
+    common = ["--source", f"{landed}/in", "--day", "2021-06-30"]
+    run(spark, ["daily-all", *common, "--target", f"{landed}/all"])
+    for family in ("product", "post"):
+        run(spark, ["daily-rate", "--family", family, *common, "--target", f"{landed}/{family}"])
+        one_pass = read_days(spark, f"{landed}/all/daily/{family}_rate", RATE_TABLE)
+        assert rows(one_pass) == rows(read_days(spark, f"{landed}/{family}", RATE_TABLE))
+    counts = read_days(spark, f"{landed}/all/daily/counts", COUNT_TABLE)
+    assert counts.count() == 5
+
+
 def test_daily_count_options(spark, landed):
     target = f"{landed}/out"
     run(
@@ -104,6 +115,19 @@ def test_streams(spark, landed):
     assert rows(newest, "event_date", "impressions_per_click") == [(D30, 6.0)]
 
 
+def test_stream_of_one_day_label(spark, landed):
+    common = ["--source", f"{landed}/in/2021/*/*/*", "--every", "once", "--wait-seconds", "120"]
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    try:
+        run(spark, ["stream-count", *common, "--day", "2021-06-29", "--target", f"{landed}/c"])
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    counts = daily_counts(stream_events(spark, f"{landed}/in/2021/*/*/*"), WALL_IMPRESSION)
+    newest = current(spark, f"{landed}/c", counts, COUNT_KEY)
+    assert rows(newest, "event_date", "impressions") == [(D29, 6)]
+
+
 def test_bad_arguments(spark):
     for arguments in (["daily-rate"], ["nonsense"], ["daily-rate", "--family", "wall"]):
         with pytest.raises(SystemExit):

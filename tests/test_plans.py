@@ -12,8 +12,8 @@ from adpulse.operators.changes import compare_rates
 from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import rate
 from adpulse.operators.selection import of_type, on_days
-from adpulse.plans.insights import RATE_TABLE
 from adpulse.plans.streams import COUNT_KEY
+from adpulse.plans.tables import RATE_TABLE
 from adpulse.registry.queries import QUERIES
 from adpulse.sinks.daily import overwrite_range, read_days
 from adpulse.sources.landing import read_json, read_landing_table

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from adpulse.model import PRODUCT, PRODUCT_CLICK, PRODUCT_IMPRESSION, WALL_IMPRESSION
 from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import rate
-from adpulse.plans.insights import COUNT_TABLE, RATE_TABLE, write_count_change, write_rate_change
+from adpulse.plans.insights import write_count_change, write_rate_change
+from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
 from adpulse.sinks.daily import (
     append,
     collection,

@@ -15,7 +15,7 @@ from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import RATE, rate, regroup
 from adpulse.plans.streams import COUNT_KEY, RATE_KEY, current, stream_daily_counts
 from adpulse.sinks.files import numbered_dirs
-from adpulse.sources.streams import stream_events
+from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming import changelog
 from adpulse.streaming.aggregates import daily_counts, daily_rate, joined_daily_rate
 from adpulse.streaming.runs import STATE_STORE, start_finals, start_upserts, use_rocksdb, wait
@@ -268,6 +268,16 @@ def test_malformed_lines_and_times_do_not_stop_the_stream(spark, tmp_path):
     assert updates(spark, out, counts) == [(0, D29, 1)]
 
 
+def test_arrivals_are_counted_before_late_ones_are_dropped(spark, drops, tmp_path):
+    drop(drops, 9, [event(A, WALL_IMPRESSION, "bad"), event(B, WALL_IMPRESSION, BATCHES[4][0])])
+    arrivals = count_arrivals(source(spark, drops))
+    query = start_upserts(daily_counts(arrivals, WALL_IMPRESSION), f"{tmp_path}/out", None)
+    finish(query)
+    seen = [p["observedMetrics"]["arrivals"] for p in query.recentProgress if p["numInputRows"]]
+    assert [row.events for row in seen] == [2, 3, 1, 5, 1, 2]
+    assert [row.without_time for row in seen] == [0, 0, 0, 0, 0, 1]
+
+
 def test_rocksdb_state(spark, drops, tmp_path):
     before = {name: spark.conf.get(name, None) for name in STATE_STORE}
     use_rocksdb(spark)
