@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 from adpulse.functions.days import as_day, days_between, shift
 from adpulse.functions.event_time import with_event_time
 from adpulse.model import (
-    ALL_TYPES,
     EVENT_SCHEMA,
     GRACE_HOURS,
     KEYS,
@@ -33,7 +32,7 @@ from adpulse.scratch import scratch_dir
 from adpulse.sinks import daily as sink
 from adpulse.sources import landing
 from adpulse.sources.streams import stream_events
-from adpulse.sources.tables import table_events, text_events
+from adpulse.sources.tables import table_counts, table_events, text_events
 from adpulse.streaming import aggregates, changelog, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,8 +183,7 @@ def rate_product_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rate_from_counts(pair: Pair) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        all_counts = counts.event_counts(table_events(spark, sf_dir), *ALL_TYPES)
-        return rates.rate_from_counts(all_counts, pair)
+        return rates.rate_from_counts(table_counts(spark, sf_dir, pair.types), pair)
 
     return query
 

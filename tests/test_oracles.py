@@ -19,6 +19,9 @@ def db():
     return connection
 
 
+SQL_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+
+
 def _sorted_rows(rows):
     return sorted(rows, key=lambda row: tuple((v is not None, str(v)) for v in row))
 
@@ -29,7 +32,9 @@ def test_matches_sql(spark, db, name):
     columns = sorted(frame.columns)
     actual = _sorted_rows(tuple(row) for row in frame.select(*columns).collect())
     relation = db.sql(entry_point.oracle_sql()[name])
-    assert sorted(relation.columns) == columns
+    assert dict(zip(relation.columns, map(str, relation.types))) == {
+        name: SQL_TYPE[kind] for name, kind in frame.dtypes
+    }
     listed = ", ".join(f'"{column}"' for column in columns)
     expected = _sorted_rows(db.sql(f"SELECT {listed} FROM ({relation.sql_query()})").fetchall())
     assert actual, "no rows"
