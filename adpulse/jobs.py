@@ -32,12 +32,17 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{argument}", required=True)
         return sub
 
-    for name in ("daily-count", "daily-rate", "daily-all"):
-        sub = job(name, "source", "day")
+    for name, days in (
+        ("daily-count", ["day"]),
+        ("daily-rate", ["day"]),
+        ("daily-all", ["first", "last"]),
+    ):
+        sub = job(name, "source", *days)
         sub.add_argument("--grace-hours", type=int, default=GRACE_HOURS)
         sub.add_argument("--layout", choices=LAYOUTS, default="plain")
         sub.add_argument("--allow-missing", action="store_true")
-        sub.add_argument("--by-label", action="store_true", help="go by DAY, not by event time")
+        if name != "daily-all":
+            sub.add_argument("--by-label", action="store_true", help="go by DAY, not event time")
     job("count-change", "source", "day")
     job("rate-change", "source", "day")
     sub = job("store-landing", "source", "first", "last")
@@ -63,20 +68,20 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     types = tuple(getattr(args, "type", None) or (WALL_IMPRESSION,))
 
-    if args.job in ("daily-count", "daily-rate", "daily-all"):
+    if args.job.startswith("daily-"):
         read = {
             "grace_hours": args.grace_hours,
             "layout": LAYOUTS[args.layout],
             "allow_missing": args.allow_missing,
-            "by_label": args.by_label,
         }
-        where = (spark, args.source, args.target, args.day)
-        if args.job == "daily-count":
-            daily.write_daily_counts(*where, *types, **read)
-        elif args.job == "daily-rate":
-            daily.write_daily_rate(*where, PAIRS[args.family], **read)
+        where = (spark, args.source, args.target)
+        if args.job == "daily-all":
+            daily.write_days(*where, args.first, args.last, **read)
+        elif args.job == "daily-count":
+            daily.write_daily_counts(*where, args.day, *types, by_label=args.by_label, **read)
         else:
-            daily.write_day(*where, **read)
+            pair = PAIRS[args.family]
+            daily.write_daily_rate(*where, args.day, pair, by_label=args.by_label, **read)
     elif args.job == "count-change":
         insights.write_count_change(spark, args.source, args.target, args.day)
     elif args.job == "rate-change":

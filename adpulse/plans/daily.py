@@ -11,8 +11,8 @@ from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import rate, rate_from_counts
 from adpulse.operators.selection import on_day_label, on_days
 from adpulse.plans.tables import COUNT_TABLE
-from adpulse.sinks.daily import collection, overwrite_day, read_days
-from adpulse.sources.landing import PLAIN, Layout, read_landing
+from adpulse.sinks.daily import collection, overwrite_day, overwrite_range, read_days
+from adpulse.sources.landing import PLAIN, Layout, read_landing, read_landing_days
 
 
 def day_events(
@@ -47,14 +47,18 @@ def write_daily_rate(
     overwrite_day(rate(day_events(spark, base, day, **read), pair), target, day)
 
 
-def write_day(spark: SparkSession, base: str, root: str, day: Day, **read) -> None:
-    """All daily metrics of one day from a single pass over its landing hours.
+def write_days(
+    spark: SparkSession, base: str, root: str, first: Day, last: Day, **read
+) -> None:
+    """All daily metrics of the days first..last from a single pass over their landing hours.
 
     Counts of every type go to ``<root>/daily/counts``; both rates are computed from
     those and go to ``<root>/daily/product_rate`` and ``<root>/daily/post_rate``.
     """
-    counts = collection(root, "daily", "counts")
-    write_daily_counts(spark, base, counts, day, *ALL_TYPES, **read)
-    stored = read_days(spark, counts, COUNT_TABLE, day, day)
+    table = collection(root, "daily", "counts")
+    events = read_landing_days(spark, base, first, last, **read)
+    overwrite_range(event_counts(events, *ALL_TYPES), table, first, last)
+    stored = read_days(spark, table, COUNT_TABLE, first, last)
     for name, pair in (("product_rate", PRODUCT), ("post_rate", POST)):
-        overwrite_day(rate_from_counts(stored, pair), collection(root, "daily", name), day)
+        target = collection(root, "daily", name)
+        overwrite_range(rate_from_counts(stored, pair), target, first, last)

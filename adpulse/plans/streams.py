@@ -13,7 +13,8 @@ from adpulse.streaming.aggregates import daily_counts, daily_rate
 from adpulse.streaming.changelog import latest, read_changes
 from adpulse.streaming.runs import start_finals, start_upserts
 
-RATE_KEY = ("event_date", *KEYS)
+# The window belongs to the key: as a value it would be a struct to aggregate.
+RATE_KEY = ("window", "event_date", *KEYS)
 COUNT_KEY = (*RATE_KEY, "EVENT_TYPE")
 
 

@@ -140,6 +140,14 @@ WHERE landing_date = DATE '{GRACE_DAY}'
    OR (landing_date = DATE '{GRACE_DAY}' - INTERVAL 1 DAY AND landing_hour = 23)
    OR (landing_date = DATE '{GRACE_DAY}' + INTERVAL 1 DAY AND landing_hour = 0)
 GROUP BY EVENT_TYPE, event_date""",
+    "scan_days_with_grace": f"""
+WITH {EVENTS}
+SELECT {K}, EVENT_TYPE, event_date, count(*) AS events FROM ev
+WHERE event_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
+  AND (landing_date = event_date
+       OR (landing_date = event_date - INTERVAL 1 DAY AND landing_hour = 23)
+       OR (landing_date = event_date + INTERVAL 1 DAY AND landing_hour = 0))
+GROUP BY {K}, EVENT_TYPE, event_date""",
     "scan_landing_table": f"""
 WITH {EVENTS}
 SELECT EVENT_TYPE, landing_date, landing_hour, count(*) AS events FROM ev

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from adpulse.functions.days import as_day, days_between, shift
 from adpulse.functions.event_time import with_event_time
 from adpulse.model import (
+    ALL_TYPES,
     EVENT_SCHEMA,
     GRACE_HOURS,
     KEYS,
@@ -74,6 +75,14 @@ def scan_with_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span.groupBy("EVENT_TYPE", "event_date").agg(F.count("*").alias("events"))
 
 
+def scan_days_with_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _land_by_hour(spark, sf_dir)
+    span = landing.read_landing_days(
+        spark, base, FIRST, LAST, GRACE_HOURS, landing.PARTITIONED, allow_missing=True
+    )
+    return counts.event_counts(span, *ALL_TYPES, name="events")
+
+
 def scan_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, table = _land_by_hour(spark, sf_dir), scratch_dir(spark, "table")
     landing.store_landing(spark, base, table, _landing_days(), landing.PARTITIONED)
@@ -336,11 +345,11 @@ def _run_stream(
 
 
 def _current(
-    spark: SparkSession, output: tuple[str, StructType], key: tuple[str, ...], *values: str
+    spark: SparkSession, output: tuple[str, StructType], key: tuple[str, ...]
 ) -> DataFrame:
     path, columns = output
     newest = changelog.latest(changelog.read_changes(spark, path, columns), key)
-    return newest.select(*key, *values)
+    return newest.drop("window")
 
 
 def stream_wall_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,7 +360,7 @@ def stream_wall_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"counts": lambda events: aggregates.daily_counts(events, WALL_IMPRESSION)},
         runs.start_upserts,
     )
-    return _current(spark, out["counts"], COUNT_KEY, "impressions")
+    return _current(spark, out["counts"], COUNT_KEY)
 
 
 def stream_wall_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,7 +372,7 @@ def stream_wall_final(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.start_finals,
     )
     path, columns = out["counts"]
-    return spark.read.schema(columns).parquet(f"{path}/days").select(*COUNT_KEY, "impressions")
+    return spark.read.schema(columns).parquet(f"{path}/days").drop("window")
 
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +384,7 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"counts": lambda events: aggregates.daily_counts(events, *types, name="events")},
         runs.start_upserts,
     )
-    return _current(spark, out["counts"], COUNT_KEY, "events")
+    return _current(spark, out["counts"], COUNT_KEY)
 
 
 def _stream_rate(pair: Pair) -> Query:
@@ -387,7 +396,7 @@ def _stream_rate(pair: Pair) -> Query:
             {"rate": lambda events: aggregates.daily_rate(events, pair)},
             runs.start_upserts,
         )
-        return _current(spark, out["rate"], RATE_KEY, "impressions", "clicks", rates.RATE)
+        return _current(spark, out["rate"], RATE_KEY)
 
     return query
 
@@ -416,7 +425,7 @@ def stream_wall_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.start_upserts,
         between=lambda path, columns: changelog.compact(spark, path, columns, COUNT_KEY),
     )
-    return _current(spark, out["counts"], COUNT_KEY, "impressions")
+    return _current(spark, out["counts"], COUNT_KEY)
 
 
 def stream_wall_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,20 +445,17 @@ def stream_wall_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.start_upserts,
         arrivals=lambda: [landed > as_day(FIRST), landed <= as_day(FIRST)],
     )
-    return (
-        _current(spark, out["hour"], COUNT_KEY, "impressions")
-        .withColumn("waits", F.lit("hour"))
-        .unionByName(
-            _current(spark, out["forever"], COUNT_KEY, "impressions").withColumn(
-                "waits", F.lit("forever")
-            )
-        )
+    hour, forever = (
+        _current(spark, out[name], COUNT_KEY).withColumn("waits", F.lit(name))
+        for name in ("hour", "forever")
     )
+    return hour.unionByName(forever)
 
 
 QUERIES: dict[str, Query] = {
     "scan_landing_day": scan_landing_day,
     "scan_with_grace": scan_with_grace,
+    "scan_days_with_grace": scan_days_with_grace,
     "scan_landing_table": scan_landing_table,
     "json_schema_contract": json_schema_contract,
     "union_by_name_missing": union_by_name_missing,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,7 +25,7 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local is None:
         _local = tempfile.TemporaryDirectory(prefix="adpulse-")
-    return _local.name
+    return Path(_local.name).as_uri()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

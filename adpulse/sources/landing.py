@@ -20,9 +20,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from adpulse.functions.days import Day, as_day, shift
+from adpulse.functions.days import Day, as_day, days_between, shift
 from adpulse.functions.event_time import with_event_time
 from adpulse.model import EVENT_SCHEMA, GRACE_HOURS
+from adpulse.operators.selection import on_days
 from adpulse.sinks.daily import overwrite_days
 
 CORRUPT = "_corrupt_record"
@@ -52,14 +53,17 @@ PARTITIONED = Layout(
 )
 
 
-def landing_dirs(day: Day, grace_hours: int = GRACE_HOURS, layout: Layout = PLAIN) -> list[str]:
-    """Directories to read for one day: all its hours, the last hours of the day before
-    and the first hours of the day after."""
+def landing_dirs(
+    first: Day, last: Day | None = None, grace_hours: int = GRACE_HOURS, layout: Layout = PLAIN
+) -> list[str]:
+    """Directories to read for the days first..last (one day when last is left out): all
+    their hours, the last hours of the day before, the first hours of the day after."""
     if not 0 <= grace_hours <= 24:
         raise ValueError("grace_hours must be between 0 and 24")
-    before = [layout.hour_dir(shift(day, -1), h) for h in range(24 - grace_hours, 24)]
-    after = [layout.hour_dir(shift(day, 1), h) for h in range(grace_hours)]
-    return [*before, layout.day_dir(day), *after]
+    days = days_between(first, first if last is None else last)
+    before = [layout.hour_dir(shift(days[0], -1), h) for h in range(24 - grace_hours, 24)]
+    after = [layout.hour_dir(shift(days[-1], 1), h) for h in range(grace_hours)]
+    return [*before, *map(layout.day_dir, days), *after]
 
 
 def read_json(
@@ -79,6 +83,27 @@ def read_json(
     return reader.option("recursiveFileLookup", "true").json(paths)
 
 
+def _paths(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
+    """A missing directory fails the read, so a late feed is not mistaken for a quiet one.
+    ``allow_missing`` names all of them in one glob, which needs only one to exist."""
+    if allow_missing:
+        return [f"{base.rstrip('/')}/{{{','.join(dirs)}}}"]
+    return [f"{base.rstrip('/')}/{name}" for name in dirs]
+
+
+def _with_landing_hour(rows: DataFrame, layout: Layout) -> DataFrame:
+    """The date and hour of the directory each row was read from."""
+    year, month, day, hour = (
+        F.regexp_extract(F.col("_metadata.file_path"), layout.pattern, n) for n in range(1, 5)
+    )
+    return rows.withColumns(
+        {
+            "landing_date": F.concat_ws("-", year, month, day).try_cast("date"),
+            "landing_hour": hour.try_cast("int"),
+        }
+    )
+
+
 def read_landing(
     spark: SparkSession,
     base: str,
@@ -87,33 +112,35 @@ def read_landing(
     layout: Layout = PLAIN,
     allow_missing: bool = False,
 ) -> DataFrame:
-    """One day's landing directories with their grace hours, as a single scan.
+    """One day's landing directories with their grace hours, as a single scan."""
+    dirs = landing_dirs(day, None, grace_hours, layout)
+    return with_event_time(read_json(spark, _paths(base, dirs, allow_missing)))
 
-    A missing directory fails the read, so a late feed is not mistaken for a quiet one.
-    ``allow_missing`` names all of them in one glob, which needs only one to exist.
-    """
-    dirs = landing_dirs(day, grace_hours, layout)
-    if allow_missing:
-        paths = [f"{base.rstrip('/')}/{{{','.join(dirs)}}}"]
-    else:
-        paths = [f"{base.rstrip('/')}/{name}" for name in dirs]
-    return with_event_time(read_json(spark, paths))
+
+def read_landing_days(
+    spark: SparkSession,
+    base: str,
+    first: Day,
+    last: Day,
+    grace_hours: int = GRACE_HOURS,
+    layout: Layout = PLAIN,
+    allow_missing: bool = False,
+) -> DataFrame:
+    """Events of the days first..last in one scan, each of them landed within the grace
+    hours around its own day: what ``read_landing`` day by day would keep."""
+    dirs = landing_dirs(first, last, grace_hours, layout)
+    rows = read_json(spark, _paths(base, dirs, allow_missing))
+    events = with_event_time(_with_landing_hour(rows, layout))
+    in_time = in_landing_span(F.col("event_date"), grace_hours)
+    return on_days(events, first, last).where(in_time)
 
 
 def read_landing_hours(
     spark: SparkSession, base: str, days: list[Day], layout: Layout = PLAIN
 ) -> DataFrame:
     """Whole landing days, each row with the date and hour of its directory."""
-    paths = [f"{base.rstrip('/')}/{layout.day_dir(day)}" for day in days]
-    part = [
-        F.regexp_extract(F.col("_metadata.file_path"), layout.pattern, n).alias(str(n))
-        for n in range(1, 5)
-    ]
-    return (
-        read_json(spark, paths)
-        .withColumn("landing_date", F.concat_ws("-", *part[:3]).try_cast("date"))
-        .withColumn("landing_hour", part[3].try_cast("int"))
-    )
+    dirs = [layout.day_dir(day) for day in days]
+    return _with_landing_hour(read_json(spark, _paths(base, dirs, False)), layout)
 
 
 # Events as kept in the landing table: typed time columns beside the original text, so
@@ -142,13 +169,14 @@ def store_landing(
     overwrite_days(rows, table, days, by="landing_date", then_by=("landing_hour",), rebalance=False)
 
 
-def in_landing_span(day: Day, grace_hours: int = GRACE_HOURS) -> Column:
-    """The landing directories of one day as a condition on the partition columns."""
+def in_landing_span(day: Column, grace_hours: int = GRACE_HOURS) -> Column:
+    """Whether a row landed on this day or within the grace hours around it. For a fixed
+    day this is a condition on partition columns alone."""
     date, hour = F.col("landing_date"), F.col("landing_hour")
     return (
-        (date == F.lit(as_day(day)))
-        | ((date == F.lit(shift(day, -1))) & (hour >= 24 - grace_hours))
-        | ((date == F.lit(shift(day, 1))) & (hour < grace_hours))
+        (date == day)
+        | ((date == F.date_sub(day, 1)) & (hour >= 24 - grace_hours))
+        | ((date == F.date_add(day, 1)) & (hour < grace_hours))
     )
 
 
@@ -157,4 +185,4 @@ def read_landing_table(
 ) -> DataFrame:
     """One day of the landing table with its grace hours; other partitions are pruned."""
     rows = spark.read.schema(LANDING_TABLE_SCHEMA).parquet(table)
-    return rows.where(in_landing_span(day, grace_hours))
+    return rows.where(in_landing_span(F.lit(as_day(day)), grace_hours))

@@ -66,15 +66,22 @@ def test_daily_jobs_and_insights(spark, landed):
     assert found == [100 * 4 / 6, 50.0]
 
 
-def test_one_pass_over_the_day_gives_the_same_tables(spark, landed):
-    common = ["--source", f"{landed}/in", "--day", "2021-06-30"]
-    run(spark, ["daily-all", *common, "--target", f"{landed}/all"])
+def test_one_pass_over_several_days_gives_the_same_tables(spark, landed):
+    common = ["--source", f"{landed}/in"]
+    span = ["--first", "2021-06-29", "--last", "2021-06-30"]
+    run(spark, ["daily-all", *common, *span, "--target", f"{landed}/all"])
+    for day in ("2021-06-29", "2021-06-30"):
+        for family in ("product", "post"):
+            target = ["--day", day, "--target", f"{landed}/{family}"]
+            run(spark, ["daily-rate", "--family", family, *common, *target])
+        run(spark, ["daily-count", *common, "--day", day, "--target", f"{landed}/wall"])
     for family in ("product", "post"):
-        run(spark, ["daily-rate", "--family", family, *common, "--target", f"{landed}/{family}"])
         one_pass = read_days(spark, f"{landed}/all/daily/{family}_rate", RATE_TABLE)
         assert rows(one_pass) == rows(read_days(spark, f"{landed}/{family}", RATE_TABLE))
     counts = read_days(spark, f"{landed}/all/daily/counts", COUNT_TABLE)
-    assert counts.count() == 5
+    assert counts.count() == 10
+    wall = counts.where("EVENT_TYPE = 'wall-impression'")
+    assert rows(wall) == rows(read_days(spark, f"{landed}/wall", COUNT_TABLE))
 
 
 def test_daily_count_options(spark, landed):

@@ -16,6 +16,7 @@ from adpulse.sources.landing import (
     landing_dirs,
     read_json,
     read_landing,
+    read_landing_days,
     read_landing_hours,
     read_landing_table,
     store_landing,
@@ -49,8 +50,8 @@ def base(tmp_path):
 
 def test_directories_of_a_day():
     assert landing_dirs("2021-07-01") == ["2021/06/30/23", "2021/07/01", "2021/07/02/00"]
-    assert landing_dirs("2021-07-01", 0) == ["2021/07/01"]
-    assert landing_dirs("2020-03-01", 2) == [
+    assert landing_dirs("2021-07-01", grace_hours=0) == ["2021/07/01"]
+    assert landing_dirs("2020-03-01", grace_hours=2) == [
         "2020/02/29/22",
         "2020/02/29/23",
         "2020/03/01",
@@ -61,7 +62,7 @@ def test_directories_of_a_day():
         "landing_date=2021-06-30/landing_hour=23"
     )
     with pytest.raises(ValueError):
-        landing_dirs("2021-07-01", 25)
+        landing_dirs("2021-07-01", grace_hours=25)
 
 
 def test_reads_the_day_and_its_grace_hours(spark, base):
@@ -71,6 +72,22 @@ def test_reads_the_day_and_its_grace_hours(spark, base):
     assert day_events(spark, base, DAY, grace_hours=2).count() == 7
 
 
+@pytest.mark.parametrize("grace", [0, 1, 2])
+def test_several_days_at_once_equal_day_by_day(spark, base, grace):
+    """The event that landed three hours early for its day is in the files read for the
+    day before, and must not get in that way."""
+    both = read_landing_days(
+        spark, base, "2021-06-29", DAY, grace_hours=grace, allow_missing=True
+    )
+    single = [
+        day_events(spark, base, day, grace_hours=grace, allow_missing=True)
+        for day in ("2021-06-29", DAY)
+    ]
+    columns = (*EVENT_SCHEMA.names, "event_date")
+    expected = sorted(sum((rows(df, *columns) for df in single), []), key=repr)
+    assert rows(both, *columns) == expected
+
+
 def test_columns_are_the_agreed_ones(spark, base):
     assert read_landing(spark, base, DAY).columns == [*EVENT_SCHEMA.names, "event_ts", "event_date"]
 

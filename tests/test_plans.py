@@ -121,9 +121,9 @@ def test_stored_days_are_pruned(spark, tmp_path):
 
 
 def test_latest_is_one_hash_aggregation(spark, tmp_path):
-    counted = event_counts(table_events(spark, SF_DIR), WALL_IMPRESSION).select(
-        *COUNT_KEY, "impressions"
-    )
+    counted = event_counts(table_events(spark, SF_DIR), WALL_IMPRESSION)
+    window = F.struct(F.col("event_date").alias("start"), F.date_add("event_date", 1).alias("end"))
+    counted = counted.withColumn("window", window).select(*COUNT_KEY, "impressions")
     batch_writer(f"{tmp_path}/out")(counted, 0)
     newest = latest(read_changes(spark, f"{tmp_path}/out", counted.schema), COUNT_KEY)
     text = plan(newest.where("event_date = '2024-01-30'"))
