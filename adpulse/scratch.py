@@ -8,6 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from adpulse.sinks.files import make_temporary
+
 _local: tempfile.TemporaryDirectory | None = None
 
 
@@ -29,5 +31,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new directory name, never handed out twice."""
-    return f"{scratch_root(spark)}/adpulse/{label}-{uuid.uuid4().hex}"
+    """A new path to write to, never handed out twice, gone when the session's process ends."""
+    parent = f"{scratch_root(spark)}/adpulse/{label}-{uuid.uuid4().hex}"
+    make_temporary(spark, parent)
+    return f"{parent}/data"

@@ -28,6 +28,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def make_temporary(spark: SparkSession, path: str) -> None:
+    """Create a directory that goes away, with all in it, when the session's process ends."""
+    files, target = _locate(spark, path)
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a directory if it is there."""
     files, target = _locate(spark, path)

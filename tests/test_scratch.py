@@ -15,8 +15,11 @@ class Session:
 def test_the_folder_the_cluster_names():
     session = Session(checkpoint_dir="hdfs://shared/tmp/", master="yarn")
     assert scratch_root(session) == "hdfs://shared/tmp"
-    first, second = scratch_dir(session, "a"), scratch_dir(session, "a")
-    assert first.startswith("hdfs://shared/tmp/adpulse/a-") and first != second
+
+
+def test_names_are_new_each_time(spark):
+    first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
+    assert first != second and first.startswith(f"{scratch_root(spark)}/adpulse/a-")
 
 
 def test_a_cluster_without_a_folder_is_refused():
