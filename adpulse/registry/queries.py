@@ -326,6 +326,9 @@ def _run_stream(
     landed = F.col("landing_date")
     steps = arrivals() if arrivals else [landed <= as_day(SPLIT), landed > as_day(SPLIT)]
     outputs: dict[str, tuple[str, StructType]] = {}
+    # On one machine a state partition per core is enough; a cluster keeps its setting.
+    local = spark.conf.get("spark.master").startswith("local")
+    partitions = spark.sparkContext.defaultParallelism if local else None
     for step in steps:
         (
             table_events(spark, sf_dir, types)
@@ -337,7 +340,9 @@ def _run_stream(
         for name, build in results.items():
             result = build(stream_events(spark, f"{base}/landing", max_files_per_trigger=None))
             output = f"{base}/{name}"
-            runs.wait(start(result, output, None), STREAM_SECONDS)
+            with runs.state_partitions(spark, partitions):
+                query = start(result, output, None)
+            runs.wait(query, STREAM_SECONDS)
             outputs[name] = output, result.schema
             if between is not None:
                 between(output, result.schema)

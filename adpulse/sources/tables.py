@@ -44,7 +44,7 @@ DERIVED = (
     "CASE event_type "
     + " ".join(f"WHEN '{source}' THEN '{target}'" for source, target in TYPE_OF.items())
     + " END AS EVENT_TYPE",
-    "date_format(ts, 'dd') AS DAY",
+    "lpad(CAST(day(ts) AS STRING), 2, '0') AS DAY",
     "concat(translate(CAST(ts AS STRING), ' ', 'T'), 'Z') AS ISOTIMESTAMP",
     "CAST(ts AS DATE) AS event_date",
     "ts + make_dt_interval(0, 0, CAST(event_id % 60 AS INT)) AS landed",

@@ -7,13 +7,16 @@ with.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.streaming.changelog import batch_writer
 
 # State for many keys belongs in RocksDB, off the heap, with only its changes uploaded
-# per batch. The number of shuffle partitions is fixed by a stream's first start.
+# per batch.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -28,6 +31,24 @@ def use_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Partition the state of streams started inside in this many parts; None leaves the
+    session's number of shuffle partitions.
+
+    A stream keeps the number of its first start for good, so choose it for the state it
+    will have to hold.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if number is not None:
+        spark.conf.set(name, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 

@@ -18,7 +18,14 @@ from adpulse.sinks.files import numbered_dirs
 from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming import changelog
 from adpulse.streaming.aggregates import daily_counts, daily_rate, joined_daily_rate
-from adpulse.streaming.runs import STATE_STORE, start_finals, start_upserts, use_rocksdb, wait
+from adpulse.streaming.runs import (
+    STATE_STORE,
+    start_finals,
+    start_upserts,
+    state_partitions,
+    use_rocksdb,
+    wait,
+)
 from tests.events import event, frame, many, rows, write_lines
 
 A, A_NULL, B = ("a", "w", "g", "c"), ("a", "w", "g", None), ("b", "w", "g", "c")
@@ -295,6 +302,21 @@ def test_rocksdb_state(spark, drops, tmp_path):
     assert updates(spark, out, counts) == [(0, D29, 2), (1, D30, 3), (2, D02, 1), (4, D02, 2)]
 
 
+def test_state_keeps_the_partitions_of_the_first_start(spark, drops, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = f"{tmp_path}/out"
+    counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
+    with state_partitions(spark, 3):
+        query = start_upserts(counts, out, None)
+    wait(query, 120)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
+    drop(drops, 9, many(3, A, WALL_IMPRESSION, "2021-07-02T13:00:00Z"))
+    again = start_upserts(daily_counts(source(spark, drops), WALL_IMPRESSION), out, None)
+    wait(again, 120)
+    for ran in (query, again):
+        assert ran.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+
+
 def test_timed_trigger_runs_until_stopped(spark, drops, tmp_path):
     query = stream_daily_counts(
         spark, str(drops), f"{tmp_path}/out", WALL_IMPRESSION, every="1 second"
