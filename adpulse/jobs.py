@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     job("rate-change", "source", "day")
     sub = job("store-landing", "source", "first", "last")
     sub.add_argument("--layout", choices=LAYOUTS, default="plain")
+    job("compact").add_argument("--of", choices=["count", "rate"], required=True)
     for name in ("stream-count", "stream-rate"):
         sub = job(name, "source")
         sub.add_argument("--lateness", default=LATENESS, help="or 'none' to count all late events")
@@ -89,6 +90,9 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     elif args.job == "store-landing":
         days = days_between(args.first, args.last)
         store_landing(spark, args.source, args.target, days, LAYOUTS[args.layout])
+    elif args.job == "compact":
+        fold = streams.compact_counts if args.of == "count" else streams.compact_rates
+        fold(spark, args.target)
     else:
         use_rocksdb(spark)
         lateness = None if args.lateness == "none" else args.lateness

@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from adpulse.functions.days import Day
 from adpulse.model import KEYS, LATENESS, Pair
 from adpulse.operators.selection import on_day_label
+from adpulse.plans.tables import COUNT_LOG, RATE_LOG
 from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming.aggregates import daily_counts, daily_rate
-from adpulse.streaming.changelog import latest, read_changes
+from adpulse.streaming.changelog import compact, latest, read_changes
 from adpulse.streaming.runs import start_finals, start_upserts
 
 # The window belongs to the key: as a value it would be a struct to aggregate.
@@ -53,6 +54,19 @@ def stream_daily_rate(
     return start_upserts(result, target, every)
 
 
-def current(spark: SparkSession, target: str, stream: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """The present value of every group an upsert stream has written."""
-    return latest(read_changes(spark, target, stream.schema), key)
+def current_counts(spark: SparkSession, target: str) -> DataFrame:
+    """The present value of every group ``stream_daily_counts`` has written."""
+    return latest(read_changes(spark, target, COUNT_LOG), COUNT_KEY)
+
+
+def current_rates(spark: SparkSession, target: str) -> DataFrame:
+    """The present value of every group ``stream_daily_rate`` has written."""
+    return latest(read_changes(spark, target, RATE_LOG), RATE_KEY)
+
+
+def compact_counts(spark: SparkSession, target: str) -> None:
+    compact(spark, target, COUNT_LOG, COUNT_KEY)
+
+
+def compact_rates(spark: SparkSession, target: str) -> None:
+    compact(spark, target, RATE_LOG, RATE_KEY)

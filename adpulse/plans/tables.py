@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 from adpulse.model import KEYS
@@ -16,6 +17,10 @@ from adpulse.operators.rates import RATE
 
 _KEY_FIELDS = [StructField(key, StringType()) for key in KEYS]
 _DATE_FIELD = StructField("event_date", DateType())
+_WINDOW_FIELD = StructField(
+    "window",
+    StructType([StructField("start", TimestampType()), StructField("end", TimestampType())]),
+)
 
 COUNT_TABLE = StructType(
     [
@@ -34,3 +39,7 @@ RATE_TABLE = StructType(
         _DATE_FIELD,
     ]
 )
+
+# What the update-mode streams log: the stored tables with the window of each row.
+COUNT_LOG = StructType([_WINDOW_FIELD, *COUNT_TABLE])
+RATE_LOG = StructType([_WINDOW_FIELD, *RATE_TABLE])

@@ -13,8 +13,8 @@ from adpulse.model import (
     PRODUCT_IMPRESSION,
     WALL_IMPRESSION,
 )
-from adpulse.plans.streams import COUNT_KEY, RATE_KEY, current
-from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
+from adpulse.plans.streams import current_counts, current_rates
+from adpulse.plans.tables import COUNT_LOG, COUNT_TABLE, RATE_LOG, RATE_TABLE
 from adpulse.sinks.daily import read_days
 from adpulse.sources.landing import read_landing_table
 from adpulse.sources.streams import stream_events
@@ -112,14 +112,25 @@ def test_streams(spark, landed):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert spark.read.schema(COUNT_LOG).parquet(f"{landed}/f/days").count() == 0
+    for _ in range(2):
+        for name in ("c", "n"):
+            newest = current_counts(spark, f"{landed}/{name}")
+            assert rows(newest, "event_date", "impressions") == [(D30, 9)]
+            run(spark, ["compact", "--of", "count", "--target", f"{landed}/{name}"])
+        newest = current_rates(spark, f"{landed}/r")
+        assert rows(newest, "event_date", "impressions_per_click") == [(D30, 6.0)]
+        run(spark, ["compact", "--of", "rate", "--target", f"{landed}/r"])
+
+
+def test_logged_columns_are_those_of_the_streams(spark, landed):
     events = stream_events(spark, f"{landed}/in/2021/06/30/*")
-    counts, rates = daily_counts(events, WALL_IMPRESSION), daily_rate(events, PRODUCT)
-    for name in ("c", "n"):
-        newest = current(spark, f"{landed}/{name}", counts, COUNT_KEY)
-        assert rows(newest, "event_date", "impressions") == [(D30, 9)]
-    assert spark.read.schema(counts.schema).parquet(f"{landed}/f/days").count() == 0
-    newest = current(spark, f"{landed}/r", rates, RATE_KEY)
-    assert rows(newest, "event_date", "impressions_per_click") == [(D30, 6.0)]
+    for stream, log in (
+        (daily_counts(events, WALL_IMPRESSION), COUNT_LOG),
+        (daily_rate(events, PRODUCT), RATE_LOG),
+    ):
+        kinds = {field.name: field.dataType.simpleString() for field in log}
+        assert dict(stream.dtypes) == kinds
 
 
 def test_stream_of_one_day_label(spark, landed):
@@ -130,8 +141,7 @@ def test_stream_of_one_day_label(spark, landed):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-    counts = daily_counts(stream_events(spark, f"{landed}/in/2021/*/*/*"), WALL_IMPRESSION)
-    newest = current(spark, f"{landed}/c", counts, COUNT_KEY)
+    newest = current_counts(spark, f"{landed}/c")
     assert rows(newest, "event_date", "impressions") == [(D29, 6)]
 
 

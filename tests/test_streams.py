@@ -1,6 +1,7 @@
 """Streams over hand-made files, one file per micro-batch."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -13,7 +14,12 @@ from adpulse.model import (
 )
 from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import RATE, rate, regroup
-from adpulse.plans.streams import COUNT_KEY, RATE_KEY, current, stream_daily_counts
+from adpulse.plans.streams import (
+    COUNT_KEY,
+    current_counts,
+    current_rates,
+    stream_daily_counts,
+)
 from adpulse.sinks.files import numbered_dirs
 from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming import changelog
@@ -79,7 +85,7 @@ def test_late_events_are_dropped_and_state_is_evicted(spark, drops, tmp_path):
     state = finish(start_upserts(counts, out, None))
     assert updates(spark, out, counts) == [(0, D29, 2), (1, D30, 3), (2, D02, 1), (4, D02, 2)]
     assert state == [1, 2, 2, 1, 1, 1]
-    assert rows(current(spark, out, counts, COUNT_KEY), "event_date", "impressions") == [
+    assert rows(current_counts(spark, out), "event_date", "impressions") == [
         (D29, 2),
         (D30, 3),
         (D02, 2),
@@ -138,7 +144,7 @@ def test_restart_continues_where_it_stopped(spark, drops, tmp_path):
     drop(drops, 9, many(3, A, WALL_IMPRESSION, "2021-07-02T13:00:00Z"))
     counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
     finish(start_upserts(counts, out, None))
-    assert rows(current(spark, out, counts, COUNT_KEY), "event_date", "impressions") == [
+    assert rows(current_counts(spark, out), "event_date", "impressions") == [
         (D29, 2),
         (D30, 3),
         (D02, 5),
@@ -174,11 +180,11 @@ def test_compaction_keeps_the_present_values(spark, drops, tmp_path):
     counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
     out = f"{tmp_path}/out"
     finish(start_upserts(counts, out, None))
-    before = rows(current(spark, out, counts, COUNT_KEY))
+    before = rows(current_counts(spark, out))
     logged = numbered_dirs(spark, f"{out}/log", "batch_id")
     for through in (1, None, None):
         changelog.compact(spark, out, counts.schema, COUNT_KEY, through)
-        assert rows(current(spark, out, counts, COUNT_KEY)) == before
+        assert rows(current_counts(spark, out)) == before
     # The newest batch may still be run again, so it stays in the log.
     assert numbered_dirs(spark, f"{out}/log", "batch_id") == logged[-1:]
     assert numbered_dirs(spark, f"{out}/snapshots", "through") == [logged[-2]]
@@ -187,7 +193,7 @@ def test_compaction_keeps_the_present_values(spark, drops, tmp_path):
     counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
     finish(start_upserts(counts, out, None))
     changelog.compact(spark, out, counts.schema, COUNT_KEY)
-    newest = rows(current(spark, out, counts, COUNT_KEY), "event_date", "impressions")
+    newest = rows(current_counts(spark, out), "event_date", "impressions")
     assert newest == [(D29, 2), (D30, 3), (D02, 5)]
 
 
@@ -241,7 +247,7 @@ def test_streamed_rate_equals_the_batch(spark, product_drops, tmp_path):
     finish(start_upserts(stream, out, None))
     columns = (*KEYS, "event_date", "impressions", "clicks", RATE)
     batch = rate(frame(spark, sum(PRODUCT_EVENTS, [])), PRODUCT)
-    assert rows(current(spark, out, stream, RATE_KEY), *columns) == rows(batch, *columns)
+    assert rows(current_rates(spark, out), *columns) == rows(batch, *columns)
 
 
 def test_joined_rate_of_finished_days_equals_the_batch(spark, product_drops, tmp_path):
@@ -260,7 +266,30 @@ def test_counts_of_several_types_equal_the_batch(spark, product_drops, tmp_path)
     finish(start_upserts(stream, out, None))
     batch = event_counts(frame(spark, sum(PRODUCT_EVENTS, [])), *PRODUCT.types)
     columns = (*KEYS, "EVENT_TYPE", "event_date", "impressions")
-    assert rows(current(spark, out, stream, COUNT_KEY), *columns) == rows(batch, *columns)
+    assert rows(current_counts(spark, out), *columns) == rows(batch, *columns)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_split_into_files_gives_the_batch_result(spark, tmp_path, seed):
+    """Events of several days and keys in random order, spread over random files."""
+    chance = random.Random(seed)
+    events = [
+        event(
+            chance.choice([A, A_NULL, B]),
+            chance.choice([*PRODUCT.types, WALL_IMPRESSION]),
+            f"2021-06-{chance.randint(27, 30)}T{chance.randint(0, 23):02d}:00:00Z",
+        )
+        for _ in range(60)
+    ]
+    cuts = [0, *sorted(chance.sample(range(1, 60), 3)), 60]
+    for n, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        drop(tmp_path / "in", n, events[start:end])
+    stream = daily_rate(source(spark, tmp_path / "in"), PRODUCT, lateness=None)
+    out = f"{tmp_path}/out"
+    finish(start_upserts(stream, out, None))
+    columns = (*KEYS, "event_date", "impressions", "clicks", RATE)
+    batch = rate(frame(spark, events), PRODUCT)
+    assert rows(current_rates(spark, out), *columns) == rows(batch, *columns)
 
 
 def test_malformed_lines_and_times_do_not_stop_the_stream(spark, tmp_path):
@@ -329,7 +358,6 @@ def test_timed_trigger_runs_until_stopped(spark, drops, tmp_path):
         assert not query.isActive
     finally:
         query.stop()
-    counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
-    newest = rows(current(spark, f"{tmp_path}/out", counts, COUNT_KEY), "event_date", "impressions")
+    newest = rows(current_counts(spark, f"{tmp_path}/out"), "event_date", "impressions")
     # All five files fit one micro-batch, and nothing is late within the first one.
     assert newest == [(D29, 7), (D30, 3), (D02, 2)]
