@@ -31,6 +31,20 @@ def windowed_counts(events: DataFrame, *types: str, name: str = "impressions") -
     )
 
 
+def dropped_counts(recounted: DataFrame, streamed: DataFrame) -> DataFrame:
+    """Events per keys, type and day that a stream dropped as too late: those a recount of
+    the same files finds and the stream's present counts do not have.
+
+    Exact, which the stream's own counter is not: that one counts rows after partial
+    aggregation. The two tables are added up, not joined, so NULL keys need no care.
+    """
+    group = [*KEYS, "EVENT_TYPE", "event_date"]
+    missing = recounted.select(*group, F.col("impressions").alias("dropped")).unionByName(
+        streamed.select(*group, (-F.col("impressions")).alias("dropped"))
+    )
+    return missing.groupBy(*group).agg(F.sum("dropped").alias("dropped")).where("dropped <> 0")
+
+
 def event_time_quality(events: DataFrame) -> DataFrame:
     """Per event type: rows, rows whose time text is missing or malformed, and rows
     with a NULL key. Works on raw rows, before any of them can drop out of a window."""

@@ -240,6 +240,8 @@ no_limit AS ({_counts(WALL, "impressions")})
 SELECT *, 'hour' AS waits FROM hour_wait
 UNION ALL
 SELECT *, 'forever' AS waits FROM no_limit""",
+    "stream_wall_dropped": f"""
+WITH {EVENTS} {_counts(WALL, "dropped", f"landing_date <= DATE '{FIRST}'")}""",
     "stream_counts": f"""
 WITH {EVENTS}
 SELECT event_date, {K}, EVENT_TYPE, count(*) AS events

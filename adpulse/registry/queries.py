@@ -15,6 +15,7 @@ from adpulse.model import (
     EVENT_SCHEMA,
     GRACE_HOURS,
     KEYS,
+    LATENESS,
     POST,
     POST_CLICK,
     POST_IMPRESSION,
@@ -433,30 +434,41 @@ def stream_wall_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _current(spark, out["counts"], COUNT_KEY)
 
 
-def stream_wall_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first landing day arrives after all the others: dropped when the stream waits
-    an hour, counted when it waits for ever."""
+def _stream_late(
+    spark: SparkSession, sf_dir: str, waits: dict[str, str | None]
+) -> dict[str, DataFrame]:
+    """Wall counts of streams that wait this long, when the first landing day arrives
+    after all the others."""
     landed = F.col("landing_date")
+
+    def counts_with(lateness: str | None) -> Callable[[DataFrame], DataFrame]:
+        return lambda events: aggregates.daily_counts(events, WALL_IMPRESSION, lateness=lateness)
+
     out = _run_stream(
         spark,
         sf_dir,
         (WALL_IMPRESSION,),
-        {
-            "hour": lambda events: aggregates.daily_counts(events, WALL_IMPRESSION),
-            "forever": lambda events: aggregates.daily_counts(
-                events, WALL_IMPRESSION, lateness=None
-            ),
-        },
+        {name: counts_with(lateness) for name, lateness in waits.items()},
         runs.start_upserts,
         arrivals=lambda: [landed > as_day(FIRST), landed <= as_day(FIRST)],
     )
-    hour, forever = (
-        _current(spark, out[name], COUNT_KEY).withColumn("waits", F.lit(name))
-        for name in ("hour", "forever")
-    )
+    return {name: _current(spark, output, COUNT_KEY) for name, output in out.items()}
+
+
+def stream_wall_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late events are dropped by a stream that waits an hour and counted by one that waits
+    for ever."""
+    results = _stream_late(spark, sf_dir, {"hour": LATENESS, "forever": None})
+    hour, forever = (rows.withColumn("waits", F.lit(name)) for name, rows in results.items())
     return hour.unionByName(forever)
 
 
+def stream_wall_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream that waits an hour has dropped."""
+    streamed = _stream_late(spark, sf_dir, {"hour": LATENESS})["hour"]
+    return counts.dropped_counts(count_wall_daily(spark, sf_dir), streamed)
+
+
 QUERIES: dict[str, Query] = {
     "scan_landing_day": scan_landing_day,
     "scan_with_grace": scan_with_grace,
@@ -500,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "stream_wall_final": stream_wall_final,
     "stream_wall_upsert": stream_wall_upsert,
     "stream_wall_late": stream_wall_late,
+    "stream_wall_dropped": stream_wall_dropped,
     "stream_counts": stream_counts,
     "stream_rate_latest": _stream_rate(PRODUCT),
     "stream_rate_post": _stream_rate(POST),

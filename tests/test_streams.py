@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from adpulse.functions.event_time import with_event_time
 from adpulse.model import (
     KEYS,
     PRODUCT,
@@ -12,7 +13,7 @@ from adpulse.model import (
     PRODUCT_IMPRESSION,
     WALL_IMPRESSION,
 )
-from adpulse.operators.counts import event_counts
+from adpulse.operators.counts import dropped_counts, event_counts
 from adpulse.operators.rates import RATE, rate, regroup
 from adpulse.plans.streams import (
     COUNT_KEY,
@@ -21,6 +22,7 @@ from adpulse.plans.streams import (
     stream_daily_counts,
 )
 from adpulse.sinks.files import numbered_dirs
+from adpulse.sources.landing import read_json
 from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming import changelog
 from adpulse.streaming.aggregates import daily_counts, daily_rate, joined_daily_rate
@@ -151,6 +153,48 @@ def test_restart_continues_where_it_stopped(spark, drops, tmp_path):
     ]
 
 
+def test_dropped_events_are_found_by_recounting(spark, drops, tmp_path):
+    drop(drops, 9, many(4, A_NULL, WALL_IMPRESSION, "2021-06-30T11:00:00Z"))
+    out = f"{tmp_path}/out"
+    counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
+    query = start_upserts(counts, out, None)
+    finish(query)
+    recounted = event_counts(with_event_time(read_json(spark, str(drops))), WALL_IMPRESSION)
+    dropped = dropped_counts(recounted, current_counts(spark, out))
+    assert rows(dropped, *KEYS, "event_date", "dropped") == sorted(
+        [(*A, D29, 5), (*A_NULL, D30, 4)], key=repr
+    )
+    # The operator's counter sees one row per group and batch instead.
+    by_operator = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
+    assert sum(by_operator) < 9
+
+
+def test_a_batch_that_failed_after_writing_is_not_counted_twice(spark, drops, tmp_path):
+    out = f"{tmp_path}/out"
+    write = changelog.batch_writer(out)
+
+    def start(writer):
+        counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
+        return (
+            counts.writeStream.outputMode("update")
+            .foreachBatch(writer)
+            .option("checkpointLocation", f"{out}/_checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def fails_in_the_second_batch(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        wait(start(fails_in_the_second_batch), 120)
+    finish(start(write))
+    counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
+    assert updates(spark, out, counts) == [(0, D29, 2), (1, D30, 3), (2, D02, 1), (4, D02, 2)]
+
+
 def test_running_a_batch_again_changes_nothing(spark, tmp_path):
     columns = "BRAND string, event_date date, impressions long"
     write = changelog.batch_writer(f"{tmp_path}/out")
