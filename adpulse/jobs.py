@@ -116,4 +116,5 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
+    _parser().parse_args()  # a wrong argument is reported before a session is started
     run(SparkSession.builder.appName("adpulse").getOrCreate())

@@ -92,14 +92,15 @@ def _paths(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
 
 
 def _with_landing_hour(rows: DataFrame, layout: Layout) -> DataFrame:
-    """The date and hour of the directory each row was read from."""
+    """The date and hour of the directory each row was read from. A path that does not have
+    the layout fails the job: its rows would belong to no day."""
     year, month, day, hour = (
         F.regexp_extract(F.col("_metadata.file_path"), layout.pattern, n) for n in range(1, 5)
     )
     return rows.withColumns(
         {
-            "landing_date": F.concat_ws("-", year, month, day).try_cast("date"),
-            "landing_hour": hour.try_cast("int"),
+            "landing_date": F.concat_ws("-", year, month, day).cast("date"),
+            "landing_hour": hour.cast("int"),
         }
     )
 

@@ -157,6 +157,12 @@ def test_rows_know_their_landing_hour(spark, base):
     )
 
 
+def test_files_outside_the_layout_fail_loudly(spark, base, tmp_path):
+    write_lines(tmp_path / "in/2021/06/30/stray.json", [wall("2021-06-30T10:00:00Z")])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_landing_hours(spark, base, [DAY]).collect()
+
+
 def test_landing_table_agrees_with_the_files_and_can_be_stored_again(spark, base, tmp_path):
     table = f"{tmp_path}/table"
     days = ["2021-06-29", DAY, "2021-07-01"]
