@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     job("rate-change", "source", "day")
     sub = job("store-landing", "source", "first", "last")
     sub.add_argument("--layout", choices=LAYOUTS, default="plain")
+    sub.add_argument("--allow-missing", action="store_true")
     job("compact").add_argument("--of", choices=["count", "rate"], required=True)
     for name in ("stream-count", "stream-rate"):
         sub = job(name, "source")
@@ -89,7 +90,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         insights.write_rate_change(spark, args.source, args.target, args.day)
     elif args.job == "store-landing":
         days = days_between(args.first, args.last)
-        store_landing(spark, args.source, args.target, days, LAYOUTS[args.layout])
+        layout = LAYOUTS[args.layout]
+        store_landing(spark, args.source, args.target, days, layout, args.allow_missing)
     elif args.job == "compact":
         fold = streams.compact_counts if args.of == "count" else streams.compact_rates
         fold(spark, args.target)

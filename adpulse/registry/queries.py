@@ -57,14 +57,9 @@ def _land_by_hour(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
-def _landing_days() -> list:
-    # The lag carries the last day's events into one more landing day.
-    return days_between(FIRST, shift(LAST, 1))
-
-
 def scan_landing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _land_by_hour(spark, sf_dir)
-    rows = landing.read_landing_hours(spark, base, _landing_days(), landing.PARTITIONED)
+    rows = landing.read_landing_hours(spark, base, layout=landing.PARTITIONED)
     return rows.groupBy("landing_date").agg(
         F.count("*").alias("events"), F.count_distinct("landing_hour").alias("hours")
     )
@@ -72,7 +67,10 @@ def scan_landing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_with_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _land_by_hour(spark, sf_dir)
-    span = landing.read_landing(spark, base, GRACE_DAY, GRACE_HOURS, landing.PARTITIONED)
+    # At a small scale an hour may have had no events at all, and so has no directory.
+    span = landing.read_landing(
+        spark, base, GRACE_DAY, GRACE_HOURS, landing.PARTITIONED, allow_missing=True
+    )
     return span.groupBy("EVENT_TYPE", "event_date").agg(F.count("*").alias("events"))
 
 
@@ -86,7 +84,9 @@ def scan_days_with_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, table = _land_by_hour(spark, sf_dir), scratch_dir(spark, "table")
-    landing.store_landing(spark, base, table, _landing_days(), landing.PARTITIONED)
+    # The lag carries the last day's events into one more landing day.
+    days = days_between(FIRST, shift(LAST, 1))
+    landing.store_landing(spark, base, table, days, landing.PARTITIONED, allow_missing=True)
     span = landing.read_landing_table(spark, table, GRACE_DAY, GRACE_HOURS)
     return (
         selection.on_days(span, GRACE_DAY)

@@ -137,11 +137,17 @@ def read_landing_days(
 
 
 def read_landing_hours(
-    spark: SparkSession, base: str, days: list[Day], layout: Layout = PLAIN
+    spark: SparkSession,
+    base: str,
+    days: list[Day] | None = None,
+    layout: Layout = PLAIN,
+    allow_missing: bool = False,
 ) -> DataFrame:
-    """Whole landing days, each row with the date and hour of its directory."""
-    dirs = [layout.day_dir(day) for day in days]
-    return _with_landing_hour(read_json(spark, _paths(base, dirs, False)), layout)
+    """Whole landing days, or all there are, each row with the date and hour of its
+    directory."""
+    dirs = None if days is None else [layout.day_dir(day) for day in days]
+    paths = base if dirs is None else _paths(base, dirs, allow_missing)
+    return _with_landing_hour(read_json(spark, paths), layout)
 
 
 # Events as kept in the landing table: typed time columns beside the original text, so
@@ -158,7 +164,12 @@ LANDING_TABLE_SCHEMA = StructType(
 
 
 def store_landing(
-    spark: SparkSession, base: str, table: str, days: list[Day], layout: Layout = PLAIN
+    spark: SparkSession,
+    base: str,
+    table: str,
+    days: list[Day],
+    layout: Layout = PLAIN,
+    allow_missing: bool = False,
 ) -> None:
     """Copy whole landing days from JSON into the landing table, once.
 
@@ -166,7 +177,7 @@ def store_landing(
     than once should read the table. The days given are replaced. Input splits already
     hold one hour each, so the rows are written where they were read, without a shuffle.
     """
-    rows = with_event_time(read_landing_hours(spark, base, days, layout))
+    rows = with_event_time(read_landing_hours(spark, base, days, layout, allow_missing))
     overwrite_days(rows, table, days, by="landing_date", then_by=("landing_hour",), rebalance=False)
 
 
