@@ -6,13 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def rows_where(condition: Column) -> Column:
+def rows_where(condition: Column, count: str | None = None) -> Column:
     """Number of matching rows, and NULL rather than 0 when there are none.
 
-    That is what an outer join of two counts gives for a missing side, so a rate
-    with one side missing is NULL and never 0.
+    That is what an outer join of two counts gives for a missing side, so a rate with one
+    side missing is NULL and never 0. With ``count``, rows are already counted and that
+    column says how many events each stands for.
     """
-    return F.sum(F.when(condition, F.lit(1)))
+    return F.sum(F.when(condition, F.lit(1) if count is None else F.col(count)))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -39,15 +39,22 @@ def rate_change(events: DataFrame, pair: Pair, day: Day) -> DataFrame:
     ).withColumn("event_date", F.lit(as_day(day)))
 
 
-def count_change(events: DataFrame, day: Day, *types: str) -> DataFrame:
-    """Change of the count per keys and type, for groups present on both days."""
+def count_change(
+    events: DataFrame, day: Day, *types: str, count: str | None = None
+) -> DataFrame:
+    """Change of the count per keys and type, for groups present on both days.
+
+    Without types, of every type there is. With ``count``, the rows are stored counts and
+    that column holds them; two day partitions of the table are read.
+    """
     date = F.col("event_date")
-    two_days = on_days(with_all_keys(of_type(events, *types)), shift(day, -1), day)
+    wanted = of_type(events, *types) if types else events
     both = (
-        two_days.groupBy(*KEYS, "EVENT_TYPE")
+        on_days(with_all_keys(wanted), shift(day, -1), day)
+        .groupBy(*KEYS, "EVENT_TYPE")
         .agg(
-            rows_where(date == F.lit(shift(day, -1))).alias("previous"),
-            rows_where(date == F.lit(as_day(day))).alias("current"),
+            rows_where(date == F.lit(shift(day, -1)), count).alias("previous"),
+            rows_where(date == F.lit(as_day(day)), count).alias("current"),
         )
         .where(F.col("previous").isNotNull() & F.col("current").isNotNull())
     )
@@ -67,21 +74,6 @@ def compare_rates(rates: DataFrame, day: Day) -> DataFrame:
     ).withColumn("event_date", F.lit(as_day(day)))
 
 
-def compare_counts(counts: DataFrame, day: Day, name: str = "impressions") -> DataFrame:
-    """``count_change`` from a stored count table."""
-    date = F.col("event_date")
-    both = (
-        on_days(with_all_keys(counts), shift(day, -1), day)
-        .groupBy(*KEYS, "EVENT_TYPE")
-        .agg(
-            F.sum(F.when(date == F.lit(shift(day, -1)), F.col(name))).alias("previous"),
-            F.sum(F.when(date == F.lit(as_day(day)), F.col(name))).alias("current"),
-        )
-        .where(F.col("previous").isNotNull() & F.col("current").isNotNull())
-    )
-    return _with_change(both).withColumn("event_date", F.lit(as_day(day)))
-
-
 def join_days(previous: DataFrame, current: DataFrame, how: str = "full") -> DataFrame:
     """Pair two days of a metric on the keys alone, as an equality join does.
 

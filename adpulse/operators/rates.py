@@ -1,7 +1,7 @@
 """Impressions per click.
 
-``rate`` is the form to use. ``rate_by_join`` and ``rate_by_sql`` start from stored
-counts, where there is no event left to scan.
+``rate`` is the form to use. ``rate_by_join`` and ``rate_by_sql`` start from two stored
+count tables.
 """
 
 from __future__ import annotations
@@ -17,35 +17,20 @@ RATE = "impressions_per_click"
 DAILY = (*KEYS, "event_date")
 
 
-def rate(events: DataFrame, pair: Pair) -> DataFrame:
+def rate(events: DataFrame, pair: Pair, count: str | None = None) -> DataFrame:
     """Impressions, clicks and their ratio per keys and day: one scan, one exchange.
 
-    NULL keys form a group of their own. A missing side stays NULL.
+    NULL keys form a group of their own. A missing side stays NULL. With ``count``, the
+    rows are counts and that column holds them: one pass over the events into counts of
+    every type then serves all rates.
     """
     kind = F.col("EVENT_TYPE")
     return with_rate(
         of_type(events, *pair.types)
         .groupBy(*DAILY)
         .agg(
-            rows_where(kind == pair.impression).alias("impressions"),
-            rows_where(kind == pair.click).alias("clicks"),
-        )
-    )
-
-
-def rate_from_counts(counts: DataFrame, pair: Pair, name: str = "impressions") -> DataFrame:
-    """``rate`` from one stored count table that holds both types.
-
-    One pass over the events into counts of every type serves all rates: they are read
-    off the counts, which are smaller than the events by the number of events per group.
-    """
-    kind, count = F.col("EVENT_TYPE"), F.col(name)
-    return with_rate(
-        of_type(counts, *pair.types)
-        .groupBy(*DAILY)
-        .agg(
-            F.sum(F.when(kind == pair.impression, count)).alias("impressions"),
-            F.sum(F.when(kind == pair.click, count)).alias("clicks"),
+            rows_where(kind == pair.impression, count).alias("impressions"),
+            rows_where(kind == pair.click, count).alias("clicks"),
         )
     )
 

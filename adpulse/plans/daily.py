@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adpulse.functions.days import Day, as_day
 from adpulse.model import ALL_TYPES, GRACE_HOURS, POST, PRODUCT, Pair
 from adpulse.operators.counts import event_counts
-from adpulse.operators.rates import rate, rate_from_counts
+from adpulse.operators.rates import rate
 from adpulse.operators.selection import on_day_label, on_days
 from adpulse.plans.tables import COUNT_TABLE
 from adpulse.sinks.daily import collection, overwrite_day, overwrite_range, read_days
@@ -61,4 +61,4 @@ def write_days(
     stored = read_days(spark, table, COUNT_TABLE, first, last)
     for name, pair in (("product_rate", PRODUCT), ("post_rate", POST)):
         target = collection(root, "daily", name)
-        overwrite_range(rate_from_counts(stored, pair), target, first, last)
+        overwrite_range(rate(stored, pair, count="impressions"), target, first, last)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from adpulse.functions.days import Day, shift
-from adpulse.operators.changes import compare_counts, compare_rates
+from adpulse.operators.changes import compare_rates, count_change
 from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
 from adpulse.sinks.daily import overwrite_day, read_days
 
@@ -20,4 +20,4 @@ def write_rate_change(spark: SparkSession, rates: str, target: str, day: Day) ->
 
 def write_count_change(spark: SparkSession, counts: str, target: str, day: Day) -> None:
     stored = read_days(spark, counts, COUNT_TABLE, shift(day, -1), day)
-    overwrite_day(compare_counts(stored, day), target, day)
+    overwrite_day(count_change(stored, day, count="impressions"), target, day)

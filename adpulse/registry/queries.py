@@ -193,7 +193,7 @@ def rate_product_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rate_from_counts(pair: Pair) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rates.rate_from_counts(table_counts(spark, sf_dir, pair.types), pair)
+        return rates.rate(table_counts(spark, sf_dir, pair.types), pair, count="impressions")
 
     return query
 

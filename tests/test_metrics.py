@@ -16,7 +16,6 @@ from adpulse.model import (
     WALL_IMPRESSION,
 )
 from adpulse.operators.changes import (
-    compare_counts,
     compare_rates,
     count_change,
     count_changes,
@@ -148,7 +147,7 @@ def test_count_change_needs_both_days_and_every_key(spark):
     columns = (*KEYS, "EVENT_TYPE", "previous", "current", "pct_change", "event_date")
     assert rows(count_change(events, "2021-06-30", WALL_IMPRESSION), *columns) == expected
     stored = event_counts(events, WALL_IMPRESSION)
-    assert rows(compare_counts(stored, "2021-06-30"), *columns) == expected
+    assert rows(count_change(stored, "2021-06-30", count="impressions"), *columns) == expected
 
 
 def test_joining_unreduced_days_would_multiply(spark):
@@ -279,6 +278,20 @@ def test_one_pass_equals_the_join_and_plain_counting(spark, bag):
         expected.append((*keys, dt.date.fromisoformat(time[:10]), i, c, i / c if i and c else None))
     assert one_pass == sorted(expected, key=repr)
 
+    def rate_of(keys, time):
+        side = sides.get((keys, time), {})
+        i, c = side.get(PRODUCT_IMPRESSION), side.get(PRODUCT_CLICK)
+        return i / c if i and c else None
+
+    compared = []
+    for keys in {keys for keys, _ in sides}:
+        p, n = rate_of(keys, NOON_29), rate_of(keys, NOON_30)
+        compared.append((*keys, p, n, 100 * (n - p) / p if p and n else None))
+    columns = (*KEYS, "previous", "current", "pct_change")
+    assert rows(rate_change(df, PRODUCT, "2021-06-30"), *columns) == sorted(compared, key=repr)
+    stored = rate(event_counts(df, *PRODUCT.types), PRODUCT, count="impressions")
+    assert rows(stored) == rows(rate(df, PRODUCT))
+
     walls = Counter((keys, time) for keys, kind, time in bag if kind == WALL_IMPRESSION)
     both = []
     for keys in {k for k, _ in walls}:
