@@ -37,7 +37,7 @@ def land(spark: SparkSession, sf_dir: str, copies: int) -> str:
     hot = (F.col("event_id") + F.col("copy")) % 3 == 0
     (
         many.withColumn("BRAND", F.when(hot, F.lit("HOT")).otherwise(F.col("BRAND")))
-        .withColumn("WALL_ID", F.when(~hot, F.concat("WALL_ID", F.lit("-"), F.col("copy"))).otherwise("w"))
+        .withColumn("WALL_ID", F.when(hot, "w").otherwise(F.concat_ws("-", "WALL_ID", "copy")))
         .select(*EVENT_SCHEMA.names, "landing_date", "landing_hour")
         .hint("rebalance", "landing_date", "landing_hour")
         .write.partitionBy("landing_date", "landing_hour")
@@ -58,7 +58,9 @@ def join_of_inferred_reads(spark: SparkSession, base: str) -> DataFrame:
     )
     events = day.unionByName(before, True).unionByName(after, True).where(f"DAY = '{DAY[-2:]}'")
     sides = [
-        events.where(F.col("EVENT_TYPE") == kind).groupBy(*KEYS, "DAY").agg(F.count("*").alias(name))
+        events.where(F.col("EVENT_TYPE") == kind)
+        .groupBy(*KEYS, "DAY")
+        .agg(F.count("*").alias(name))
         for kind, name in zip(PRODUCT.types, ("impressions", "clicks"))
     ]
     joined = sides[0].join(sides[1], [*KEYS, "DAY"], "full")
@@ -85,7 +87,8 @@ def main() -> None:
     shapes = {"one_pass": one_pass, "join_of_inferred_reads": join_of_inferred_reads}
     results = [shape(spark, base) for shape in shapes.values()]
     same = all(a.exceptAll(b).isEmpty() for a, b in (results, results[::-1]))
-    print("events on the day:", on_days(read_landing(spark, base, DAY, layout=PARTITIONED), DAY).count())
+    landed = read_landing(spark, base, DAY, layout=PARTITIONED)
+    print("events on the day:", on_days(landed, DAY).count())
     print("groups:", results[0].count(), "same rows:", same)
     for _ in range(runs):
         for name, shape in shapes.items():

@@ -39,7 +39,8 @@ def landed(tmp_path):
                 + many(n, A, POST_IMPRESSION, time)
                 + many(2, A, POST_CLICK, time),
             )
-    write_lines(tmp_path / "in/2021/07/01/00/f.json", many(1, A, WALL_IMPRESSION, "2021-06-30T23:59:00Z"))
+    late = many(1, A, WALL_IMPRESSION, "2021-06-30T23:59:00Z")
+    write_lines(tmp_path / "in/2021/07/01/00/f.json", late)
     return tmp_path
 
 

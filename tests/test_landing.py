@@ -95,7 +95,8 @@ def test_columns_are_the_agreed_ones(spark, base):
 def test_each_day_is_read_around_itself(spark, base, tmp_path):
     """The day before has hours of its own; it is not what the later day's read saw."""
     write_lines(tmp_path / "in/2021/06/28/23/f.json", [wall("2021-06-29T00:00:00Z")])
-    write_lines(tmp_path / "in/2021/06/29/10/f.json", many(7, A, WALL_IMPRESSION, "2021-06-29T10:00:00Z"))
+    seven = many(7, A, WALL_IMPRESSION, "2021-06-29T10:00:00Z")
+    write_lines(tmp_path / "in/2021/06/29/10/f.json", seven)
     counted = event_counts(day_events(spark, base, "2021-06-29"), WALL_IMPRESSION)
     assert rows(counted, "event_date", "impressions") == [(dt.date(2021, 6, 29), 10)]
 
@@ -113,7 +114,11 @@ def test_missing_directory_fails_unless_allowed(spark, base):
 def test_by_label_follows_the_day_text(spark, tmp_path):
     write_lines(
         tmp_path / "2021/06/30/10/f.json",
-        [wall("2021-06-30T10:00:00Z"), wall("bad", day="30"), wall("2021-06-30T10:00:00Z", day="29")],
+        [
+            wall("2021-06-30T10:00:00Z"),
+            wall("bad", day="30"),
+            wall("2021-06-30T10:00:00Z", day="29"),
+        ],
     )
     read = {"allow_missing": True}
     assert day_events(spark, str(tmp_path), DAY, **read).count() == 2

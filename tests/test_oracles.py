@@ -19,7 +19,13 @@ def db():
     return connection
 
 
-SQL_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+SQL_TYPE = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "date": "DATE",
+}
 
 
 def _sorted_rows(rows):

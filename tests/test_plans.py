@@ -96,8 +96,10 @@ def test_landing_table_prunes_partitions_and_pushes_the_date(spark, tmp_path):
     )
     table = f"{tmp_path}/table"
     few = events.where("landing_date BETWEEN '2024-01-14' AND '2024-01-16'")
-    few.where("landing_hour IN (0, 22, 23)").write.partitionBy("landing_date", "landing_hour").parquet(table)
-    df = on_days(of_type(read_landing_table(spark, table, "2024-01-15"), PRODUCT_IMPRESSION), "2024-01-15")
+    few = few.where("landing_hour IN (0, 22, 23)")
+    few.write.partitionBy("landing_date", "landing_hour").parquet(table)
+    df = read_landing_table(spark, table, "2024-01-15")
+    df = on_days(of_type(df, PRODUCT_IMPRESSION), "2024-01-15")
     text = formatted(df)
     assert re.search(r"PartitionFilters: \[[^]]*landing_date", text)
     assert "EqualTo(event_date,2024-01-15)" in text
@@ -144,7 +146,7 @@ def test_a_hot_user_when_the_customers_are_too_large_to_broadcast(spark, tmp_pat
     """A third of all events on one user, and a shuffled join: same result, and adaptive
     execution splits the partition that user falls into."""
     events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
-    hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")))
+    hot = events.withColumn("user_id", F.expr("if(event_id % 3 = 0, 7, user_id)"))
     hot.repartition(16).write.parquet(f"{tmp_path}/events.parquet")
     spark.read.parquet("/root/testdata/sf0.1/customer.parquet").write.parquet(
         f"{tmp_path}/customer.parquet"

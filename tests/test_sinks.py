@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from adpulse.model import PRODUCT, PRODUCT_CLICK, PRODUCT_IMPRESSION, WALL_IMPRESSION
+from adpulse.model import KEYS, PRODUCT, PRODUCT_CLICK, PRODUCT_IMPRESSION, WALL_IMPRESSION
 from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import rate
 from adpulse.plans.insights import write_count_change, write_rate_change
@@ -85,7 +85,7 @@ def test_a_large_day_is_split_and_small_days_are_not(spark, tmp_path):
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(size)
     many_rows = spark.range(300_000).selectExpr(
-        *[f"string(uuid()) AS {key}" for key in ("BRAND", "WALL_ID", "WALLGROUP_ID", "CAMPAIGN_ID")],
+        *[f"string(uuid()) AS {key}" for key in KEYS],
         "'t' AS EVENT_TYPE",
         "id AS impressions",
         "date_add(DATE '2021-06-01', int(if(id % 3 < 2, 0, id % 29 + 1))) AS event_date",
@@ -95,12 +95,13 @@ def test_a_large_day_is_split_and_small_days_are_not(spark, tmp_path):
         overwrite_range(many_rows, f"{tmp_path}/t", "2021-06-01", "2021-06-30")
     finally:
         spark.conf.set(size, before)
-    files = [f.split("event_date=")[1][:10] for f in read_days(spark, f"{tmp_path}/t", COUNT_TABLE).inputFiles()]
+    stored_rows = read_days(spark, f"{tmp_path}/t", COUNT_TABLE)
+    files = [file.split("event_date=")[1][:10] for file in stored_rows.inputFiles()]
     per_day = {day: files.count(day) for day in files}
     assert len(per_day) == 30 and per_day.pop("2021-06-01") >= 3
     # Only days that share the large one's shuffle partition are split along with it.
     assert sum(files <= 2 for files in per_day.values()) > 15
-    assert read_days(spark, f"{tmp_path}/t", COUNT_TABLE).count() == 300_000
+    assert stored_rows.count() == 300_000
 
 
 def test_insights_read_what_the_daily_jobs_stored(spark, tmp_path):

@@ -165,8 +165,8 @@ def test_dropped_events_are_found_by_recounting(spark, drops, tmp_path):
         [(*A, D29, 5), (*A_NULL, D30, 4)], key=repr
     )
     # The operator's counter sees one row per group and batch instead.
-    by_operator = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
-    assert sum(by_operator) < 9
+    operators = [p["stateOperators"][0] for p in query.recentProgress]
+    assert sum(operator["numRowsDroppedByWatermark"] for operator in operators) < 9
 
 
 def test_a_batch_that_failed_after_writing_is_not_counted_twice(spark, drops, tmp_path):
@@ -211,7 +211,10 @@ def test_running_a_batch_again_changes_nothing(spark, tmp_path):
 def test_the_newest_value_wins_even_when_it_is_null(spark, tmp_path):
     columns = "BRAND string, CAMPAIGN_ID string, event_date date, clicks long"
     write = changelog.batch_writer(f"{tmp_path}/out")
-    batches = [[("a", None, D29, 7), ("b", "c", D29, None)], [("a", None, D29, None), ("b", "c", D29, 9)]]
+    batches = [
+        [("a", None, D29, 7), ("b", "c", D29, None)],
+        [("a", None, D29, None), ("b", "c", D29, 9)],
+    ]
     for batch_id, batch in enumerate(batches):
         write(spark.createDataFrame(batch, columns), batch_id)
     schema = spark.createDataFrame([], columns).schema
@@ -248,7 +251,8 @@ def test_a_snapshot_beside_the_log_it_was_made_from(spark, tmp_path):
     write = changelog.batch_writer(out)
     batch = spark.createDataFrame([("a", D29, 1)], columns)
     for batch_id in (0, 1):
-        write(batch.selectExpr("BRAND", "event_date", f"impressions + {batch_id} AS impressions"), batch_id)
+        grown = batch.selectExpr("BRAND", "event_date", f"impressions + {batch_id} AS impressions")
+        write(grown, batch_id)
     key = ("event_date", "BRAND")
     changelog.compact(spark, out, batch.schema, key, through=1)
     write(batch, 0)
