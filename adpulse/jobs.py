@@ -15,7 +15,7 @@ from adpulse.functions.days import days_between
 from adpulse.model import GRACE_HOURS, LATENESS, POST, PRODUCT, WALL_IMPRESSION
 from adpulse.plans import daily, insights, streams
 from adpulse.sources.landing import PARTITIONED, PLAIN, store_landing
-from adpulse.streaming.runs import use_rocksdb, wait
+from adpulse.streaming.runs import state_settings, wait
 
 PAIRS = {"product": PRODUCT, "post": POST}
 LAYOUTS = {"plain": PLAIN, "partitioned": PARTITIONED}
@@ -96,24 +96,24 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         fold = streams.compact_counts if args.of == "count" else streams.compact_rates
         fold(spark, args.target)
     else:
-        use_rocksdb(spark)
         lateness = None if args.lateness == "none" else args.lateness
         every = None if args.every == "once" else args.every
-        if args.job == "stream-count":
-            query = streams.stream_daily_counts(
-                spark,
-                args.source,
-                args.target,
-                *types,
-                lateness=lateness,
-                every=every,
-                final=args.final,
-                day=args.day,
-            )
-        else:
-            query = streams.stream_daily_rate(
-                spark, args.source, args.target, PAIRS[args.family], lateness, every, args.day
-            )
+        with state_settings(spark):
+            if args.job == "stream-count":
+                query = streams.stream_daily_counts(
+                    spark,
+                    args.source,
+                    args.target,
+                    *types,
+                    lateness=lateness,
+                    every=every,
+                    final=args.final,
+                    day=args.day,
+                )
+            else:
+                query = streams.stream_daily_rate(
+                    spark, args.source, args.target, PAIRS[args.family], lateness, every, args.day
+                )
         wait(query, args.wait_seconds)
 
 

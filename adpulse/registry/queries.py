@@ -341,7 +341,7 @@ def _run_stream(
         for name, build in results.items():
             result = build(stream_events(spark, f"{base}/landing", max_files_per_trigger=None))
             output = f"{base}/{name}"
-            with runs.state_partitions(spark, partitions):
+            with runs.state_settings(spark, partitions):
                 query = start(result, output, None)
             runs.wait(query, STREAM_SECONDS)
             outputs[name] = output, result.schema

@@ -25,28 +25,28 @@ STATE_STORE = {
 }
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Set the state store for streams started from now on."""
-    for name, value in STATE_STORE.items():
-        spark.conf.set(name, value)
-
-
 @contextmanager
-def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """Partition the state of streams started inside in this many parts; None leaves the
-    session's number of shuffle partitions.
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Start streams inside this to keep their state in RocksDB, in this many partitions;
+    None takes the session's number of shuffle partitions.
 
-    A stream keeps the number of its first start for good, so choose it for the state it
-    will have to hold.
+    A stream reads its settings when it is started and keeps the state store and the number
+    of partitions of its first start for good. The session gets its own settings back.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if number is not None:
-        spark.conf.set(name, str(number))
+    settings = dict(STATE_STORE)
+    if partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _trigger(every: str | None) -> dict:

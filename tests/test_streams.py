@@ -30,8 +30,7 @@ from adpulse.streaming.runs import (
     STATE_STORE,
     start_finals,
     start_upserts,
-    state_partitions,
-    use_rocksdb,
+    state_settings,
     wait,
 )
 from tests.events import event, frame, many, rows, write_lines
@@ -364,15 +363,12 @@ def test_arrivals_are_counted_before_late_ones_are_dropped(spark, drops, tmp_pat
 
 def test_rocksdb_state(spark, drops, tmp_path):
     before = {name: spark.conf.get(name, None) for name in STATE_STORE}
-    use_rocksdb(spark)
-    try:
-        counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
-        out = f"{tmp_path}/out"
+    counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
+    out = f"{tmp_path}/out"
+    with state_settings(spark):
         query = start_upserts(counts, out, None)
-        state = finish(query)
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    state = finish(query)
+    assert {name: spark.conf.get(name, None) for name in STATE_STORE} == before
     assert state == [1, 2, 2, 1, 1, 1]
     custom = query.recentProgress[0]["stateOperators"][0]["customMetrics"]
     assert any(name.startswith("rocksdb") for name in custom)
@@ -383,7 +379,7 @@ def test_state_keeps_the_partitions_of_the_first_start(spark, drops, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     out = f"{tmp_path}/out"
     counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
-    with state_partitions(spark, 3):
+    with state_settings(spark, 3):
         query = start_upserts(counts, out, None)
     wait(query, 120)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
