@@ -12,7 +12,7 @@ from adpulse.plans.tables import COUNT_LOG, RATE_LOG
 from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming.aggregates import daily_counts, daily_rate
 from adpulse.streaming.changelog import compact, latest, read_changes
-from adpulse.streaming.runs import start_finals, start_upserts
+from adpulse.streaming.runs import FINAL_DAYS, start_finals, start_upserts
 
 # The window belongs to the key: as a value it would be a struct to aggregate.
 RATE_KEY = ("window", "event_date", *KEYS)
@@ -64,6 +64,11 @@ def current_rates(spark: SparkSession, target: str) -> DataFrame:
     return latest(read_changes(spark, target, RATE_LOG), RATE_KEY)
 
 
+def final_counts(spark: SparkSession, target: str) -> DataFrame:
+    """The finished days a ``final`` stream has written."""
+    return spark.read.schema(COUNT_LOG).parquet(f"{target}/{FINAL_DAYS}")
+
+
 def compact_counts(spark: SparkSession, target: str) -> None:
     compact(spark, target, COUNT_LOG, COUNT_KEY)
 

@@ -40,6 +40,26 @@ RATE_TABLE = StructType(
     ]
 )
 
+RATE_CHANGE_TABLE = StructType(
+    [
+        *_KEY_FIELDS,
+        StructField("previous", DoubleType()),
+        StructField("current", DoubleType()),
+        StructField("pct_change", DoubleType()),
+        _DATE_FIELD,
+    ]
+)
+COUNT_CHANGE_TABLE = StructType(
+    [
+        *_KEY_FIELDS,
+        StructField("EVENT_TYPE", StringType()),
+        StructField("previous", LongType()),
+        StructField("current", LongType()),
+        StructField("pct_change", DoubleType()),
+        _DATE_FIELD,
+    ]
+)
+
 # What the update-mode streams log: the stored tables with the window of each row.
 COUNT_LOG = StructType([_WINDOW_FIELD, *COUNT_TABLE])
 RATE_LOG = StructType([_WINDOW_FIELD, *RATE_TABLE])

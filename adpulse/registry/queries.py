@@ -27,8 +27,8 @@ from adpulse.model import (
 )
 from adpulse.operators import changes, counts, rates, selection, unions
 from adpulse.plans.insights import write_count_change, write_rate_change
-from adpulse.plans.streams import COUNT_KEY, RATE_KEY
-from adpulse.plans.tables import COUNT_TABLE
+from adpulse.plans.streams import COUNT_KEY, RATE_KEY, final_counts
+from adpulse.plans.tables import COUNT_CHANGE_TABLE, COUNT_TABLE, RATE_CHANGE_TABLE
 from adpulse.registry.dates import DAY, FIRST, GRACE_DAY, LAST, SPLIT
 from adpulse.scratch import scratch_dir
 from adpulse.sinks import daily as sink
@@ -293,7 +293,7 @@ def insight_rate_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, target = (sink.collection(root, "insights", name) for name in ("rates", "change"))
     sink.overwrite_range(_rate(PRODUCT)(spark, sf_dir), stored, FIRST, LAST)
     write_rate_change(spark, stored, target, DAY)
-    return spark.read.parquet(target)
+    return sink.read_days(spark, target, RATE_CHANGE_TABLE)
 
 
 def insight_count_wall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,13 +301,12 @@ def insight_count_wall(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, target = (sink.collection(root, "insights", name) for name in ("counts", "change"))
     sink.overwrite_range(count_wall_daily(spark, sf_dir), stored, FIRST, LAST)
     write_count_change(spark, stored, target, DAY)
-    return spark.read.parquet(target)
+    return sink.read_days(spark, target, COUNT_CHANGE_TABLE)
 
 
 # --- streams -------------------------------------------------------------------------
 
 
-
 def _run_stream(
     spark: SparkSession,
     sf_dir: str,
@@ -377,8 +376,8 @@ def stream_wall_final(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"counts": lambda events: aggregates.daily_counts(events, WALL_IMPRESSION)},
         runs.start_finals,
     )
-    path, columns = out["counts"]
-    return spark.read.schema(columns).parquet(f"{path}/days").drop("window")
+    path, _ = out["counts"]
+    return final_counts(spark, path).drop("window")
 
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +416,7 @@ def stream_rate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.start_finals,
     )
     path, columns = out["halves"]
-    halves = spark.read.schema(columns).parquet(f"{path}/days")
+    halves = spark.read.schema(columns).parquet(f"{path}/{runs.FINAL_DAYS}")
     return rates.regroup(halves)
 
 

@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.streaming.changelog import batch_writer
 
+FINAL_DAYS = "days"
+
 # State for many keys belongs in RocksDB, off the heap, with only its changes uploaded
 # per batch.
 STATE_STORE = {
@@ -77,7 +79,7 @@ def start_finals(result: DataFrame, path: str, every: str | None = "1 second") -
         result.writeStream.outputMode("append")
         .format("parquet")
         .partitionBy("event_date")
-        .option("path", f"{path}/days")
+        .option("path", f"{path}/{FINAL_DAYS}")
         .option("checkpointLocation", checkpoint_of(path))
         .trigger(**_trigger(every))
         .start()

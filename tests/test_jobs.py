@@ -13,7 +13,7 @@ from adpulse.model import (
     PRODUCT_IMPRESSION,
     WALL_IMPRESSION,
 )
-from adpulse.plans.streams import current_counts, current_rates
+from adpulse.plans.streams import current_counts, current_rates, final_counts
 from adpulse.plans.tables import COUNT_LOG, COUNT_TABLE, RATE_LOG, RATE_TABLE
 from adpulse.sinks.daily import read_days
 from adpulse.sources.landing import read_landing_table
@@ -107,7 +107,7 @@ def test_streams(spark, landed):
     run(spark, ["stream-count", *source, "--lateness", "none", "--target", f"{landed}/n"])
     run(spark, ["stream-count", *source, "--final", "--target", f"{landed}/f"])
     run(spark, ["stream-rate", *source, "--family", "product", "--target", f"{landed}/r"])
-    assert spark.read.schema(COUNT_LOG).parquet(f"{landed}/f/days").count() == 0
+    assert final_counts(spark, f"{landed}/f").count() == 0
     for _ in range(2):
         for name in ("c", "n"):
             newest = current_counts(spark, f"{landed}/{name}")

@@ -9,7 +9,12 @@ from adpulse.model import KEYS, PRODUCT, PRODUCT_CLICK, PRODUCT_IMPRESSION, WALL
 from adpulse.operators.counts import event_counts
 from adpulse.operators.rates import rate
 from adpulse.plans.insights import write_count_change, write_rate_change
-from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
+from adpulse.plans.tables import (
+    COUNT_CHANGE_TABLE,
+    COUNT_TABLE,
+    RATE_CHANGE_TABLE,
+    RATE_TABLE,
+)
 from adpulse.sinks.daily import (
     append,
     collection,
@@ -120,9 +125,19 @@ def test_insights_read_what_the_daily_jobs_stored(spark, tmp_path):
     for _ in range(2):
         write_rate_change(spark, rates, f"{tmp_path}/rate_change", D30)
         write_count_change(spark, counts, f"{tmp_path}/count_change", D30)
-    changed = spark.read.parquet(f"{tmp_path}/rate_change")
+    changed = read_days(spark, f"{tmp_path}/rate_change", RATE_CHANGE_TABLE)
     assert rows(changed, "event_date", "previous", "current", "pct_change") == [
         (D30, 2.0, 3.0, 50.0)
     ]
-    changed = spark.read.parquet(f"{tmp_path}/count_change")
+    changed = read_days(spark, f"{tmp_path}/count_change", COUNT_CHANGE_TABLE)
     assert rows(changed, "event_date", "previous", "current", "pct_change") == [(D30, 4, 6, 50.0)]
+    # The files really hold the declared types.
+    for name, table in (("rate", RATE_CHANGE_TABLE), ("count", COUNT_CHANGE_TABLE)):
+        found = spark.read.parquet(f"{tmp_path}/{name}_change").dtypes
+        assert sorted(found) == sorted((f.name, f.dataType.simpleString()) for f in table)
+
+
+def test_a_comparison_without_common_groups_is_empty(spark, tmp_path):
+    overwrite_range(walls(spark, 2, 0), f"{tmp_path}/counts", D29, D30)
+    write_count_change(spark, f"{tmp_path}/counts", f"{tmp_path}/change", D30)
+    assert read_days(spark, f"{tmp_path}/change", COUNT_CHANGE_TABLE).count() == 0
