@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adpulse.llm import neardup
+from adpulse.llm import neardup, quality
 from adpulse.llm.tables import table
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, name = quality.judged(table(spark, sf_dir, "documents"))
+    returned = (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "votes", "posterior",
+    )
+    return rows.select("doc_id", *[F.col(name)[column].alias(column) for column in returned])

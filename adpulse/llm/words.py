@@ -36,8 +36,9 @@ def sequence(n: int, seed: int = 0) -> np.ndarray:
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
+_IS_BREAK = np.zeros(256, bool)
+_IS_BREAK[0x0A] = True
 _BYTE = sequence(256)
-_BYTE[_IS_SPACE] = 0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -45,11 +46,13 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 class Block(NamedTuple):
     """Some consecutive texts: ``first`` is the index of the first one, words of text ``k`` are
-    ``hashes[bounds[k]:bounds[k + 1]]``."""
+    ``hashes[bounds[k]:bounds[k + 1]]``, its bytes ``raw[cuts[k]:cuts[k + 1]]``."""
 
     first: int
     hashes: np.ndarray
     bounds: np.ndarray
+    raw: np.ndarray
+    cuts: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -75,16 +78,19 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[starts[0] : starts[-1]], starts - starts[0]
 
 
-def _hash_piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of some bytes and where each word starts. No word crosses a cut."""
+def _hash_piece(
+    raw: np.ndarray, cuts: np.ndarray, gap: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of bytes that are no gap, and where each run starts. No run crosses a
+    cut."""
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    space = _IS_SPACE[raw]
+    between = gap[raw]
     opens = np.empty(len(raw), bool)
     opens[0] = True
-    opens[1:] = space[:-1]
+    opens[1:] = between[:-1]
     opens[cuts[cuts < len(raw)]] = True
-    opens &= ~space
+    opens &= ~between
     starts = np.flatnonzero(opens)
     if not len(starts):
         return np.zeros(0, np.uint64), starts
@@ -92,7 +98,7 @@ def _hash_piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     powers = np.full(int(place.max()) + 1, _BASE)
     powers[0] = np.uint64(1)
     powers = np.cumprod(powers)
-    sums = np.add.reduceat(_BYTE[raw] * powers[place], starts)
+    sums = np.add.reduceat(np.where(between, np.uint64(0), _BYTE[raw] * powers[place]), starts)
     return mix(sums ^ _GOLDEN), starts
 
 
@@ -115,7 +121,7 @@ def blocks(texts: pa.Array, lower: bool = False) -> Iterator[Block]:
         part = raw[starts[first] : starts[last]]
         cuts = starts[first : last + 1] - starts[first]
         hashes, at = [], []
-        for low, high in _pieces(part):
+        for low, high in _pieces(part, _IS_SPACE):
             inner = cuts[(cuts >= low) & (cuts < high)] - low
             piece = _LOWER[part[low:high]] if lower else part[low:high]
             h, s = _hash_piece(piece, inner)
@@ -123,17 +129,17 @@ def blocks(texts: pa.Array, lower: bool = False) -> Iterator[Block]:
             at.append(s + low)
         words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         places = np.concatenate(at) if at else np.zeros(0, np.int64)
-        yield Block(first, words, np.searchsorted(places, cuts))
+        yield Block(first, words, np.searchsorted(places, cuts), part, cuts)
         first = last
 
 
-def _pieces(raw: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of about PIECE bytes that together cover all bytes and cut no word."""
+def _pieces(raw: np.ndarray, gap: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about PIECE bytes that together cover all bytes and cut no run."""
     low = 0
     while low < len(raw):
         high = min(low + PIECE, len(raw))
         while high < len(raw):
-            gaps = np.flatnonzero(_IS_SPACE[raw[high : high + PIECE]])
+            gaps = np.flatnonzero(gap[raw[high : high + PIECE]])
             if len(gaps):
                 high += int(gaps[0])
                 break
@@ -154,3 +160,47 @@ def windows(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(n):
         hashed = mix(hashed * _BASE + block.hashes[at + k] + np.uint64(k))
     return hashed, at
+
+
+def lines(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every line that has a word, and the text it is in."""
+    hashes, owners = [], []
+    for low, high in _pieces(block.raw, _IS_BREAK):
+        raw = block.raw[low:high]
+        cuts = block.cuts[(block.cuts >= low) & (block.cuts < high)] - low
+        h, starts = _hash_piece(raw, cuts, _IS_BREAK)
+        if len(h):
+            worded = np.add.reduceat((~_IS_SPACE[raw]).astype(np.int64), starts) > 0
+            hashes.append(h[worded])
+            owners.append(np.searchsorted(block.cuts, starts[worded] + low, "right") - 1)
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
+def count_bytes(block: Block, chosen: np.ndarray) -> np.ndarray:
+    """How many bytes of each text are among the chosen ones (a table of 256 flags)."""
+    sums = np.append(0, np.cumsum(chosen[block.raw], dtype=np.int64))
+    return sums[block.cuts[1:]] - sums[block.cuts[:-1]]
+
+
+def byte_set(members: bytes) -> np.ndarray:
+    flags = np.zeros(256, bool)
+    flags[list(members)] = True
+    return flags
+
+
+#: First bytes of characters that belong to words: neither spaces nor UTF-8 continuations.
+WORD_CHARACTERS = ~_IS_SPACE & ~byte_set(bytes(range(0x80, 0xC0)))
+
+
+def repeated(hashed: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags: the value occurs twice or more in its text; it has occurred earlier in it."""
+    order = np.lexsort((np.arange(len(hashed)), hashed, owner))
+    h, o = hashed[order], owner[order]
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = (h[1:] == h[:-1]) & (o[1:] == o[:-1])
+    often, later = np.empty(len(h), bool), np.empty(len(h), bool)
+    often[order] = same[1:] | same[:-1]
+    later[order] = same[:-1]
+    return often, later
