@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import neardup, quality
+from adpulse.llm import language, neardup, quality
 from adpulse.llm.tables import table
 
 
@@ -20,3 +20,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "votes", "posterior",
     )
     return rows.select("doc_id", *[F.col(name)[column].alias(column) for column in returned])
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    rows, _ = language.identified(docs, ~F.coalesce(held_out, F.lit(False)))
+    return rows.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
