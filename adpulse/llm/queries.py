@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import language, neardup, quality
+from adpulse.llm import crossentropy, language, neardup, quality
 from adpulse.llm.tables import table
 
 
@@ -32,3 +32,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.lang").alias("lang_pred"),
         F.col("language.score").alias("score"),
     )
+
+
+def op2_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    targets = good.where("quality = 1").select("doc_id")
+    return crossentropy.differences(table(spark, sf_dir, "documents"), targets)

@@ -11,6 +11,7 @@ from adpulse.llm import queries, sql
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op2_cross_entropy_difference": queries.op2_cross_entropy_difference,
     "op4_quality_rules": queries.op4_quality_rules,
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
