@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import crossentropy, language, neardup, quality
+from adpulse.llm import crossentropy, language, neardup, quality, warc
+from adpulse.llm.store import CLEANUP, setting
 from adpulse.llm.tables import table
+from adpulse.scratch import scratch_dir
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,3 +40,10 @@ def op2_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     targets = good.where("quality = 1").select("doc_id")
     return crossentropy.differences(table(spark, sf_dir, "documents"), targets)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    with setting(spark, CLEANUP, "true"):
+        warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)

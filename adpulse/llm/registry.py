@@ -15,8 +15,10 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": queries.op4_quality_rules,
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
+    "op10_warc": queries.op10_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op9_minhash_near_dedup": sql.OP9,
+    "op10_warc": sql.OP10,
 }

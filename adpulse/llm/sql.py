@@ -44,3 +44,21 @@ select d.doc_id, cast(len(d.s) as bigint) as n_shingles,
        d.doc_id = coalesce(l.label, d.doc_id) as kept
 from sets d left join labels l on list_sort(d.s) = l.s
 """
+
+OP10 = """
+with payloads as (
+  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as h,
+         cast(strlen(coalesce(html, '')) as bigint) as payload_bytes
+  from pages
+),
+firsts as (select payload, min(page_id) as first_id from payloads group by payload)
+select page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((cast('0x' || substr(h, 1 + 5 * (k // 4), 5) as bigint) >> (15 - 5 * (k % 4))) & 31)::int,
+    1)), '') as payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to,
+  true as intact
+from payloads join firsts using (payload)
+"""
