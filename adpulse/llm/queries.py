@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import crossentropy, language, neardup, quality, warc
-from adpulse.llm.store import CLEANUP, setting
+from adpulse.llm import crossentropy, language, mixing, neardup, quality, warc
+from adpulse.llm.store import CLEANUP, setting, stored
 from adpulse.llm.tables import table
 from adpulse.scratch import scratch_dir
 
@@ -47,3 +47,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     with setting(spark, CLEANUP, "true"):
         warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path)
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.coalesce(mixing.count_words("text"), F.lit(0)).alias("size"),
+        mixing.pattern_key(F.array("source")).alias("pattern"),
+    )
+    docs = stored(docs, "sizes")
+    rows, mix = mixing.mixed(docs)
+    sources = [
+        (mixing.source_pattern(source), mix.sizes[source], float(target))
+        for source, target in mix.targets.items()
+    ]
+    named = spark.createDataFrame(sources, "pattern string, source_size long, target double")
+    return rows.join(F.broadcast(named), "pattern").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )

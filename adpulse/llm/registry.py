@@ -12,6 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_cross_entropy_difference": queries.op2_cross_entropy_difference,
+    "op3_source_mix": queries.op3_source_mix,
     "op4_quality_rules": queries.op4_quality_rules,
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,

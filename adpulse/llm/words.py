@@ -204,3 +204,24 @@ def repeated(hashed: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     often[order] = same[1:] | same[:-1]
     later[order] = same[:-1]
     return often, later
+
+
+def word_counts(texts: pa.Array) -> pa.Array:
+    """Number of words of each text, in one pass without hashing."""
+    raw, starts = utf8(texts)
+    counts = np.zeros(len(starts) - 1, np.int64)
+    first = 0
+    while first < len(counts):
+        last = int(np.searchsorted(starts, starts[first] + PIECE, "right")) - 1
+        last = min(max(last, first + 1), len(counts))
+        part = raw[starts[first] : starts[last]]
+        cuts = starts[first : last + 1] - starts[first]
+        space = _IS_SPACE[part]
+        opens = ~space
+        opens[1:] &= space[:-1]
+        heads = cuts[:-1][cuts[:-1] < cuts[1:]]
+        opens[heads] = ~space[heads]
+        sums = np.append(0, np.cumsum(opens, dtype=np.int64))
+        counts[first:last] = sums[cuts[1:]] - sums[cuts[:-1]]
+        first = last
+    return pa.array(counts, pa.int64())
