@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import crossentropy, language, mixing, neardup, quality, warc
+from adpulse.llm import crossentropy, language, mixing, neardup, quality, urlfilter, warc
 from adpulse.llm.store import CLEANUP, setting, stored
 from adpulse.llm.tables import table
 from adpulse.scratch import scratch_dir
@@ -70,3 +70,52 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"),
         "copies",
     )
+
+
+def _number(text: Column) -> Column:
+    """A number below 2^32 that depends on the text alone."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def _day(number: Column) -> Column:
+    return F.date_add(F.lit("2024-01-01").cast("date"), number.cast("int"))
+
+
+def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with a day of fetching each, drawn from the page's id."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return pages.withColumn("day", _day(_number(F.col("page_id").cast("string")) % 366))
+
+
+def host_list(captures: DataFrame) -> DataFrame:
+    """A filter list over the hosts of the captures and the domains above them: a third of the
+    domains has entries, added once or twice and removed in between."""
+    hosts = captures.select(urlfilter.host_of("url").alias("host")).where("host is not null")
+    domains = hosts.distinct().select(
+        F.explode(urlfilter.domains_above("host")).alias("domain")
+    ).distinct()
+    drawn = domains.withColumn("n", _number(F.col("domain"))).where("n % 3 = 0")
+    n = F.col("n")
+    category = F.element_at(
+        F.array(*map(F.lit, ("adult", "malware", "spam"))), (F.floor(n / 3) % 3 + 1).cast("int")
+    )
+    entries = F.array(
+        F.struct((F.floor(n / 9) % 200).alias("at"), F.lit(urlfilter.ADDED).alias("action")),
+        F.struct((200 + F.floor(n / 9) % 70).alias("at"), F.lit(urlfilter.REMOVED).alias("action")),
+        F.struct((270 + F.floor(n / 9) % 90).alias("at"), F.lit(urlfilter.ADDED).alias("action")),
+    )
+    rows = drawn.select("domain", category.alias("category"), F.inline(entries))
+    return rows.select("domain", "category", _day(F.col("at")).alias("day"), "action")
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = page_captures(spark, sf_dir)
+    return urlfilter.filtered(captures, host_list(captures)).select(
+        "page_id",
+        "host",
+        F.col("day").cast("string").alias("fetched_on"),
+        "blocked",
+        "matched",
+        "categories",
+        F.col("listed_on").cast("string").alias("listed_on"),
+    )

@@ -14,12 +14,14 @@ QUERIES: dict[str, Query] = {
     "op2_cross_entropy_difference": queries.op2_cross_entropy_difference,
     "op3_source_mix": queries.op3_source_mix,
     "op4_quality_rules": queries.op4_quality_rules,
+    "op6_url_filter": queries.op6_url_filter,
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
     "op10_warc": queries.op10_warc,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_url_filter": sql.OP6,
     "op9_minhash_near_dedup": sql.OP9,
     "op10_warc": sql.OP10,
 }

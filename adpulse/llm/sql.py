@@ -62,3 +62,46 @@ select page_id, payload_bytes,
   true as intact
 from payloads join firsts using (payload)
 """
+
+OP6 = r"""
+with captures as (
+  select page_id, nullif(lower(regexp_replace(regexp_extract(url,
+           '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@\[\]]+)', 1), '\.+$', '')), '') as host,
+         date '2024-01-01' + cast(cast('0x' || substr(md5(cast(page_id as varchar)), 1, 8) as bigint)
+           % 366 as integer) as day
+  from pages
+),
+hosts as (select distinct host from captures where host is not null),
+above as (
+  select host, unnest(case when regexp_matches(host, '^[0-9.]+$') then [host]
+    else list_transform(range(1, greatest(len(string_split(host, '.')), 2)),
+      lambda k: array_to_string(string_split(host, '.')[k:], '.')) end) as domain
+  from hosts
+),
+drawn as (
+  select domain, cast('0x' || substr(md5(domain), 1, 8) as bigint) as n
+  from (select distinct domain from above)
+),
+entries as (
+  select domain, ['adult', 'malware', 'spam'][cast(n // 3 % 3 + 1 as integer)] as category,
+         date '2024-01-01' + cast(n // 9 % 200 as integer) as since,
+         date '2024-01-01' + cast(200 + n // 9 % 70 as integer) as until
+  from drawn where n % 3 = 0
+  union all
+  select domain, ['adult', 'malware', 'spam'][cast(n // 3 % 3 + 1 as integer)],
+         date '2024-01-01' + cast(270 + n // 9 % 90 as integer), null
+  from drawn where n % 3 = 0
+),
+found as (
+  select c.host, c.day, max_by(e.domain, length(e.domain)) as matched,
+         array_to_string(list_sort(list_distinct(list(e.category))), ',') as categories,
+         max(e.since) as listed_on
+  from (select distinct host, day from captures where host is not null) c
+  join above a on a.host = c.host
+  join entries e on e.domain = a.domain and c.day >= e.since and (e.until is null or c.day < e.until)
+  group by c.host, c.day
+)
+select c.page_id, c.host, cast(c.day as varchar) as fetched_on, f.matched is not null as blocked,
+       f.matched, f.categories, cast(f.listed_on as varchar) as listed_on
+from captures c left join found f on f.host = c.host and f.day = c.day
+"""
