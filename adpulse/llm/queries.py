@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import crossentropy, language, mixing, neardup, quality, urlfilter, warc
+from adpulse.llm import crossentropy, language, mixing, neardup, pii, quality, urlfilter, warc
 from adpulse.llm.store import CLEANUP, setting, stored
 from adpulse.llm.tables import table
 from adpulse.scratch import scratch_dir
@@ -119,3 +119,15 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "categories",
         F.col("listed_on").cast("string").alias("listed_on"),
     )
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pii.found_spans(docs, pii.fit(docs))
+    base, spans = F.col("pii")["base"], F.col("pii")["spans"]
+    return rows.select(
+        "doc_id",
+        *[pii.count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(spans).alias("spans"),
+    )

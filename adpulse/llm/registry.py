@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op3_source_mix": queries.op3_source_mix,
     "op4_quality_rules": queries.op4_quality_rules,
     "op6_url_filter": queries.op6_url_filter,
+    "op7_pii": queries.op7_pii,
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
     "op10_warc": queries.op10_warc,
