@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adpulse.llm import crossentropy, language, mixing, neardup, pii, quality, urlfilter, warc
+from adpulse.llm import (
+    crossentropy,
+    fingerprint,
+    language,
+    mixing,
+    neardup,
+    pii,
+    quality,
+    urlfilter,
+    warc,
+)
 from adpulse.llm.store import CLEANUP, setting, stored
 from adpulse.llm.tables import table
 from adpulse.scratch import scratch_dir
@@ -131,3 +141,51 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.listed(base), 256).alias("base_sha256"),
         pii.listed(spans).alias("spans"),
     )
+
+
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.beside_next(table(spark, sf_dir, "documents"))
+    size = F.length("text")
+    cut = F.floor(size / 3).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), size - cut),
+        F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), cut),
+    )
+    rows = rows.withColumn("edited", edited)
+    digest = F.sha2("edited", 256)
+    # Numbers pass through a hash aggregation, text does not.
+    quarters = [
+        F.conv(F.substring(digest, 16 * k + 1, 16), 16, -10).cast("long").alias(f"q{k}")
+        for k in range(4)
+    ]
+    own = F.struct(F.lit(0).alias("which"), F.col("text").alias("text"))
+    other = F.struct(F.lit(1).alias("which"), F.col("edited").alias("text"))
+    both, own = F.array(own, other), F.array(own)
+    versions = F.when(F.col("extra") == 0, both).otherwise(own)
+    carried = ["extra", "doc_id", "n_chars", *[f"q{k}" for k in range(4)]]
+    rows = rows.select(
+        "bucket", "place", "extra", "doc_id", size.cast("long").alias("n_chars"), *quarters,
+        F.inline(versions),
+    )
+    prints = fingerprint.fingerprints(rows, ["bucket", "place", "which"], carried)
+    return _pair_up(prints, carried)
+
+
+def _pair_up(prints: DataFrame, carried: list[str]) -> DataFrame:
+    ordered = Window.partitionBy("bucket").orderBy("place", "which")
+    # In order: a document, its edited text, the next document.
+    rows = prints.withColumn("edited", F.lead("samples", 1).over(ordered)).withColumn(
+        "following", F.lead("samples", 2).over(ordered)
+    )
+    rows = rows.where("extra = 0 and which = 0")
+    digest = F.concat(*[F.lpad(F.lower(F.hex(f"q{k}")), 16, "0") for k in range(4)])
+    own, edited, following = (F.col(name) for name in ("samples", "edited", "following"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        digest.alias("edited_sha256"),
+        fingerprint.printed(own).alias("fingerprint"),
+        fingerprint.printed(edited).alias("edited_fingerprint"),
+        fingerprint.likeness(own, edited).alias("near_edited"),
+        fingerprint.likeness(own, following).alias("near_next"),
+    )

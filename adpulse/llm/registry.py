@@ -11,6 +11,7 @@ from adpulse.llm import queries, sql
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_document_fingerprints": queries.op1_document_fingerprints,
     "op2_cross_entropy_difference": queries.op2_cross_entropy_difference,
     "op3_source_mix": queries.op3_source_mix,
     "op4_quality_rules": queries.op4_quality_rules,
