@@ -11,6 +11,7 @@ from adpulse.llm import (
     language,
     mixing,
     neardup,
+    pieces,
     pii,
     quality,
     urlfilter,
@@ -189,3 +190,13 @@ def _pair_up(prints: DataFrame, carried: list[str]) -> DataFrame:
         fingerprint.likeness(own, edited).alias("near_edited"),
         fingerprint.likeness(own, following).alias("near_next"),
     )
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        F.size("pieces.ids").cast("long").alias("n_pieces"),
+        F.col("pieces.ids").alias("ids"),
+        F.col("pieces.round_trip").alias("round_trip"),
+    )

@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op2_cross_entropy_difference": queries.op2_cross_entropy_difference,
     "op3_source_mix": queries.op3_source_mix,
     "op4_quality_rules": queries.op4_quality_rules,
+    "op5_sentencepiece": queries.op5_sentencepiece,
     "op6_url_filter": queries.op6_url_filter,
     "op7_pii": queries.op7_pii,
     "op8_language_id": queries.op8_language_id,

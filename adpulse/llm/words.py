@@ -46,13 +46,15 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 class Block(NamedTuple):
     """Some consecutive texts: ``first`` is the index of the first one, words of text ``k`` are
-    ``hashes[bounds[k]:bounds[k + 1]]``, its bytes ``raw[cuts[k]:cuts[k + 1]]``."""
+    ``hashes[bounds[k]:bounds[k + 1]]``, its bytes ``raw[cuts[k]:cuts[k + 1]]``; each word starts
+    at its ``starts`` in ``raw``."""
 
     first: int
     hashes: np.ndarray
     bounds: np.ndarray
     raw: np.ndarray
     cuts: np.ndarray
+    starts: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -129,7 +131,7 @@ def blocks(texts: pa.Array, lower: bool = False) -> Iterator[Block]:
             at.append(s + low)
         words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         places = np.concatenate(at) if at else np.zeros(0, np.int64)
-        yield Block(first, words, np.searchsorted(places, cuts), part, cuts)
+        yield Block(first, words, np.searchsorted(places, cuts), part, cuts, places)
         first = last
 
 
