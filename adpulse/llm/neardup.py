@@ -9,8 +9,9 @@ buckets and star-shaped candidate edges.
 3. Bands of samples are buckets. Within a bucket every class is a candidate partner of the
    smallest one: a star, so pairs grow with the members and not with their square.
 4. Candidates are confirmed on the full sets. Members of a bucket that the stars leave in
-   different components are tested against each other inside the join condition, which gives
-   out links only. So no pair that shares a bucket is missed, whatever the centre.
+   different components are compared too: by bitmaps of their sets, inside the join, which gives
+   out only the pairs that can be alike; these are confirmed on the full sets. So no pair that
+   shares a bucket is missed, whatever the centre.
 5. Components by smallest-label propagation with pointer jumping, as joins.
 
 Two documents at the threshold share no bucket with probability (1 - 0.8^6)^42 = 3e-6.
@@ -45,7 +46,9 @@ _BANDS = _BINS // BAND_ROWS
 _DETOURS = np.argsort(sequence(_BINS * _BINS, seed=9).reshape(_BINS, _BINS), axis=1)
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, class binary, bands array<long>"
-SET_SCHEMA = "class binary, shingles array<long>"
+SET_SCHEMA = "class binary, shingles array<long>, bitmap array<long>"
+#: Bits of a set's bitmap; each shingle sets one.
+BITMAP_WORDS = 64
 
 
 # --- sets and signatures, in Arrow tasks -----------------------------------------------
@@ -110,6 +113,24 @@ def band_block(samples: np.ndarray) -> np.ndarray:
     return hashed
 
 
+def bitmap_block(hashed: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A bitmap of every set. Two sets differ in at least as many shingles as their bitmaps
+    differ in bits."""
+    maps = np.zeros((len(bounds) - 1, BITMAP_WORDS), np.uint64)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    place = hashed & np.uint64(64 * BITMAP_WORDS - 1)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    np.bitwise_or.at(maps, (owner, (place >> np.uint64(6)).astype(np.int64)), bit)
+    return maps
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    bounds = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(
+        pa.array(bounds), pa.array(rows.reshape(-1).view(np.int64), pa.int64())
+    )
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     width = rows.shape[1] * 8
     return pa.Array.from_buffers(
@@ -154,8 +175,9 @@ def _sets(size: int):
                             pa.array(bounds, pa.int32()),
                             pa.array(hashed.view(np.int64), pa.int64()),
                         ),
+                        _lists(bitmap_block(hashed, bounds)),
                     ],
-                    ["class", "shingles"],
+                    ["class", "shingles", "bitmap"],
                 )
 
     return task
@@ -202,9 +224,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(likeness_reaches("set_a", "set_b")).select("a", "b")
 
 
-def crossing_links(shared: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members of one bucket that are still in different components. The test is
-    part of the join, so the join gives out links and no candidates."""
+def may_reach(a: str, b: str, percent: int = THRESHOLD_PERCENT):
+    """Whether two sets, given as structs of ``n`` and ``bitmap``, can be that alike at all: no
+    pair that is alike enough is turned away. They differ in d shingles or more, so at most
+    (n_a + n_b - d) / 2 are in both and at least (n_a + n_b + d) / 2 in either."""
+    differ = F.bit_count(F.col(a)["bitmap"][0].bitwiseXOR(F.col(b)["bitmap"][0]))
+    for k in range(1, BITMAP_WORDS):
+        differ += F.bit_count(F.col(a)["bitmap"][k].bitwiseXOR(F.col(b)["bitmap"][k]))
+    total = F.col(a)["n"] + F.col(b)["n"]
+    near = (F.col(a)["n"] * 100 >= F.col(b)["n"] * percent) & (
+        F.col(b)["n"] * 100 >= F.col(a)["n"] * percent
+    )
+    return F.when(near, (total - differ) * 100 >= (total + differ) * percent).otherwise(False)
+
+
+def crossing_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket that are still in different components and can be alike.
+    The bitmaps are compared as part of the join, so it gives out few pairs beyond the links."""
     placed = shared.join(labels, "node", "left").select(
         "hash", "node", F.coalesce("label", "node").alias("part")
     )
@@ -214,24 +250,25 @@ def crossing_links(shared: DataFrame, labels: DataFrame, sets: DataFrame) -> Dat
         .where("low < high")
         .select("hash")
     )
-    loose = placed.join(open_buckets, "hash", "left_semi").join(sets, "node")
+    drawn = sets.select("node", F.struct(F.size("shingles").alias("n"), "bitmap").alias("map"))
+    loose = placed.join(open_buckets, "hash", "left_semi").join(drawn, "node")
     left, right = (
         loose.select(
             F.col("hash").alias(f"hash_{side}"),
             F.col("node").alias(side),
             F.col("part").alias(f"part_{side}"),
-            F.col("shingles").alias(f"set_{side}"),
+            F.col("map").alias(f"map_{side}"),
         )
         for side in "ab"
     )
-    links = left.join(
+    pairs = left.join(
         right,
         (F.col("hash_a") == F.col("hash_b"))
         & (F.col("a") < F.col("b"))
         & (F.col("part_a") != F.col("part_b"))
-        & likeness_reaches("set_a", "set_b"),
+        & may_reach("map_a", "map_b"),
     )
-    return links.select("a", "b").distinct()
+    return pairs.select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -294,12 +331,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     holders = wanted.select(F.col("node").alias("doc_id")).distinct()
     texts = plain.join(holders, "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets(size), SET_SCHEMA).join(wanted, "class")
-    sets = stored(sets.dropDuplicates(["class"]).select("node", "shingles"), "sets")
+    sets = stored(sets.dropDuplicates(["class"]).drop("class"), "sets")
 
     starred = stored(confirmed(pairs, sets), "links")
     first_labels = components(starred)
-    crossed = stored(crossing_links(shared, first_labels, sets), "links")
-    drop(shared, pairs, sets, first_labels)
+    crossing = stored(crossing_pairs(shared, first_labels, sets), "crossing")
+    crossed = stored(confirmed(crossing, sets), "links")
+    drop(shared, pairs, crossing, sets, first_labels)
     labels = components(starred.union(crossed))
     drop(starred, crossed)
 
