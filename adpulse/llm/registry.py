@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adpulse.llm import queries, sql
+from corpus_pipeline import run as pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
     "op10_warc": queries.op10_warc,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
