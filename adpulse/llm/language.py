@@ -16,7 +16,7 @@ smallest hashed ids, at most ``LANGUAGES`` languages (the most frequent), texts
 
 Defined results: null text or text without a letter is ``und`` with score 0, and so is all if
 there is nothing to learn from. Equal scores go to the language first in code-point order. Repeated
-rows get equal results. Columns other than those named are ignored.
+rows get equal results. Other columns pass through; one named ``language`` is replaced.
 """
 
 from __future__ import annotations
@@ -77,20 +77,20 @@ def _points(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _symbol_runs(
     points: np.ndarray, cuts: np.ndarray, symbols: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all texts, each text between two gaps and without repeated gaps, and the
-    text of each symbol."""
+    """The symbols of all texts, each text after a gap of its own and without repeated gaps, and
+    the text of each symbol."""
     found = np.where(points < _PLANE, symbols[np.minimum(points, _PLANE - 1)], _GAP)
     found = np.insert(found, cuts[:-1], _GAP)
     owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts) + 1)
     found, owner = np.append(found, _GAP), np.append(owner, len(cuts) - 2)
     keep = np.ones(len(found), bool)
-    keep[1:] = (found[1:] != _GAP) | (found[:-1] != _GAP)
+    keep[1:] = (found[1:] != _GAP) | (found[:-1] != _GAP) | (owner[1:] != owner[:-1])
     return found[keep], owner[keep]
 
 
 def _grams(found: np.ndarray, owner: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of every n-gram and its text. The gap that closes a text opens the next one, so
-    grams over it are left out."""
+    """Number of every n-gram and its text. A gap is only the first or the last symbol of one; the
+    gap before the next text closes a text."""
     if len(found) < order:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     n = len(found) - order + 1
@@ -100,6 +100,8 @@ def _grams(found: np.ndarray, owner: np.ndarray, order: int) -> tuple[np.ndarray
         code = code * _SYMBOLS + found[k : k + n]
         if 0 < k < order - 1:
             inside &= found[k : k + n] != _GAP
+    if order == 2:
+        inside &= code > 0
     return code[inside], owner[:n][inside]
 
 

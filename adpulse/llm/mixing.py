@@ -18,7 +18,7 @@ comes together in one task.
 Defined results: null or empty text has size 0 and no word taken; it is taken as often as its place
 says. A null source is a source of its own, last in order. Rows that repeat a doc_id share a place,
 so they are taken alike. A document without any source is not taken. Without any words every target
-is 0. Columns other than those named are ignored.
+is 0. Other columns pass through; those named like the result's are replaced.
 """
 
 from __future__ import annotations
@@ -256,6 +256,7 @@ def copies(seed: int = SEED) -> Column:
 def mixed(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, Mix]:
     """``docs`` (doc_id, size, pattern and whatever else) with ``rounds, cut_place, cut_id`` and
     ``copies``, and the flow behind them. No row of ``docs`` is shuffled for it."""
+    docs = docs.drop("rounds", "cut_place", "cut_id", "copies")
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "pattern")
     mix, counts = planned(sized)
     # One row per pattern, at most MAX_PATTERNS; a pattern's key is as long as its sources' names.

@@ -22,7 +22,7 @@ A vocabulary ranked by merges (its scores are negative ranks) gets costs by rank
 one of log-probabilities the negated scores.
 
 Defined results: null and empty text have no pieces, and no pieces decode to the empty text.
-Repeated rows get equal results. All other columns pass through.
+Repeated rows get equal results. Other columns pass through; one named ``pieces`` is replaced.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ go back to the captures by host and day.
 Defined results: a null or relative url, or one without a host, is not blocked. Hosts are compared
 in lower case, without user, port and final dot. A null day is not blocked. Of several entries of
 one domain, category and day an addition counts. Entries without domain, category or day are
-ignored. Repeated captures get a row each, columns that captures have besides are kept.
+ignored. Repeated captures get a row each. Other columns of the captures pass through; those named
+like the result's are replaced.
 """
 
 from __future__ import annotations
@@ -96,7 +97,8 @@ def verdicts(probes: DataFrame, listed: DataFrame) -> DataFrame:
 def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``captures`` (url, day, and whatever else) with ``host, blocked, matched, categories,
     listed_on`` as of the day."""
-    asked = captures.withColumn("host", host_of("url"))
+    added = ("blocked", "matched", "categories", "listed_on")
+    asked = captures.drop(*added).withColumn("host", host_of("url"))
     probes = asked.where("host is not null and day is not null").select("host", "day").distinct()
     found = verdicts(probes, intervals(entries))
     return asked.join(found, ["host", "day"], "left").withColumn(

@@ -1,0 +1,48 @@
+import pytest
+
+LONG = " ".join(f"w{k % 7001}" for k in range(40_000))
+
+#: doc_id, text, lang, source, n_chars
+MESSY = [
+    (1, "The cat sat on the mat, and the dog sat on the log.", "en", "a", 51),
+    (2, None, "en", "a", None),
+    (3, "", "de", "b", 0),
+    (4, " \t\n ", None, "b", 4),
+    (5, LONG, "en", None, len(LONG)),
+    (6, "The cat sat on the mat, and the dog sat on the log.", "en", "b", 51),
+    (6, "The cat sat on the mat, and the dog sat on the log.", "en", "b", 51),
+    (7, "日本語 テスト 🙂 ▁ ünï \x00 x", "fr", "c", 20),
+    (8, "one", None, None, 3),
+    (9, "x" * 5000, "es", "c", 5000),
+    (None, "a row without an id", "en", "a", 19),
+    (10, "line one\nline one\n\nline one\nline two", "en", "a", 36),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use for their own columns.
+CLASHING = (
+    "quality", "language", "pieces", "pii", "pii_text", "size", "pattern", "copies", "rounds",
+    "bands", "class", "node", "bucket", "place", "is_target", "blocked", "matched", "host",
+    "extra", "samples", "m", "kept", "component_id",
+)
+
+
+@pytest.fixture(scope="session")
+def messy(spark):
+    return spark.createDataFrame(MESSY, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def cluttered(messy):
+    from pyspark.sql import functions as F
+
+    return messy.select("*", *[F.lit("clash").alias(name) for name in CLASHING])
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

@@ -1,0 +1,82 @@
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+
+from adpulse.llm import fingerprint, queries
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _likeness(a: str, b: str) -> float:
+    """Generalised Jaccard likeness of the words."""
+    a, b = Counter(WORD.findall(a)), Counter(WORD.findall(b))
+    union = sum((a | b).values())
+    return sum((a & b).values()) / union if union else 1.0
+
+
+def _run(spark, monkeypatch, docs):
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    return queries.op1_document_fingerprints(spark, "").collect()
+
+
+def test_edited_texts_and_estimates(spark, monkeypatch, documents):
+    rows = {row["doc_id"]: row for row in _run(spark, monkeypatch, documents)}
+    texts = {row["doc_id"]: row["text"] or "" for row in documents.collect()}
+    order = sorted(texts, reverse=True)
+    off = []
+    for place, doc_id in enumerate(order):
+        text, following = texts[doc_id], texts[order[(place + 1) % len(order)]]
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + following[:cut]
+        row = rows[doc_id]
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        off.append(row["near_edited"] - _likeness(text, edited))
+        assert abs(row["near_next"] - _likeness(text, following)) < 0.45
+    assert len(rows) == len(texts)
+    assert abs(sum(off) / len(off)) < 0.03
+    assert (sum(x * x for x in off) / len(off)) ** 0.5 < 0.12
+
+
+def test_equal_texts_have_equal_fingerprints(spark, monkeypatch, documents):
+    prints: dict[str, set] = {}
+    texts = {row["doc_id"]: row["text"] or "" for row in documents.collect()}
+    for row in _run(spark, monkeypatch, documents):
+        prints.setdefault(texts[row["doc_id"]], set()).add(row["fingerprint"])
+    assert all(len(found) == 1 for found in prints.values())
+    # Near copies may agree in all samples.
+    assert len({one for found in prints.values() for one in found}) > 0.95 * len(prints)
+
+
+def test_buckets_do_not_change_the_result(spark, monkeypatch, documents):
+    whole = sorted(_run(spark, monkeypatch, documents))
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 7)
+    assert sorted(_run(spark, monkeypatch, documents)) == whole
+
+
+@pytest.mark.parametrize("rows", [1, 1024])
+def test_messy_rows(spark, monkeypatch, messy, cluttered, rows):
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", rows)
+    got = _run(spark, monkeypatch, cluttered)
+    assert len(got) == messy.count()
+    by_id = {row["doc_id"]: row for row in got}
+    assert by_id[2]["n_chars"] == by_id[3]["n_chars"] == 0
+    assert by_id[2]["fingerprint"] == by_id[3]["fingerprint"] == ""
+    assert by_id[3]["near_next"] == 1.0
+    assert by_id[1]["fingerprint"] == by_id[6]["fingerprint"]
+    # From 10 down to 1, then the row without an id, then 10 again.
+    last = "a row without an id"
+    edited = last[: len(last) - 6] + "line o"
+    assert by_id[None]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_empty_table(spark, monkeypatch, empty):
+    assert _run(spark, monkeypatch, empty) == []
+
+
+def test_no_python_in_the_plan(spark, monkeypatch, documents):
+    monkeypatch.setattr(queries, "table", lambda *_: documents)
+    plan = queries.op1_document_fingerprints(spark, "")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

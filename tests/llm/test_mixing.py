@@ -1,0 +1,138 @@
+import itertools
+import json
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from adpulse.llm import mixing, queries
+
+
+def test_targets_share_by_weight_and_stop_at_twice_the_size():
+    sizes = {"b": 1000, "a": 100, None: 10, "c": 50}
+    targets = mixing.shared_targets(sizes)
+    assert targets == {"a": 200, None: 20, "c": 100, "b": Fraction(1420)}
+    assert sum(targets.values()) == Fraction(3, 2) * 1160
+    assert mixing.shared_targets({"a": 0, "b": 0}) == {"a": 0, "b": 0}
+    assert mixing.shared_targets({}) == {}
+
+
+def _cheapest_brute(patterns, targets):
+    """Largest flow, and its lowest cost, by trying every split of small patterns."""
+    names = sorted(patterns)
+    best = None
+    choices = []
+    for name in names:
+        sources = json.loads(name)
+        top = 2 * patterns[name]
+        choices.append(
+            [
+                split
+                for split in itertools.product(range(top + 1), repeat=len(sources))
+                if sum(split) <= top
+            ]
+        )
+    for splits in itertools.product(*choices):
+        used = dict.fromkeys(targets, 0)
+        cost = flow = 0
+        for name, split in zip(names, splits):
+            for source, amount in zip(json.loads(name), split):
+                used[source] += amount
+            total = sum(split)
+            flow += total
+            cost += min(total, patterns[name]) + 3 * max(0, total - patterns[name])
+        if all(used[s] <= targets[s] for s in targets):
+            best = max(best or (-1, 0), (flow, -cost))
+    return best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_flow_is_as_large_and_cheap_as_any(seed):
+    draw = random.Random(seed)
+    patterns = {
+        json.dumps(p): draw.randint(0, 3) for p in (["a"], ["a", "b"], ["b", "c"])
+    }
+    targets = {s: draw.randint(0, 5) for s in "abc"}
+    flows = mixing.route(patterns, targets)
+    through = {p: sum(n for (q, _), n in flows.items() if q == p) for p in patterns}
+    into = {s: sum(n for (_, t), n in flows.items() if t == s) for s in targets}
+    assert all(into[s] <= targets[s] for s in targets)
+    assert all(through[p] <= 2 * patterns[p] for p in patterns)
+    cost = sum(min(n, patterns[p]) + 3 * max(0, n - patterns[p]) for p, n in through.items())
+    assert (sum(through.values()), -cost) == _cheapest_brute(patterns, targets)
+
+
+def _mixed(docs, **kwargs):
+    rows, mix = mixing.mixed(docs, **kwargs)
+    return rows.collect(), mix
+
+
+@pytest.mark.parametrize("bucket_rows", [5, 4096])
+def test_every_pattern_takes_what_flows_through_it(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    draw = random.Random(3)
+    sets = [["a"], ["b"], ["a", "b"], ["c"], [None], ["c", "a"]]
+    rows = [(k, draw.randint(0, 40), sets[k % 7 % 6]) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>")
+    docs = docs.select("*", mixing.pattern_key("sources").alias("pattern"))
+    got, mix = _mixed(docs)
+    assert len(got) == 400
+    for pattern, size in mix.patterns.items():
+        own = [row for row in got if row["pattern"] == pattern]
+        flow = sum(n for (name, _), n in mix.flows.items() if name == pattern)
+        taken = sum(row["copies"] * row["size"] for row in own)
+        assert abs(taken - flow) <= 20
+        assert max(row["copies"] for row in own) <= 2
+        assert len({row["copies"] for row in own}) <= 2
+        assert size == sum(row["size"] for row in own)
+    again, _ = _mixed(docs.repartition(5))
+    assert sorted((r["doc_id"], r["copies"]) for r in got) == sorted(
+        (r["doc_id"], r["copies"]) for r in again
+    )
+    other, _ = _mixed(docs, seed=99)
+    assert {r["doc_id"] for r in other if r["copies"] == 1} != {
+        r["doc_id"] for r in got if r["copies"] == 1
+    }
+
+
+def test_query_counts_words_and_nears_targets(spark, monkeypatch, documents):
+    monkeypatch.setattr(queries, "table", lambda *_: documents)
+    rows = queries.op3_source_mix(spark, "").collect()
+    sources = {row["doc_id"]: row["source"] for row in documents.collect()}
+    longest = max(row["size"] for row in rows)
+    by_source: dict = {}
+    for row in rows:
+        by_source.setdefault(sources[row["doc_id"]], []).append(row)
+        assert 0 <= row["taken"] <= 2 * row["size"]
+    total = sum(row["size"] for row in rows)
+    assert sum(own[0]["target"] for own in by_source.values()) == pytest.approx(1.5 * total)
+    for own in by_source.values():
+        assert own[0]["source_size"] == sum(row["size"] for row in own)
+        assert abs(sum(row["taken"] for row in own) - own[0]["target"]) <= longest / 2 + 1
+
+
+def test_messy_rows(spark, monkeypatch, messy, cluttered, empty):
+    monkeypatch.setattr(queries, "table", lambda *_: cluttered)
+    rows = queries.op3_source_mix(spark, "").collect()
+    assert len(rows) == messy.count()
+    assert {row["taken"] for row in rows if row["doc_id"] in (2, 3, 4)} == {0}
+    assert len({row["copies"] for row in rows if row["doc_id"] == 6}) == 1
+    monkeypatch.setattr(queries, "table", lambda *_: empty)
+    assert queries.op3_source_mix(spark, "").collect() == []
+
+
+def test_clashing_columns_are_replaced(cluttered):
+    docs = cluttered.withColumn("size", F.lit(3)).withColumn(
+        "pattern", mixing.pattern_key(F.array("source"))
+    )
+    rows, _ = mixing.mixed(docs)
+    assert {type(row["copies"]) for row in rows.collect()} == {int}
+
+
+def test_too_many_patterns_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
+    docs = spark.createDataFrame([(k, 1, f'["{k}"]') for k in range(3)],
+                                 "doc_id long, size long, pattern string")
+    with pytest.raises(ValueError, match="more than 2"):
+        mixing.mixed(docs)

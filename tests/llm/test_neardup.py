@@ -1,0 +1,144 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from adpulse.llm import neardup, words
+
+
+def _set(text, size):
+    found = (text or "").encode().lower().split()
+    if len(found) < size:
+        return {tuple(found)} if found else set()
+    return {tuple(found[k : k + size]) for k in range(len(found) - size + 1)}
+
+
+def _brute(rows, size):
+    """Component and set size of every id, by comparing all pairs."""
+    sets = {}
+    for doc_id, text in rows:
+        sets.setdefault(doc_id, []).append(_set(text, size))
+    label = {doc_id: doc_id for doc_id in sets}
+
+    def top(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            linked = any(
+                x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]
+            )
+            if linked and top(a) != top(b):
+                low, high = sorted((top(a), top(b)))
+                label[high] = low
+    return {doc_id: top(doc_id) for doc_id in ids}
+
+
+def _family(draw, base, copies, edits):
+    """Copies of a text with a few words changed each."""
+    texts = []
+    for _ in range(copies):
+        own = list(base)
+        for _ in range(draw.randint(0, edits)):
+            own[draw.randrange(len(own))] = f"new{draw.randrange(10**6)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def _corpus(seed):
+    draw = random.Random(seed)
+    texts = [" ".join(f"w{draw.randrange(3000)}" for _ in range(60)) for _ in range(40)]
+    for length, edits in ((120, 14), (60, 6), (12, 2), (5, 1)):
+        base = [f"v{draw.randrange(500)}" for _ in range(length)]
+        texts += _family(draw, base, 25, edits)
+    texts += texts[:5] + ["", None, "  ", "one", "one", "One", "two words", "two  words"]
+    draw.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("size", [2, 5])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_match_all_pairs(spark, seed, size):
+    rows = _corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = neardup.near_duplicates(docs, size).collect()
+    expected = _brute(rows, size)
+    assert {row["doc_id"]: row["component_id"] for row in got} == expected
+    sizes = {doc_id: len(_set(text, size)) for doc_id, text in rows}
+    assert {row["doc_id"]: row["n_shingles"] for row in got} == sizes
+    assert all(row["kept"] == (row["doc_id"] == row["component_id"]) for row in got)
+
+
+def test_a_link_that_the_star_misses_is_found(spark):
+    """a is the centre; b and c are alike, and neither is alike enough to a."""
+    shared = [f"s{k}" for k in range(200)]
+    a = shared + [f"a{k}" for k in range(30)]
+    b = shared[:170] + [f"b{k}" for k in range(30)] + ["x"]
+    c = shared[:170] + [f"b{k}" for k in range(30)] + ["y"]
+    rows = [(k, " ".join(own)) for k, own in enumerate((a, b, c))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, 1).collect()}
+    assert got == _brute(rows, 1) == {0: 0, 1: 1, 2: 1}
+
+
+def test_samples_agree_as_often_as_sets_are_alike():
+    draw = random.Random(5)
+    off = []
+    for size in (3, 20, 150, 1000):
+        for _ in range(20):
+            one = [f"t{draw.randrange(10**9)}" for _ in range(size)]
+            other = one[: size - size // 5] + [f"u{k}" for k in range(size // 5)]
+            texts = pa.array([" ".join(one), " ".join(other)])
+            for block in words.blocks(texts, lower=True):
+                samples = neardup.signature_block(*neardup.shingle_block(block, 1))
+            a, b = set(one), set(other)
+            off.append((samples[0] == samples[1]).mean() - len(a & b) / len(a | b))
+    assert abs(np.mean(off)) < 0.05
+
+
+def test_bitmaps_turn_away_no_link(spark):
+    draw = random.Random(8)
+    for size in (5, 60, 3000):
+        one = [f"t{draw.randrange(10**9)}" for _ in range(size)]
+        other = one[: size - size // 9] + [f"u{k}" for k in range(size // 9)]
+        texts = pa.array([" ".join(one), " ".join(other)])
+        for block in words.blocks(texts, lower=True):
+            hashed, bounds = neardup.shingle_block(block, 1)
+            maps = neardup.bitmap_block(hashed, bounds).view(np.int64).tolist()
+        alike = 100 * len(set(one) & set(other)) >= 80 * len(set(one) | set(other))
+        row = spark.createDataFrame(
+            [((len(set(one)), maps[0]), (len(set(other)), maps[1]))],
+            "a struct<n:int,bitmap:array<long>>, b struct<n:int,bitmap:array<long>>",
+        ).select(neardup.may_reach("a", "b").alias("may")).first()
+        assert row["may"] or not alike
+
+
+def test_components_of_a_long_chain(spark):
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, 103), (103, 101)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = {row["node"]: row["label"] for row in neardup.components(frame).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 103: 100}
+
+
+def test_messy_rows(messy, cluttered, empty):
+    rows = neardup.near_duplicates(cluttered, 2).collect()
+    assert len(rows) == messy.count()
+    by_id = {}
+    for row in rows:
+        by_id.setdefault(row["doc_id"], []).append(row)
+    assert [r["component_id"] for r in by_id[6]] == [1, 1]
+    assert all(by_id[k][0]["kept"] and by_id[k][0]["n_shingles"] == 0 for k in (2, 3, 4))
+    assert by_id[None][0]["component_id"] is None and by_id[None][0]["kept"]
+    assert by_id[8][0]["n_shingles"] == 1
+    assert neardup.near_duplicates(empty, 2).collect() == []
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(1, "a b c d"), (1, "e f g h"), (2, "e f g h"), (3, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(docs, 2).collect()
+    assert {row["component_id"] for row in got} == {1}
