@@ -169,9 +169,9 @@ def differences(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, difference`` of every row of ``docs``.
     ``targets``: the doc_id of target documents, each once."""
     rows = docs.select("doc_id", "text")
-    marked = rows.join(
-        targets.select(F.col("doc_id"), F.lit(True).alias("is_target")), "doc_id", "left"
-    )
+    chosen = targets.select(F.col("doc_id"), F.lit(True).alias("is_target"))
+    # A merge join at every size: the targets grow with the documents.
+    marked = rows.join(chosen.hint("merge"), "doc_id", "left")
     score = scorer(docs, *models(marked))
     scored = rows.select("doc_id", score("text").alias("scores"))
     return scored.select("doc_id", "scores.*")
