@@ -88,7 +88,7 @@ def decided(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
         "payload_bytes", F.octet_length("html").cast("long")
     )
     # The decisions are small rows; payloads meet them by page_id, which is never hot.
-    seen = rows.select("page_id", "sha1", "payload_bytes")
+    seen = stored(rows.select("page_id", "sha1", "payload_bytes"), "digests")
     first = seen.groupBy("sha1", "payload_bytes").agg(F.min("page_id").alias("refers_to"))
     revisits = (
         seen.where(F.col("payload_bytes") >= min_bytes)
@@ -163,22 +163,27 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """``record, chunk, kind, page_id, refers_to, payload_bytes, digest, url, segmented, data``:
     one row per chunk of the archives below ``path``; ``data`` is payload."""
     raw = spark.read.option("lineSep", _SEPARATOR).text(path)
-    value = F.regexp_replace("value", r"\A" + START, "")
-    head_end = F.instr(value, END)
-    rows = raw.select(
-        F.substring(value, F.lit(1), head_end + 1).alias("head"),
-        F.substring(value, head_end + 4, F.length(value)).alias("block"),
+    # Only the first record of a file still has its start line.
+    at_start = F.col("value").startswith(START)
+    rows = raw.withColumn("head", F.concat(F.substring_index("value", END, 1), F.lit("\r")))
+    rows = rows.select(
+        F.when(at_start, F.substring("head", len(START) + 1, 1 << 30))
+        .otherwise(F.col("head"))
+        .alias("head"),
+        F.substring("value", F.length("head") + len(END), F.lit(1 << 30)).alias("block"),
     )
 
+    rows = rows.withColumn("fields", F.str_to_map("head", F.lit("\r\n"), F.lit(": "))).drop("head")
+
     def field(name: str) -> Column:
-        found = F.regexp_extract("head", rf"(?:^|\n){name}: ([^\r\n]*)\r", 1)
-        return F.when(found != "", found)
+        return F.col("fields")[name]
 
     # The last record of a file still has its end mark; what is too much is ASCII.
     extra = F.octet_length("block") - field("Content-Length").cast("int")
-    block = F.substring("block", F.lit(1), F.length("block") - extra)
     continued = field("WARC-Segment-Origin-ID")
-    payload = F.when(continued.isNull(), F.substring(block, F.lit(len(HTTP) + 1), F.length(block)))
+    start = F.when(continued.isNull(), len(HTTP) + 1).otherwise(1)
+    length = F.length("block") - extra - start + 1
+    rows = rows.withColumn("data", F.substring("block", start, length)).drop("block")
     return rows.select(
         F.coalesce(continued, field("WARC-Record-ID")).alias("record"),
         F.coalesce(field("WARC-Segment-Number").cast("int"), F.lit(1)).alias("chunk"),
@@ -189,7 +194,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         field("Refers-To-Page-Id").cast("long").alias("refers_to"),
         field("Payload-Length").cast("long").alias("payload_bytes"),
         F.substring(field("WARC-Payload-Digest"), 6, 32).alias("digest"),
-        F.coalesce(payload, block).alias("data"),
+        "data",
     )
 
 
