@@ -10,20 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def parse_date(text: Column) -> Column:
-    """The calendar day written in the text, whatever the session time zone."""
-    return text.try_cast("date")
-
-
 def parse_timestamp(text: Column) -> Column:
     """The instant; text without an offset is read in the session time zone."""
     return text.try_cast("timestamp")
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
-    """Add ``event_ts`` and ``event_date``; the unused one is pruned from the plan."""
-    iso = F.col("ISOTIMESTAMP")
-    return events.withColumns({"event_ts": parse_timestamp(iso), "event_date": parse_date(iso)})
+    """Add ``event_ts`` and ``event_date``, its UTC day: the day the streams' windows have too.
+    The unused one is pruned from the plan. The day written in the text is ``DAY``."""
+    instant = parse_timestamp(F.col("ISOTIMESTAMP"))
+    return events.withColumns({"event_ts": instant, "event_date": utc_day(instant)})
 
 
 def utc_day(ts: Column) -> Column:

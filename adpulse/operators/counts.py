@@ -36,10 +36,13 @@ def dropped_counts(recounted: DataFrame, streamed: DataFrame) -> DataFrame:
     the same files finds and the stream's present counts do not have.
 
     Exact, which the stream's own counter is not: that one counts rows after partial
-    aggregation. The two tables are added up, not joined, so NULL keys need no care.
+    aggregation. The two tables are added up, not joined, so NULL keys need no care. Events
+    without a usable time belong to no day, so no stream can be late for them;
+    ``event_time_quality`` reports those.
     """
     group = [*KEYS, "EVENT_TYPE", "event_date"]
-    missing = recounted.select(*group, F.col("impressions").alias("dropped")).unionByName(
+    dated = recounted.where(F.col("event_date").isNotNull())
+    missing = dated.select(*group, F.col("impressions").alias("dropped")).unionByName(
         streamed.select(*group, (-F.col("impressions")).alias("dropped"))
     )
     return missing.groupBy(*group).agg(F.sum("dropped").alias("dropped")).where("dropped <> 0")

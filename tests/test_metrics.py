@@ -197,9 +197,10 @@ def test_time_text(spark):
         "2021-06-30T10:00:00": (dt.date(2021, 6, 30), dt.datetime(2021, 6, 30, 10)),
         "2021-06-30 10:00:00": (dt.date(2021, 6, 30), dt.datetime(2021, 6, 30, 10)),
         "2021-06-30": (dt.date(2021, 6, 30), dt.datetime(2021, 6, 30)),
-        # The date is the one written, the instant is in UTC.
-        "2021-06-30T23:30:00-05:00": (dt.date(2021, 6, 30), dt.datetime(2021, 7, 1, 4, 30)),
+        # The day is that of the instant in UTC.
+        "2021-06-30T23:30:00-05:00": (dt.date(2021, 7, 1), dt.datetime(2021, 7, 1, 4, 30)),
         "bad": (None, None),
+        "2021-06-30Tbad": (None, None),
         "2021-13-30T10:00:00Z": (None, None),
     }
     events = frame(spark, [event(A, WALL_IMPRESSION, text, day="30") for text in texts])
