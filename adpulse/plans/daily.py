@@ -38,7 +38,8 @@ def day_events(
 def write_daily_counts(
     spark: SparkSession, base: str, target: str, day: Day, *types: str, **read
 ) -> None:
-    overwrite_day(event_counts(day_events(spark, base, day, **read), *types), target, day)
+    counts = event_counts(day_events(spark, base, day, **read), *types)
+    overwrite_day(counts, target, day, types)
 
 
 def write_daily_rate(
@@ -57,7 +58,7 @@ def write_days(
     """
     table = collection(root, "daily", "counts")
     events = read_landing_days(spark, base, first, last, **read)
-    overwrite_range(event_counts(events, *ALL_TYPES), table, first, last)
+    overwrite_range(event_counts(events, *ALL_TYPES), table, first, last, ALL_TYPES)
     stored = read_days(spark, table, COUNT_TABLE, first, last)
     for name, pair in (("product_rate", PRODUCT), ("post_rate", POST)):
         target = collection(root, "daily", name)

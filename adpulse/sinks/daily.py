@@ -1,7 +1,8 @@
-"""Metric tables partitioned by day.
+"""Metric tables partitioned by day, count tables by day and event type.
 
 Writing a day again replaces that day and nothing else, so a rerun does not duplicate
-rows and one job cannot wipe another day.
+rows and one job cannot wipe another day. In a count table it replaces the types written, so
+jobs for several types can share one.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ def overwrite_days(
     by: str = "event_date",
     then_by: tuple[str, ...] = (),
     rebalance: bool = True,
+    types: tuple[str, ...] | None = None,
 ) -> None:
-    """Replace the given days of a Parquet table with those days of ``rows``.
+    """Replace the given days of a Parquet table with those days of ``rows``; with ``types``,
+    exactly those types of the days, in a table partitioned by ``EVENT_TYPE`` below the day.
 
     Dynamic partition overwrite stages the new files and swaps them in at commit, so a
     failed job leaves the old day in place. It does not touch a partition that got no
@@ -33,10 +36,15 @@ def overwrite_days(
     """
     spark = rows.sparkSession
     wanted = [as_day(day) for day in days]
-    before: dict[str, str] = {}
-    for day in wanted:
-        before.update(a_file_of_each(spark, f"{path.rstrip('/')}/{by}={day.isoformat()}"))
+    replaced = [f"{by}={day.isoformat()}" for day in wanted]
     chosen = rows.where(F.col(by).isin(wanted))
+    if types is not None:
+        replaced = [f"{day}/EVENT_TYPE={kind}" for day in replaced for kind in types]
+        chosen = chosen.where(F.col("EVENT_TYPE").isin(*types))
+        then_by = ("EVENT_TYPE", *then_by)
+    before: dict[str, str] = {}
+    for partition in replaced:
+        before.update(a_file_of_each(spark, f"{path.rstrip('/')}/{partition}"))
     if rebalance:
         chosen = chosen.hint("rebalance", by, *then_by)
     (
@@ -50,33 +58,38 @@ def overwrite_days(
             remove(spark, partition)
 
 
-def overwrite_day(rows: DataFrame, path: str, day: Day) -> None:
-    overwrite_days(rows, path, [day])
+def overwrite_day(
+    rows: DataFrame, path: str, day: Day, types: tuple[str, ...] | None = None
+) -> None:
+    overwrite_days(rows, path, [day], types=types)
 
 
-def overwrite_range(rows: DataFrame, path: str, first: Day, last: Day) -> None:
-    overwrite_days(rows, path, days_between(first, last))
+def overwrite_range(
+    rows: DataFrame, path: str, first: Day, last: Day, types: tuple[str, ...] | None = None
+) -> None:
+    overwrite_days(rows, path, days_between(first, last), types=types)
+
+
+def _partitions(rows: DataFrame) -> tuple[str, ...]:
+    return ("event_date", "EVENT_TYPE") if "EVENT_TYPE" in rows.columns else ("event_date",)
 
 
 def replace_all(rows: DataFrame, path: str) -> None:
     """Replace the whole table, every day of it."""
+    by = _partitions(rows)
     (
-        rows.hint("rebalance", "event_date")
+        rows.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .partitionBy("event_date")
+        .partitionBy(*by)
         .parquet(path)
     )
 
 
 def append(rows: DataFrame, path: str) -> None:
     """Add rows without looking at what is there. A rerun adds them a second time."""
-    (
-        rows.hint("rebalance", "event_date")
-        .write.mode("append")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+    by = _partitions(rows)
+    rows.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
 def collection(root: str, database: str, name: str) -> str:
@@ -92,7 +105,7 @@ def read_days(
     last: Day | None = None,
 ) -> DataFrame:
     """The stored days from first to last; the other partitions are not read."""
-    rows = spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path).select(*schema.names)
     if first is not None:
         rows = rows.where(F.col("event_date") >= F.lit(as_day(first)))
     if last is not None:

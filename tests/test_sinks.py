@@ -141,3 +141,17 @@ def test_a_comparison_without_common_groups_is_empty(spark, tmp_path):
     overwrite_range(walls(spark, 2, 0), f"{tmp_path}/counts", D29, D30)
     write_count_change(spark, f"{tmp_path}/counts", f"{tmp_path}/change", D30)
     assert read_days(spark, f"{tmp_path}/change", COUNT_CHANGE_TABLE).count() == 0
+
+
+def test_two_types_share_a_table(spark, tmp_path, table):
+    events = many(2, A, WALL_IMPRESSION, "2021-06-30T12:00:00Z")
+    events += many(3, A, PRODUCT_CLICK, "2021-06-30T12:00:00Z")
+    for kind in (WALL_IMPRESSION, PRODUCT_CLICK, WALL_IMPRESSION):
+        overwrite_day(event_counts(frame(spark, events), kind), table, D30, (kind,))
+    found = read_days(spark, table, COUNT_TABLE)
+    assert rows(found, "EVENT_TYPE", "impressions") == [(PRODUCT_CLICK, 3), (WALL_IMPRESSION, 2)]
+    # A type that got no rows is cleared, the other one is left alone.
+    none = event_counts(frame(spark, events), WALL_IMPRESSION).where("impressions > 9")
+    overwrite_day(none, table, D30, (WALL_IMPRESSION,))
+    found = read_days(spark, table, COUNT_TABLE)
+    assert rows(found, "EVENT_TYPE", "impressions") == [(PRODUCT_CLICK, 3)]
