@@ -55,9 +55,12 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--every", default="1 second", help="or 'once' to end when caught up")
         sub.add_argument("--wait-seconds", type=int, help="give up after this long")
         sub.add_argument("--day", help="only events whose DAY names this day")
-    jobs.choices["stream-count"].add_argument(
-        "--final", action="store_true", help="write each day once, when it is over"
-    )
+        sub.add_argument("--final", action="store_true", help="write each day once, when it is over")
+        sub.add_argument(
+            "--max-files", type=int, help="files per micro-batch, if they arrive in event order"
+        )
+        sub.add_argument("--compact-every", type=int, help="fold the log after so many batches")
+        sub.add_argument("--state-partitions", type=int, help="fixed by the first start")
     for name in ("daily-count", "stream-count"):
         jobs.choices[name].add_argument("--type", action="append", help="repeat for several")
     for name in ("daily-rate", "stream-rate"):
@@ -98,22 +101,20 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     else:
         lateness = None if args.lateness == "none" else args.lateness
         every = None if args.every == "once" else args.every
-        with state_settings(spark):
+        where = (spark, args.source, args.target)
+        how = {
+            "lateness": lateness,
+            "every": every,
+            "final": args.final,
+            "day": args.day,
+            "max_files": args.max_files,
+            "compact_every": args.compact_every,
+        }
+        with state_settings(spark, args.state_partitions):
             if args.job == "stream-count":
-                query = streams.stream_daily_counts(
-                    spark,
-                    args.source,
-                    args.target,
-                    *types,
-                    lateness=lateness,
-                    every=every,
-                    final=args.final,
-                    day=args.day,
-                )
+                query = streams.stream_daily_counts(*where, *types, **how)
             else:
-                query = streams.stream_daily_rate(
-                    spark, args.source, args.target, PAIRS[args.family], lateness, every, args.day
-                )
+                query = streams.stream_daily_rate(*where, PAIRS[args.family], **how)
         wait(query, args.wait_seconds)
 
 

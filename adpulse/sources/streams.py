@@ -9,16 +9,29 @@ from adpulse.functions.event_time import with_event_time
 from adpulse.model import EVENT_SCHEMA
 
 
+#: A century. The source's own default leaves out files a week older than the newest one.
+MAX_FILE_AGE = "36500d"
+
+
 def stream_events(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = 1000, **options: str
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+    **options: str,
 ) -> DataFrame:
     """Stream JSON lines below ``path`` under the same schema as the batch reads.
 
+    Every file is read, however old and however many have piled up. A cap on files per
+    micro-batch moves the watermark between them, so with a watermark it decides which events
+    are late unless files arrive in event order; it is for backlogs of such files.
+
     ``path`` may be a glob. Keep it to the directories still receiving files: every
-    trigger lists all of it. Other file-source options, such as ``maxFileAge`` or
-    ``cleanSource``, pass through.
+    trigger lists all of it, and the source remembers every file it has seen that is not older
+    than ``max_file_age``. ``cleanSource``, and other options, pass through.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA).option("mode", "PERMISSIVE")
+    reader = reader.option("maxFileAge", max_file_age)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     columns = EVENT_SCHEMA.fieldNames()

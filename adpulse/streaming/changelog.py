@@ -14,25 +14,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
-from adpulse.sinks.files import numbered_dirs, remove
+from adpulse.sinks.files import a_file_of_each, numbered_dirs, remove
 
 LOG, SNAPSHOTS = "log", "snapshots"
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    path: str, compact_every: int | None = None, key: tuple[str, ...] = ()
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that logs each batch below ``path``.
 
-    Every state partition writes its own rows, without another shuffle; the many small
-    files this leaves are what ``compact`` is for.
+    The changed groups, one row each, are brought together by day first: a batch leaves about
+    a file per day it touches and not one per day and state partition. With ``compact_every``,
+    the log is folded after every so many batches, ``key`` telling the groups apart.
     """
 
     def write(changes: DataFrame, batch_id: int) -> None:
         (
-            changes.write.mode("overwrite")
+            changes.hint("rebalance", "event_date")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("event_date")
             .parquet(f"{path}/{LOG}/batch_id={batch_id}")
         )
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact(changes.sparkSession, path, changes.schema, key)
 
     return write
 
@@ -76,7 +82,9 @@ def compact(
     key: tuple[str, ...],
     through: int | None = None,
 ) -> None:
-    """Fold the log up to a batch into one snapshot, then drop what it replaces.
+    """Fold the log up to a batch into a snapshot of the days it touches, then drop what that
+    replaces. Snapshots of other days stay as they are, so the cost follows the log and not the
+    age of the table.
 
     The newest batch is left alone by default: the stream may still have to run it again.
     A snapshot gets a directory of its own and is complete before anything is removed, so
@@ -90,7 +98,16 @@ def compact(
     if not folded:
         return
     older = numbered_dirs(spark, f"{path}/{SNAPSHOTS}", "through")
+    touched = (
+        spark.read.schema(_stored(columns))
+        .parquet(f"{path}/{LOG}")
+        .where(F.col("batch_id") <= through)
+        .select("event_date")
+        .distinct()
+    )
+    days = sorted(row.event_date for row in touched.collect())
     changes = read_changes(spark, path, columns).where(F.col("batch_id") <= through)
+    changes = changes.where(F.col("event_date").isin(days))
     newest = latest(changes.withColumn("as_of", F.col("batch_id")), key)
     (
         newest.withColumnRenamed("as_of", "batch_id")
@@ -104,4 +121,8 @@ def compact(
         remove(spark, f"{path}/{LOG}/batch_id={batch}")
     for snapshot in older:
         if snapshot != through:
-            remove(spark, f"{path}/{SNAPSHOTS}/through={snapshot}")
+            place = f"{path}/{SNAPSHOTS}/through={snapshot}"
+            for day in days:
+                remove(spark, f"{place}/event_date={day.isoformat()}")
+            if not a_file_of_each(spark, place):
+                remove(spark, place)

@@ -60,13 +60,17 @@ def checkpoint_of(path: str) -> str:
 
 
 def start_upserts(
-    result: DataFrame, path: str, every: str | None = "1 second"
+    result: DataFrame,
+    path: str,
+    every: str | None = "1 second",
+    compact_every: int | None = None,
+    key: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Update mode into the change log at ``path``. ``every=None`` works off what has
-    arrived so far and ends."""
+    arrived so far and ends. The log is folded after every ``compact_every`` batches."""
     return (
         result.writeStream.outputMode("update")
-        .foreachBatch(batch_writer(path))
+        .foreachBatch(batch_writer(path, compact_every, key))
         .option("checkpointLocation", checkpoint_of(path))
         .trigger(**_trigger(every))
         .start()

@@ -19,7 +19,9 @@ from adpulse.plans.streams import (
     COUNT_KEY,
     current_counts,
     current_rates,
+    final_rates,
     stream_daily_counts,
+    stream_daily_rate,
 )
 from adpulse.sinks.files import numbered_dirs
 from adpulse.sources.landing import read_json
@@ -233,7 +235,8 @@ def test_compaction_keeps_the_present_values(spark, drops, tmp_path):
         assert rows(current_counts(spark, out)) == before
     # The newest batch may still be run again, so it stays in the log.
     assert numbered_dirs(spark, f"{out}/log", "batch_id") == logged[-1:]
-    assert numbered_dirs(spark, f"{out}/snapshots", "through") == [logged[-2]]
+    # Days 29 and 30 were not touched again, so their snapshot is still the first one.
+    assert numbered_dirs(spark, f"{out}/snapshots", "through") == [1, logged[-2]]
     # And the stream goes on after it.
     drop(drops, 9, many(3, A, WALL_IMPRESSION, "2021-07-02T13:00:00Z"))
     counts = daily_counts(source(spark, drops), WALL_IMPRESSION)
@@ -405,3 +408,112 @@ def test_timed_trigger_runs_until_stopped(spark, drops, tmp_path):
     newest = rows(current_counts(spark, f"{tmp_path}/out"), "event_date", "impressions")
     # All five files fit one micro-batch, and nothing is late within the first one.
     assert newest == [(D29, 7), (D30, 3), (D02, 2)]
+
+
+def test_old_files_are_read(spark, tmp_path):
+    """The second file is nine days older than the first, by its modification time."""
+    newer, older = 1_600_000_000, 1_600_000_000 - 9 * 86_400
+    first = many(2, A, WALL_IMPRESSION, "2021-06-30T10:00:00Z")
+    write_lines(tmp_path / "in/1.json", first, mtime=newer)
+    out = f"{tmp_path}/out"
+
+    def run():
+        wait(
+            stream_daily_counts(
+                spark, f"{tmp_path}/in", out, WALL_IMPRESSION, lateness=None, every=None
+            ),
+            120,
+        )
+
+    run()
+    second = many(5, A, WALL_IMPRESSION, "2021-06-21T10:00:00Z")
+    write_lines(tmp_path / "in/2.json", second, mtime=older)
+    run()
+    found = rows(current_counts(spark, out), "event_date", "impressions")
+    assert found == [(dt.date(2021, 6, 21), 5), (D30, 2)]
+
+
+def test_a_cap_changes_nothing_when_files_come_in_event_order(spark, tmp_path):
+    for n, (time, count) in enumerate(sorted(BATCHES)):
+        drop(tmp_path / "in", n, many(count, A, WALL_IMPRESSION, time))
+    found = []
+    for cap in (None, 1):
+        out = f"{tmp_path}/out{cap}"
+        job = stream_daily_counts(
+            spark, f"{tmp_path}/in", out, WALL_IMPRESSION, every=None, max_files=cap
+        )
+        wait(job, 120)
+        found.append(rows(current_counts(spark, out), "event_date", "impressions"))
+    assert found[0] == found[1] == [(D29, 7), (D30, 3), (D02, 2)]
+
+
+def test_offsets_and_bad_times_are_not_dropped_as_late(spark, tmp_path):
+    events = many(3, A, WALL_IMPRESSION, "2021-06-30T23:30:00-05:00")
+    events += many(2, A, WALL_IMPRESSION, "bad")
+    drop(tmp_path / "in", 0, events)
+    out = f"{tmp_path}/out"
+    finish(start_upserts(daily_counts(source(spark, tmp_path / "in"), WALL_IMPRESSION), out, None))
+    landed = with_event_time(read_json(spark, f"{tmp_path}/in"))
+    recounted = event_counts(landed, WALL_IMPRESSION)
+    streamed = current_counts(spark, out)
+    assert rows(streamed, "event_date", "impressions") == [(dt.date(2021, 7, 1), 3)]
+    assert dropped_counts(recounted, streamed).count() == 0
+
+
+def _wide_batch(spark, shift=0):
+    """Many groups on three days, spread over many partitions."""
+    days = "array(date'2021-06-28', date'2021-06-29', date'2021-06-30')"
+    return spark.range(3000).repartition(20).selectExpr(
+        "cast(id as string) as BRAND",
+        f"{days}[cast(id % 3 as int)] as event_date",
+        f"id + {shift} as impressions",
+    )
+
+
+def test_a_batch_leaves_a_file_per_day(spark, tmp_path):
+    changelog.batch_writer(f"{tmp_path}/out")(_wide_batch(spark), 0)
+    files = list((tmp_path / "out/log/batch_id=0").rglob("*.parquet"))
+    assert len(files) <= 2 * 3
+
+
+def test_compaction_leaves_untouched_days_as_they_are(spark, tmp_path):
+    out, key = f"{tmp_path}/out", ("event_date", "BRAND")
+    write = changelog.batch_writer(out, compact_every=2, key=key)
+    for batch_id in (0, 1):
+        write(_wide_batch(spark, batch_id), batch_id)
+    changelog.compact(spark, out, _wide_batch(spark).schema, key, through=1)
+    day = "event_date=2021-06-28"
+    kept = sorted((tmp_path / "out/snapshots").glob(f"*/{day}/*.parquet"))
+    for batch_id in (2, 3, 4, 5):
+        write(_wide_batch(spark, batch_id).where("event_date > '2021-06-28'"), batch_id)
+    # The stream has folded its log by itself; its newest batch is still there.
+    assert numbered_dirs(spark, f"{out}/log", "batch_id") == [5]
+    assert sorted((tmp_path / "out/snapshots").glob(f"*/{day}/*.parquet")) == kept
+    newest = changelog.latest(changelog.read_changes(spark, out, _wide_batch(spark).schema), key)
+    expected = _wide_batch(spark, 5).where("event_date > '2021-06-28'").union(
+        _wide_batch(spark, 1).where("event_date = '2021-06-28'")
+    )
+    columns = ("BRAND", "event_date", "impressions")
+    assert rows(newest, *columns) == rows(expected, *columns)
+
+
+def test_present_values_of_one_day_read_one_day(spark, drops, tmp_path):
+    out = f"{tmp_path}/out"
+    finish(start_upserts(daily_counts(source(spark, drops), WALL_IMPRESSION), out, None))
+    one = current_counts(spark, out, D30)
+    assert rows(one, "event_date", "impressions") == [(D30, 3)]
+    assert "PartitionFilters: [isnotnull(event_date" in one._jdf.queryExecution().toString()
+
+
+def test_final_rate_job_equals_the_batch(spark, product_drops, tmp_path):
+    out = f"{tmp_path}/out"
+    source_dir = str(product_drops)
+    job = stream_daily_rate(
+        spark, source_dir, out, PRODUCT, every=None, final=True, max_files=1
+    )
+    wait(job, 120)
+    columns = (*KEYS, "event_date", "impressions", "clicks", RATE)
+    batch = rate(frame(spark, sum(PRODUCT_EVENTS, [])), PRODUCT).where("event_date < '2021-07-03'")
+    assert rows(final_rates(spark, out), *columns) == rows(batch, *columns)
+    with pytest.raises(ValueError, match="lateness"):
+        stream_daily_rate(spark, source_dir, out, PRODUCT, lateness=None, final=True)
