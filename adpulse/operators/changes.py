@@ -83,6 +83,16 @@ def join_days(previous: DataFrame, current: DataFrame, how: str = "full") -> Dat
     return previous.join(current, list(KEYS), how)
 
 
+def regroup(joined: DataFrame) -> DataFrame:
+    """One row per keys again, NULL keys included, from the halves of ``join_days``, with the
+    percent change."""
+    return _with_change(
+        joined.groupBy(*KEYS).agg(
+            F.sum("previous").alias("previous"), F.sum("current").alias("current")
+        )
+    )
+
+
 def _shifted(daily: DataFrame, group: tuple[str, ...], value: str, first: Day, last: Day):
     """Each daily row serves as the current value of its day and the previous value of
     the next. Works on rows that are already one per group and day."""

@@ -212,9 +212,22 @@ SELECT {K}, event_date, impressions_per_click FROM ({_one_pass_rate("product")})
     "dod_rate_product_days": _rate_changes("product"),
     "dod_rate_post_days": _rate_changes("post"),
     "dod_rate_join": f"""
-SELECT {K}, previous, "current" FROM ({_rate_change("product")})
-WHERE BRAND IS NOT NULL AND WALL_ID IS NOT NULL AND WALLGROUP_ID IS NOT NULL
-  AND CAMPAIGN_ID IS NOT NULL""",
+WITH {EVENTS},
+one_pass AS (
+  SELECT {K},
+    nullif(count(*) FILTER (WHERE EVENT_TYPE = 'product-impression'
+                            AND event_date = DATE '{DAY}' - INTERVAL 1 DAY), 0)
+    / nullif(count(*) FILTER (WHERE EVENT_TYPE = 'product-click'
+                              AND event_date = DATE '{DAY}' - INTERVAL 1 DAY), 0) AS previous,
+    nullif(count(*) FILTER (WHERE EVENT_TYPE = 'product-impression'
+                            AND event_date = DATE '{DAY}'), 0)
+    / nullif(count(*) FILTER (WHERE EVENT_TYPE = 'product-click'
+                              AND event_date = DATE '{DAY}'), 0) AS "current"
+  FROM ev WHERE EVENT_TYPE LIKE 'product-%'
+    AND event_date BETWEEN DATE '{DAY}' - INTERVAL 1 DAY AND DATE '{DAY}'
+  GROUP BY {K}
+)
+SELECT *, 100 * ("current" - previous) / previous AS pct_change FROM one_pass""",
     "dod_wall": WALL_CHANGE,
     "dod_wall_days": f"""{WALL_PAIRS}
 SELECT {K}, EVENT_TYPE, event_date, previous, "current", pct_change
@@ -222,6 +235,9 @@ FROM compared WHERE event_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}'""",
     "dod_wall_join": f"""
 SELECT {K}, EVENT_TYPE, previous, "current" FROM ({WALL_CHANGE})""",
     "sink_daily_idempotent": WALL_COUNTS,
+    "sink_two_types": f"""
+WITH {EVENTS} {_counts(WALL, 'impressions')}
+UNION ALL {_counts('product-click', 'impressions')}""",
     "sink_replace_all": f"WITH {EVENTS} {_counts('post-impression', 'impressions')}",
     "sink_append": f"""
 WITH {EVENTS} {_counts('product-impression', 'impressions')}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.functions.days import as_day, days_between, shift
 from adpulse.functions.event_time import with_event_time
@@ -26,19 +27,17 @@ from adpulse.model import (
     Pair,
 )
 from adpulse.operators import changes, counts, rates, selection, unions
+from adpulse.plans import streams
 from adpulse.plans.insights import write_count_change, write_rate_change
-from adpulse.plans.streams import COUNT_KEY, RATE_KEY, final_counts
 from adpulse.plans.tables import COUNT_CHANGE_TABLE, COUNT_TABLE, RATE_CHANGE_TABLE
 from adpulse.registry.dates import DAY, FIRST, GRACE_DAY, LAST, SPLIT
 from adpulse.scratch import scratch_dir
 from adpulse.sinks import daily as sink
 from adpulse.sources import landing
-from adpulse.sources.streams import stream_events
-from adpulse.sources.tables import table_counts, table_events, text_events
-from adpulse.streaming import aggregates, changelog, runs
+from adpulse.sources.tables import table_counts, table_days, table_events, text_events
+from adpulse.streaming import aggregates, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
-STREAM_SECONDS = 3600
 
 
 # --- sources -------------------------------------------------------------------------
@@ -231,16 +230,15 @@ def dod_wall_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dod_rate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comparison as a join of two days, on groups without NULL keys, where the
-    join and the grouped form must agree."""
-    daily = rates.rate(
-        selection.with_all_keys(table_events(spark, sf_dir, PRODUCT.types)), PRODUCT
-    )
+    """The comparison as a full join of two days, grouped again afterwards: a NULL key matches
+    nothing in the join and leaves two half rows."""
+    events = table_events(spark, sf_dir, PRODUCT.types, shift(DAY, -1), DAY)
+    daily = rates.rate(events, PRODUCT)
     previous, current = (
         selection.on_days(daily, day).select(*KEYS, F.col(rates.RATE).alias(name))
         for day, name in ((shift(DAY, -1), "previous"), (DAY, "current"))
     )
-    return changes.join_days(previous, current)
+    return changes.regroup(changes.join_days(previous, current))
 
 
 def dod_wall_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,12 +260,28 @@ def dod_wall_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks ---------------------------------------------------------------------------
 
 
+def _days_of(spark: SparkSession, sf_dir: str) -> list[dt.date]:
+    """Every day from the first event to the last."""
+    span = table_days(spark, sf_dir).first()
+    return days_between(span.first_day, span.last_day) if span.first_day else []
+
+
 def sink_daily_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days, then one of them again: every row is there once."""
     table = sink.collection(scratch_dir(spark, "metrics"), "daily", "wall_impressions")
     rows = count_wall_daily(spark, sf_dir)
-    sink.overwrite_range(rows, table, FIRST, LAST)
-    sink.overwrite_day(rows, table, DAY)
+    sink.overwrite_days(rows, table, _days_of(spark, sf_dir), types=(WALL_IMPRESSION,))
+    sink.overwrite_day(rows, table, DAY, (WALL_IMPRESSION,))
+    return sink.read_days(spark, table, COUNT_TABLE)
+
+
+def sink_two_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two types in one table, then one of them again: both are there once."""
+    table = sink.collection(scratch_dir(spark, "metrics"), "daily", "counts")
+    days = _days_of(spark, sf_dir)
+    for kind in (WALL_IMPRESSION, PRODUCT_CLICK, WALL_IMPRESSION):
+        rows = _counts(kind, "impressions")(spark, sf_dir)
+        sink.overwrite_days(rows, table, days, types=(kind,))
     return sink.read_days(spark, table, COUNT_TABLE)
 
 
@@ -291,7 +305,7 @@ def insight_rate_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From stored daily rates to a stored comparison."""
     root = scratch_dir(spark, "metrics")
     stored, target = (sink.collection(root, "insights", name) for name in ("rates", "change"))
-    sink.overwrite_range(_rate(PRODUCT)(spark, sf_dir), stored, FIRST, LAST)
+    sink.overwrite_days(_rate(PRODUCT)(spark, sf_dir), stored, _days_of(spark, sf_dir))
     write_rate_change(spark, stored, target, DAY)
     return sink.read_days(spark, target, RATE_CHANGE_TABLE)
 
@@ -299,7 +313,8 @@ def insight_rate_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insight_count_wall(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "metrics")
     stored, target = (sink.collection(root, "insights", name) for name in ("counts", "change"))
-    sink.overwrite_range(count_wall_daily(spark, sf_dir), stored, FIRST, LAST)
+    rows, days = count_wall_daily(spark, sf_dir), _days_of(spark, sf_dir)
+    sink.overwrite_days(rows, stored, days, types=(WALL_IMPRESSION,))
     write_count_change(spark, stored, target, DAY)
     return sink.read_days(spark, target, COUNT_CHANGE_TABLE)
 
@@ -307,17 +322,23 @@ def insight_count_wall(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------
 
 
-def _run_stream(
+#: State partitions of the streams, which a stream keeps for good.
+STATE_PARTITIONS = 8
+
+#: Starts a job over the landing directory into an output directory.
+Start = Callable[[SparkSession, str, str], StreamingQuery]
+
+
+def _run_streams(
     spark: SparkSession,
     sf_dir: str,
     types: tuple[str, ...],
-    results: dict[str, Callable[[DataFrame], DataFrame]],
-    start: Callable,
+    jobs: dict[str, Start],
     arrivals: Callable[[], list[Column]] | None = None,
-    between: Callable[[str, StructType], None] | None = None,
-) -> dict[str, tuple[str, StructType]]:
-    """Land the events in two steps and run the streams after each, the second time from
-    their checkpoints. Returns each stream's output directory and columns.
+    between: Callable[[str], None] | None = None,
+) -> dict[str, str]:
+    """Land the events in two steps and run the jobs after each, the second time from their
+    checkpoints. Returns each job's output directory.
 
     Each step is one micro-batch, so what counts as late does not depend on the order of
     files within it.
@@ -325,10 +346,6 @@ def _run_stream(
     base = scratch_dir(spark, "stream")
     landed = F.col("landing_date")
     steps = arrivals() if arrivals else [landed <= as_day(SPLIT), landed > as_day(SPLIT)]
-    outputs: dict[str, tuple[str, StructType]] = {}
-    # On one machine a state partition per core is enough; a cluster keeps its setting.
-    local = spark.conf.get("spark.master").startswith("local")
-    partitions = spark.sparkContext.defaultParallelism if local else None
     for step in steps:
         (
             table_events(spark, sf_dir, types)
@@ -337,100 +354,72 @@ def _run_stream(
             .write.mode("append")
             .json(f"{base}/landing")
         )
-        for name, build in results.items():
-            result = build(stream_events(spark, f"{base}/landing", max_files_per_trigger=None))
-            output = f"{base}/{name}"
-            with runs.state_settings(spark, partitions):
-                query = start(result, output, None)
-            runs.wait(query, STREAM_SECONDS)
-            outputs[name] = output, result.schema
+        for name, start in jobs.items():
+            with runs.state_settings(spark, STATE_PARTITIONS):
+                query = start(spark, f"{base}/landing", f"{base}/{name}")
+            runs.wait(query)
             if between is not None:
-                between(output, result.schema)
-    return outputs
+                between(f"{base}/{name}")
+    return {name: f"{base}/{name}" for name in jobs}
 
 
-def _current(
-    spark: SparkSession, output: tuple[str, StructType], key: tuple[str, ...]
-) -> DataFrame:
-    path, columns = output
-    newest = changelog.latest(changelog.read_changes(spark, path, columns), key)
-    return newest.drop("window")
+def _count_job(*types: str, **how) -> Start:
+    return lambda spark, source, target: streams.stream_daily_counts(
+        spark, source, target, *types, every=None, **how
+    )
 
 
-def stream_wall_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _run_stream(
-        spark,
-        sf_dir,
-        (WALL_IMPRESSION,),
-        {"counts": lambda events: aggregates.daily_counts(events, WALL_IMPRESSION)},
-        runs.start_upserts,
+def _rate_job(pair: Pair, **how) -> Start:
+    return lambda spark, source, target: streams.stream_daily_rate(
+        spark, source, target, pair, every=None, **how
     )
-    return _current(spark, out["counts"], COUNT_KEY)
+
+
+def stream_wall_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = {"counts": _count_job(WALL_IMPRESSION)}
+    out = _run_streams(spark, sf_dir, (WALL_IMPRESSION,), jobs)
+    return streams.current_counts(spark, out["counts"]).drop("window")
 
 
 def stream_wall_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _run_stream(
-        spark,
-        sf_dir,
-        (WALL_IMPRESSION,),
-        {"counts": lambda events: aggregates.daily_counts(events, WALL_IMPRESSION)},
-        runs.start_finals,
-    )
-    path, _ = out["counts"]
-    return final_counts(spark, path).drop("window")
+    jobs = {"counts": _count_job(WALL_IMPRESSION, final=True)}
+    out = _run_streams(spark, sf_dir, (WALL_IMPRESSION,), jobs)
+    return streams.final_counts(spark, out["counts"]).drop("window")
 
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = (*PRODUCT.types, *POST.types)
-    out = _run_stream(
-        spark,
-        sf_dir,
-        types,
-        {"counts": lambda events: aggregates.daily_counts(events, *types, name="events")},
-        runs.start_upserts,
-    )
-    return _current(spark, out["counts"], COUNT_KEY)
+    out = _run_streams(spark, sf_dir, types, {"counts": _count_job(*types)})
+    counted = streams.current_counts(spark, out["counts"])
+    return counted.drop("window").withColumnRenamed("impressions", "events")
 
 
 def _stream_rate(pair: Pair) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = _run_stream(
-            spark,
-            sf_dir,
-            pair.types,
-            {"rate": lambda events: aggregates.daily_rate(events, pair)},
-            runs.start_upserts,
-        )
-        return _current(spark, out["rate"], RATE_KEY)
+        out = _run_streams(spark, sf_dir, pair.types, {"rate": _rate_job(pair)})
+        return streams.current_rates(spark, out["rate"]).drop("window")
 
     return query
 
 
 def stream_rate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rate through a full join of two streaming counts: finished days only."""
-    out = _run_stream(
-        spark,
-        sf_dir,
-        PRODUCT.types,
-        {"halves": lambda events: aggregates.joined_daily_rate(events, PRODUCT)},
-        runs.start_finals,
-    )
-    path, columns = out["halves"]
-    halves = spark.read.schema(columns).parquet(f"{path}/{runs.FINAL_DAYS}")
-    return rates.regroup(halves)
+    jobs = {"halves": _rate_job(PRODUCT, final=True)}
+    out = _run_streams(spark, sf_dir, PRODUCT.types, jobs)
+    return streams.final_rates(spark, out["halves"])
 
 
 def stream_wall_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upserts with the log folded into a snapshot between and after the runs."""
-    out = _run_stream(
+    """Upserts with the log folded into snapshots by the stream itself, and again between and
+    after the runs."""
+    out = _run_streams(
         spark,
         sf_dir,
         (WALL_IMPRESSION,),
-        {"counts": lambda events: aggregates.daily_counts(events, WALL_IMPRESSION)},
-        runs.start_upserts,
-        between=lambda path, columns: changelog.compact(spark, path, columns, COUNT_KEY),
+        {"counts": _count_job(WALL_IMPRESSION, compact_every=2)},
+        between=lambda target: streams.compact_counts(spark, target),
     )
-    return _current(spark, out["counts"], COUNT_KEY)
+    return streams.current_counts(spark, out["counts"]).drop("window")
 
 
 def _stream_late(
@@ -439,19 +428,16 @@ def _stream_late(
     """Wall counts of streams that wait this long, when the first landing day arrives
     after all the others."""
     landed = F.col("landing_date")
-
-    def counts_with(lateness: str | None) -> Callable[[DataFrame], DataFrame]:
-        return lambda events: aggregates.daily_counts(events, WALL_IMPRESSION, lateness=lateness)
-
-    out = _run_stream(
+    out = _run_streams(
         spark,
         sf_dir,
         (WALL_IMPRESSION,),
-        {name: counts_with(lateness) for name, lateness in waits.items()},
-        runs.start_upserts,
+        {name: _count_job(WALL_IMPRESSION, lateness=lateness) for name, lateness in waits.items()},
         arrivals=lambda: [landed > as_day(FIRST), landed <= as_day(FIRST)],
     )
-    return {name: _current(spark, output, COUNT_KEY) for name, output in out.items()}
+    return {
+        name: streams.current_counts(spark, target).drop("window") for name, target in out.items()
+    }
 
 
 def stream_wall_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "dod_wall_days": dod_wall_days,
     "dod_wall_join": dod_wall_join,
     "sink_daily_idempotent": sink_daily_idempotent,
+    "sink_two_types": sink_two_types,
     "sink_replace_all": sink_replace_all,
     "sink_append": sink_append,
     "insight_rate_product": insight_rate_product,

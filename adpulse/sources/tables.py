@@ -78,6 +78,14 @@ def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.selectExpr("c_custkey AS user_id", "c_mktsegment AS BRAND")
 
 
+def table_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``first_day, last_day`` of the table, null if it is empty."""
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return events.select(
+        F.min("ts").cast("date").alias("first_day"), F.max("ts").cast("date").alias("last_day")
+    )
+
+
 def table_events(
     spark: SparkSession,
     sf_dir: str,

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from adpulse.registry.oracles import ORACLES
+from adpulse.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 TABLES = ("events", "customer")
@@ -32,12 +34,12 @@ def _sorted_rows(rows):
     return sorted(rows, key=lambda row: tuple((v is not None, str(v)) for v in row))
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, db, name):
-    frame = entry_point.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     actual = _sorted_rows(tuple(row) for row in frame.select(*columns).collect())
-    relation = db.sql(entry_point.oracle_sql()[name])
+    relation = db.sql(ORACLES[name])
     assert dict(zip(relation.columns, map(str, relation.types))) == {
         name: SQL_TYPE[kind] for name, kind in frame.dtypes
     }
@@ -49,7 +51,7 @@ def test_matches_sql(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
