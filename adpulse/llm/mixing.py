@@ -208,10 +208,11 @@ def cuts(sized: DataFrame, mix: Mix, counts: dict[str, int], seed: int = SEED) -
         buckets = max(1, -(-counts[name] // BUCKET_ROWS))
         rows.append((name, int(rounds), int(flow - rounds * size), buckets))
     schema = "pattern string, rounds long, rest long, buckets long"
-    # One row per pattern.
     wanted = spark.createDataFrame(rows, schema)
 
-    placed = sized.withColumn("place", _place(seed)).join(wanted.where("rest > 0"), "pattern")
+    # Broadcasts here have a row per pattern, at most MAX_PATTERNS.
+    partial = F.broadcast(wanted.where("rest > 0"))
+    placed = sized.withColumn("place", _place(seed)).join(partial, "pattern")
     along = (F.col("place").cast("double") / F.lit(2.0**64) + 0.5) * F.col("buckets")
     bucket = F.least(F.greatest(F.floor(along), F.lit(0)), F.col("buckets") - 1)
     placed = placed.withColumn("bucket", bucket)
@@ -224,7 +225,7 @@ def cuts(sized: DataFrame, mix: Mix, counts: dict[str, int], seed: int = SEED) -
     within = Window.partitionBy("pattern", "bucket").orderBy("place", "doc_id").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    inside = placed.join(cut_in, ["pattern", "bucket"]).withColumn(
+    inside = placed.join(F.broadcast(cut_in), ["pattern", "bucket"]).withColumn(
         "start", F.col("since") + F.coalesce(F.sum("size").over(within), F.lit(0))
     )
     # The last document that at least half fits; none in this bucket: the bucket's lower end.
