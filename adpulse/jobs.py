@@ -7,6 +7,7 @@ the cluster's own configuration.
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--grace-hours", type=int, default=GRACE_HOURS)
         sub.add_argument("--layout", choices=LAYOUTS, default="plain")
         sub.add_argument("--allow-missing", action="store_true")
+        sub.add_argument(
+            "--from-table", action="store_true", help="the source is what store-landing wrote"
+        )
         if name != "daily-all":
             sub.add_argument("--by-label", action="store_true", help="go by DAY, not event time")
     job("count-change", "source", "day")
@@ -78,15 +82,20 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
             "grace_hours": args.grace_hours,
             "layout": LAYOUTS[args.layout],
             "allow_missing": args.allow_missing,
+            "from_table": args.from_table,
         }
         where = (spark, args.source, args.target)
         if args.job == "daily-all":
             daily.write_days(*where, args.first, args.last, **read)
         elif args.job == "daily-count":
-            daily.write_daily_counts(*where, args.day, *types, by_label=args.by_label, **read)
+            seen = daily.write_daily_counts(
+                *where, args.day, *types, by_label=args.by_label, **read
+            )
+            print(json.dumps(seen))
         else:
             pair = PAIRS[args.family]
-            daily.write_daily_rate(*where, args.day, pair, by_label=args.by_label, **read)
+            seen = daily.write_daily_rate(*where, args.day, pair, by_label=args.by_label, **read)
+            print(json.dumps(seen))
     elif args.job == "count-change":
         insights.write_count_change(spark, args.source, args.target, args.day)
     elif args.job == "rate-change":

@@ -136,17 +136,17 @@ FROM ev GROUP BY landing_date""",
     "scan_with_grace": f"""
 WITH {EVENTS}
 SELECT EVENT_TYPE, event_date, count(*) AS events FROM ev
-WHERE landing_date = DATE '{GRACE_DAY}'
-   OR (landing_date = DATE '{GRACE_DAY}' - INTERVAL 1 DAY AND landing_hour = 23)
-   OR (landing_date = DATE '{GRACE_DAY}' + INTERVAL 1 DAY AND landing_hour = 0)
+WHERE event_date = DATE '{GRACE_DAY}'
+  AND (landing_date = DATE '{GRACE_DAY}'
+       OR (landing_date = DATE '{GRACE_DAY}' - INTERVAL 1 DAY AND landing_hour = 23)
+       OR (landing_date = DATE '{GRACE_DAY}' + INTERVAL 1 DAY AND landing_hour = 0))
 GROUP BY EVENT_TYPE, event_date""",
     "scan_days_with_grace": f"""
 WITH {EVENTS}
 SELECT {K}, EVENT_TYPE, event_date, count(*) AS events FROM ev
-WHERE event_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
-  AND (landing_date = event_date
-       OR (landing_date = event_date - INTERVAL 1 DAY AND landing_hour = 23)
-       OR (landing_date = event_date + INTERVAL 1 DAY AND landing_hour = 0))
+WHERE landing_date = event_date
+   OR (landing_date = event_date - INTERVAL 1 DAY AND landing_hour = 23)
+   OR (landing_date = event_date + INTERVAL 1 DAY AND landing_hour = 0)
 GROUP BY {K}, EVENT_TYPE, event_date""",
     "scan_landing_table": f"""
 WITH {EVENTS}
@@ -158,9 +158,11 @@ WHERE event_date = DATE '{GRACE_DAY}'
 GROUP BY EVENT_TYPE, landing_date, landing_hour""",
     "json_schema_contract": f"""
 WITH {EVENTS}
-SELECT BRAND, EVENT_TYPE, count(*) AS events, count(CAMPAIGN_ID) AS with_campaign,
-       count(ts) AS with_time, CAST(0 AS BIGINT) AS malformed
-FROM ev GROUP BY BRAND, EVENT_TYPE""",
+SELECT CASE WHEN NOT cut THEN BRAND END AS BRAND,
+       CASE WHEN NOT cut THEN EVENT_TYPE END AS EVENT_TYPE,
+       count(*) AS events, count(CAMPAIGN_ID) FILTER (WHERE NOT cut) AS with_campaign,
+       count(ts) FILTER (WHERE NOT cut) AS with_time, count(*) FILTER (WHERE cut) AS malformed
+FROM (SELECT *, event_id % 97 = 0 AS cut FROM ev) GROUP BY 1, 2""",
     "union_by_name_missing": f"""
 WITH {EVENTS}, bag AS (
   SELECT BRAND, WALL_ID, WALLGROUP_ID, CAMPAIGN_ID, EVENT_TYPE
@@ -174,7 +176,8 @@ SELECT {K}, EVENT_TYPE, count(*) AS events FROM bag GROUP BY {K}, EVENT_TYPE""",
     "event_time_quality": f"""
 WITH {EVENTS}
 SELECT EVENT_TYPE, count(*) AS events,
-       count(*) FILTER (WHERE ts IS NULL) AS missing_time, CAST(0 AS BIGINT) AS malformed_time,
+       count(*) FILTER (WHERE event_id % 83 = 0 AND event_id % 89 <> 0) AS missing_time,
+       count(*) FILTER (WHERE event_id % 89 = 0) AS malformed_time,
        count(*) FILTER (WHERE BRAND IS NULL OR WALL_ID IS NULL OR WALLGROUP_ID IS NULL
                            OR CAMPAIGN_ID IS NULL) AS null_key
 FROM ev GROUP BY EVENT_TYPE""",

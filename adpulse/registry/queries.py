@@ -33,6 +33,7 @@ from adpulse.plans.tables import COUNT_CHANGE_TABLE, COUNT_TABLE, RATE_CHANGE_TA
 from adpulse.registry.dates import DAY, FIRST, GRACE_DAY, LAST, SPLIT
 from adpulse.scratch import scratch_dir
 from adpulse.sinks import daily as sink
+from adpulse.sinks.files import make_dir
 from adpulse.sources import landing
 from adpulse.sources.tables import table_counts, table_days, table_events, text_events
 from adpulse.streaming import aggregates, runs
@@ -43,14 +44,33 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- sources -------------------------------------------------------------------------
 
 
-def _land_by_hour(spark: SparkSession, sf_dir: str) -> str:
-    """Write all events as JSON lines under the hour they landed in."""
+def _land_by_hour(spark: SparkSession, sf_dir: str, day: str | None = None) -> str:
+    """Write events as JSON lines under the hour they landed in: all of them, or those of a
+    day's landing hours, its grace hours and one more hour on each side, which no read of that
+    day may touch. Hours without events are there as empty directories."""
     base = scratch_dir(spark, "landing")
+    if day is None:
+        events, days = table_events(spark, sf_dir), _days_of(spark, sf_dir)
+        # The last day's events land on one more day.
+        hours = [(d, h) for d in [*days, *(shift(d, 1) for d in days[-1:])] for h in range(24)]
+        hours += [(shift(d, -1), 23) for d in days[:1]]
+    else:
+        first, last = shift(day, -1), shift(day, 1)
+        hours = [(first, h) for h in range(23 - GRACE_HOURS, 24)]
+        hours += [(as_day(day), h) for h in range(24)]
+        hours += [(last, h) for h in range(GRACE_HOURS + 1)]
+        # Events land within the hour, so those of the days before and after cover them.
+        landed = F.concat_ws(" ", F.col("landing_date").cast("string"), "landing_hour")
+        names = [f"{d} {h:02d}" for d, h in hours]
+        events = table_events(spark, sf_dir, first=shift(first, -1), last=last)
+        events = events.where(landed.between(names[0], names[-1]))
+    for landing_day, hour in hours:
+        make_dir(spark, f"{base}/{landing.PARTITIONED.hour_dir(landing_day, hour)}")
     (
-        table_events(spark, sf_dir)
-        .select(*EVENT_SCHEMA.names, "landing_date", "landing_hour")
+        events.select(*EVENT_SCHEMA.names, "landing_date", "landing_hour")
         .hint("rebalance", "landing_date", "landing_hour")
-        .write.partitionBy("landing_date", "landing_hour")
+        .write.mode("append")
+        .partitionBy("landing_date", "landing_hour")
         .json(base)
     )
     return base
@@ -65,27 +85,25 @@ def scan_landing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_with_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _land_by_hour(spark, sf_dir)
-    # At a small scale an hour may have had no events at all, and so has no directory.
-    span = landing.read_landing(
-        spark, base, GRACE_DAY, GRACE_HOURS, landing.PARTITIONED, allow_missing=True
-    )
+    base = _land_by_hour(spark, sf_dir, GRACE_DAY)
+    landed = landing.read_landing(spark, base, GRACE_DAY, GRACE_HOURS, landing.PARTITIONED)
+    span = selection.on_days(landed, GRACE_DAY)
     return span.groupBy("EVENT_TYPE", "event_date").agg(F.count("*").alias("events"))
 
 
 def scan_days_with_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _land_by_hour(spark, sf_dir)
+    days = _days_of(spark, sf_dir)
     span = landing.read_landing_days(
-        spark, base, FIRST, LAST, GRACE_HOURS, landing.PARTITIONED, allow_missing=True
+        spark, base, days[0], days[-1], GRACE_HOURS, landing.PARTITIONED
     )
     return counts.event_counts(span, *ALL_TYPES, name="events")
 
 
 def scan_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, table = _land_by_hour(spark, sf_dir), scratch_dir(spark, "table")
-    # The lag carries the last day's events into one more landing day.
-    days = days_between(FIRST, shift(LAST, 1))
-    landing.store_landing(spark, base, table, days, landing.PARTITIONED, allow_missing=True)
+    base, table = _land_by_hour(spark, sf_dir, GRACE_DAY), scratch_dir(spark, "table")
+    days = days_between(shift(GRACE_DAY, -1), shift(GRACE_DAY, 1))
+    landing.store_landing(spark, base, table, days, landing.PARTITIONED)
     span = landing.read_landing_table(spark, table, GRACE_DAY, GRACE_HOURS)
     return (
         selection.on_days(span, GRACE_DAY)
@@ -95,8 +113,11 @@ def scan_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 97th line is cut off, and so is no JSON."""
     base = scratch_dir(spark, "json")
-    text_events(spark, sf_dir).write.json(base)
+    line = F.to_json(F.struct(*EVENT_SCHEMA.names))
+    cut = F.when(F.col("event_id") % 97 == 0, F.substring(line, 1, 10)).otherwise(line)
+    table_events(spark, sf_dir).select(cut.alias("value")).write.text(base)
     rows = landing.read_json(spark, base, keep_malformed=True)
     return rows.groupBy("BRAND", "EVENT_TYPE").agg(
         F.count("*").alias("events"),
@@ -117,7 +138,12 @@ def union_by_name_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_time_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.event_time_quality(with_event_time(text_events(spark, sf_dir)))
+    """Every 89th time is no time, every 83rd other one is missing."""
+    iso = F.when(F.col("event_id") % 89 == 0, "bad").when(
+        F.col("event_id") % 83 != 0, F.col("ISOTIMESTAMP")
+    )
+    events = table_events(spark, sf_dir).withColumn("ISOTIMESTAMP", iso)
+    return counts.event_time_quality(with_event_time(events.select(*EVENT_SCHEMA.names)))
 
 
 # --- selections and counts -----------------------------------------------------------

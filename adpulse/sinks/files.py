@@ -35,6 +35,11 @@ def make_temporary(spark: SparkSession, path: str) -> None:
     files.deleteOnExit(target)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    files, target = _locate(spark, path)
+    files.mkdirs(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a directory if it is there."""
     files, target = _locate(spark, path)

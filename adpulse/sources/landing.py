@@ -31,11 +31,12 @@ CORRUPT = "_corrupt_record"
 
 @dataclass(frozen=True)
 class Layout:
-    """How day and hour directories are named, and how to read them back from a path."""
+    """How day and hour directories are named. Those of a partitioned layout are partition
+    columns, which Spark prunes."""
 
     day: str
     hour: str
-    pattern: str
+    partitioned: bool = False
 
     def day_dir(self, day: Day) -> str:
         return as_day(day).strftime(self.day)
@@ -45,12 +46,12 @@ class Layout:
 
 
 # year/month/day/hour directories, and the same as partition directories.
-PLAIN = Layout("%Y/%m/%d", "{:02d}", r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]+$")
-PARTITIONED = Layout(
-    "landing_date=%Y-%m-%d",
-    "landing_hour={:02d}",
-    r"/landing_date=(\d{4})-(\d{2})-(\d{2})/landing_hour=(\d{1,2})/[^/]+$",
-)
+PLAIN = Layout("%Y/%m/%d", "{:02d}")
+PARTITIONED = Layout("landing_date=%Y-%m-%d", "landing_hour={:02d}", partitioned=True)
+LANDING_COLUMNS = [
+    StructField("landing_date", DateType()),
+    StructField("landing_hour", IntegerType()),
+]
 
 
 def landing_dirs(
@@ -67,20 +68,27 @@ def landing_dirs(
 
 
 def read_json(
-    spark: SparkSession, paths: list[str] | str, keep_malformed: bool = False
+    spark: SparkSession,
+    paths: list[str] | str,
+    keep_malformed: bool = False,
+    partitioned_below: str | None = None,
 ) -> DataFrame:
     """JSON lines under the agreed schema, never inferred.
 
     Inference would scan the input once more and make the columns depend on which files
     are there. A line that is not JSON becomes a row of NULLs; with ``keep_malformed``
     its text is kept in ``_corrupt_record``. Directories are read with all below them,
-    so one path stands for all hours of a day and listing stays cheap.
+    so one path stands for all hours of a day and listing stays cheap. Below the directory
+    ``partitioned_below``, landing date and hour are partition columns of the rows.
     """
-    schema = EVENT_SCHEMA
+    fields = list(EVENT_SCHEMA)
     if keep_malformed:
-        schema = StructType([*EVENT_SCHEMA, StructField(CORRUPT, StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    return reader.option("recursiveFileLookup", "true").json(paths)
+        fields.append(StructField(CORRUPT, StringType()))
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if partitioned_below is not None:
+        schema = StructType([*fields, *LANDING_COLUMNS])
+        return reader.schema(schema).option("basePath", partitioned_below).json(paths)
+    return reader.schema(StructType(fields)).option("recursiveFileLookup", "true").json(paths)
 
 
 def _paths(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
@@ -91,12 +99,16 @@ def _paths(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
     return [f"{base.rstrip('/')}/{name}" for name in dirs]
 
 
-def _with_landing_hour(rows: DataFrame, layout: Layout) -> DataFrame:
-    """The date and hour of the directory each row was read from. A path that does not have
-    the layout fails the job: its rows would belong to no day."""
-    year, month, day, hour = (
-        F.regexp_extract(F.col("_metadata.file_path"), layout.pattern, n) for n in range(1, 5)
-    )
+def _with_landing_hour(
+    spark: SparkSession, base: str, paths: list[str] | str, layout: Layout
+) -> DataFrame:
+    """The rows with the date and hour of the directory each was read from. A path that does
+    not have the layout fails the job: its rows would belong to no day."""
+    if layout.partitioned:
+        return read_json(spark, paths, partitioned_below=base)
+    rows = read_json(spark, paths)
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    year, month, day, hour = (F.element_at(parts, n) for n in range(-5, -1))
     return rows.withColumns(
         {
             "landing_date": F.concat_ws("-", year, month, day).cast("date"),
@@ -112,10 +124,11 @@ def read_landing(
     grace_hours: int = GRACE_HOURS,
     layout: Layout = PLAIN,
     allow_missing: bool = False,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """One day's landing directories with their grace hours, as a single scan."""
     dirs = landing_dirs(day, None, grace_hours, layout)
-    return with_event_time(read_json(spark, _paths(base, dirs, allow_missing)))
+    return with_event_time(read_json(spark, _paths(base, dirs, allow_missing), keep_malformed))
 
 
 def read_landing_days(
@@ -130,8 +143,8 @@ def read_landing_days(
     """Events of the days first..last in one scan, each of them landed within the grace
     hours around its own day: what ``read_landing`` day by day would keep."""
     dirs = landing_dirs(first, last, grace_hours, layout)
-    rows = read_json(spark, _paths(base, dirs, allow_missing))
-    events = with_event_time(_with_landing_hour(rows, layout))
+    rows = _with_landing_hour(spark, base, _paths(base, dirs, allow_missing), layout)
+    events = with_event_time(rows)
     in_time = in_landing_span(F.col("event_date"), grace_hours)
     return on_days(events, first, last).where(in_time)
 
@@ -147,7 +160,7 @@ def read_landing_hours(
     directory."""
     dirs = None if days is None else [layout.day_dir(day) for day in days]
     paths = base if dirs is None else _paths(base, dirs, allow_missing)
-    return _with_landing_hour(read_json(spark, paths), layout)
+    return _with_landing_hour(spark, base, paths, layout)
 
 
 # Events as kept in the landing table: typed time columns beside the original text, so
@@ -174,8 +187,9 @@ def store_landing(
     """Copy whole landing days from JSON into the landing table, once.
 
     JSON has to be tokenised in full on every read, so jobs that touch the same day more
-    than once should read the table. The days given are replaced. Input splits already
-    hold one hour each, so the rows are written where they were read, without a shuffle.
+    than once should read the table. The days given are replaced. Rows are written
+    where they were read, without a shuffle; a task that reads small files of several hours
+    sorts them and writes a file for each hour.
     """
     rows = with_event_time(read_landing_hours(spark, base, days, layout, allow_missing))
     overwrite_days(rows, table, days, by="landing_date", then_by=("landing_hour",), rebalance=False)
@@ -198,3 +212,13 @@ def read_landing_table(
     """One day of the landing table with its grace hours; other partitions are pruned."""
     rows = spark.read.schema(LANDING_TABLE_SCHEMA).parquet(table)
     return rows.where(in_landing_span(F.lit(as_day(day)), grace_hours))
+
+
+def read_landing_table_days(
+    spark: SparkSession, table: str, first: Day, last: Day, grace_hours: int = GRACE_HOURS
+) -> DataFrame:
+    """What ``read_landing_days`` reads, from the landing table."""
+    rows = spark.read.schema(LANDING_TABLE_SCHEMA).parquet(table)
+    landed = F.col("landing_date").between(F.lit(shift(first, -1)), F.lit(shift(last, 1)))
+    events = on_days(rows.where(landed), first, last)
+    return events.where(in_landing_span(F.col("event_date"), grace_hours))

@@ -1,6 +1,7 @@
 """The command line, from landed files to stored insights."""
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -139,3 +140,44 @@ def test_bad_arguments(spark):
     for arguments in (["daily-rate"], ["nonsense"], ["daily-rate", "--family", "wall"]):
         with pytest.raises(SystemExit):
             run(spark, arguments)
+
+
+def test_daily_jobs_from_the_landing_table(spark, landed):
+    span = ["--first", "2021-06-28", "--last", "2021-07-01", "--allow-missing"]
+    run(spark, ["store-landing", "--source", f"{landed}/in", "--target", f"{landed}/table", *span])
+    for flag, source in (([], "in"), (["--from-table"], "table")):
+        common = ["--source", f"{landed}/{source}", "--day", "2021-06-30", *flag]
+        run(spark, ["daily-count", *common, "--target", f"{landed}/count-{source}"])
+        run(spark, ["daily-rate", "--family", "post", *common, "--target", f"{landed}/rate-{source}"])
+        days = ["--first", "2021-06-29", "--last", "2021-06-30", *flag]
+        run(spark, ["daily-all", "--source", f"{landed}/{source}", *days,
+                    "--target", f"{landed}/all-{source}"])
+    for name, schema in (
+        ("count", COUNT_TABLE), ("rate", RATE_TABLE), ("all", COUNT_TABLE)
+    ):
+        below = "/daily/counts" if name == "all" else ""
+        one, other = (
+            rows(read_days(spark, f"{landed}/{name}-{source}{below}", schema))
+            for source in ("in", "table")
+        )
+        assert one == other and one
+
+
+def test_daily_jobs_report_what_belongs_to_no_day(spark, tmp_path, capsys):
+    write_lines(
+        tmp_path / "in/2021/06/30/10/f.json",
+        [
+            *many(3, A, WALL_IMPRESSION, "2021-06-30T10:00:00Z"),
+            *many(2, A, WALL_IMPRESSION, "bad", day="30"),
+            '{"BRAND": "a',
+        ],
+    )
+    run(
+        spark,
+        ["daily-count", "--source", f"{tmp_path}/in", "--target", f"{tmp_path}/out",
+         "--day", "2021-06-30", "--allow-missing"],
+    )
+    said = capsys.readouterr().out.strip().splitlines()[-1]
+    assert json.loads(said) == {"events": 6, "without_time": 3, "unparsable": 1}
+    found = read_days(spark, f"{tmp_path}/out", COUNT_TABLE)
+    assert rows(found, "event_date", "impressions") == [(D30, 3)]

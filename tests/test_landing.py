@@ -19,6 +19,7 @@ from adpulse.sources.landing import (
     read_landing_days,
     read_landing_hours,
     read_landing_table,
+    read_landing_table_days,
     store_landing,
 )
 from tests.events import event, many, rows, write_lines
@@ -191,3 +192,28 @@ def test_an_hour_that_became_empty_leaves_the_landing_table(spark, tmp_path):
     first.write_text("")
     store_landing(spark, f"{tmp_path}/in", table, [DAY])
     assert rows(read_landing_table(spark, table, DAY), "landing_hour") == [(11,)]
+
+
+def test_partitioned_hours_are_pruned(spark, base, tmp_path):
+    target = f"{tmp_path}/parts"
+    plain = read_landing_hours(spark, base, ["2021-06-29", DAY, "2021-07-01"])
+    plain.write.partitionBy("landing_date", "landing_hour").json(target)
+    hours = read_landing_hours(spark, target, layout=PARTITIONED)
+    columns = (*EVENT_SCHEMA.names, "landing_date", "landing_hour")
+    assert rows(hours, *columns) == rows(plain, *columns)
+    one = hours.where("landing_date = '2021-06-30' and landing_hour = 13")
+    assert "PartitionFilters: [isnotnull(landing_date" in one._jdf.queryExecution().toString()
+    assert one.count() == 2
+    some = read_landing_hours(spark, target, [DAY], PARTITIONED)
+    assert rows(some, *columns) == rows(plain.where("landing_date = '2021-06-30'"), *columns)
+
+
+def test_days_from_the_landing_table_agree_with_the_files(spark, base, tmp_path):
+    table = f"{tmp_path}/table"
+    store_landing(spark, base, table, ["2021-06-29", DAY, "2021-07-01"])
+    span = ("2021-06-30", "2021-06-30")
+    stored = read_landing_table_days(spark, table, *span)
+    landed = read_landing_days(spark, base, *span)
+    columns = (*EVENT_SCHEMA.names, "event_date", "landing_hour")
+    assert rows(stored, *columns) == rows(landed, *columns)
+    assert "PartitionFilters: [isnotnull(landing_date" in stored._jdf.queryExecution().toString()
