@@ -1,6 +1,7 @@
 """The physical plans: scans, exchanges, pushdown, pruning, skew."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +142,16 @@ def test_no_query_leaves_the_jvm(spark):
         assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoop", text), name
 
 
+def test_no_module_leaves_the_jvm():
+    """The queries that write run on the same modules: none of them has Python on the data
+    path."""
+    package = Path(__file__).resolve().parents[1] / "adpulse"
+    python = re.compile(r"udf\(|mapIn|applyIn|toPandas|toArrow|\.rdd\b|mapPartitions|crossJoin")
+    for module in package.rglob("*.py"):
+        if "llm" not in module.parts:
+            assert not python.search(module.read_text()), module
+
+
 def test_a_hot_user_when_the_customers_are_too_large_to_broadcast(spark, tmp_path):
     """A third of all events on one user, and a shuffled join: same result, and adaptive
     execution splits the partition that user falls into."""
