@@ -28,10 +28,13 @@ Repeated rows get equal results. Other columns pass through; one named ``pieces`
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Sequence
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,17 +47,20 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from adpulse.llm.store import stored
+from adpulse.llm.store import drop, stored
 from adpulse.llm.words import SPACES, Block, blocks, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 FREQUENT = 1 << 19
 LOOKUP_CHARS = 40
+#: Rare words that a Python worker remembers.
+KNOWN_WORDS = 20_000
 #: Cost units per nat.
 UNITS = 1000
 MAX_PIECES = 1 << 20
 
+_FAR = 1 << 60
 _UNIT = r"\x20?[^\x20\x09-\x0D]+"
 _MARKED = np.uint64(0xA0761D6478BD642F)
 
@@ -194,8 +200,10 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> DataFrame:
         if total > most:
             break
         least = row["n"]
-    words = counts.where(F.col("n") >= least)
-    return words.select(F.regexp_replace("unit", r"\A\x20", MARK).alias("word"))
+    chosen = counts.where(F.col("n") >= least)
+    words = chosen.select(F.regexp_replace("unit", r"\A\x20", MARK).alias("word"))
+    words.stored_at = counts.stored_at
+    return words
 
 
 class Lookup(NamedTuple):
@@ -212,19 +220,20 @@ def _unit_hashes(hashes: np.ndarray, marked: np.ndarray) -> np.ndarray:
 
 def lookup_of(encoded: DataFrame) -> Lookup:
     """Collect encoded words (word, ids): at most ``FREQUENT`` rows of ``LOOKUP_CHARS``."""
-    table = encoded.toArrow()
-    words = table["word"].to_pylist()
-    marked = np.array([word.startswith(MARK) for word in words], bool)
-    bare = [word[1:] if mark else word for word, mark in zip(words, marked, strict=True)]
-    parts = [block.hashes for block in blocks(pa.array(bare, pa.string()))]
-    hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    hashes = _unit_hashes(hashes, marked)
+    table = encoded.select("word", "ids").toArrow().combine_chunks()
+    if not table.num_rows:
+        return Lookup(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
+    words, lists = (table[name].chunk(0) for name in ("word", "ids"))
+    marked = pc.starts_with(words, MARK)
+    bare = pc.if_else(marked, pc.utf8_slice_codeunits(words, len(MARK)), words)
+    hashes = np.concatenate([block.hashes for block in blocks(bare)])
+    hashes = _unit_hashes(hashes, marked.to_numpy(zero_copy_only=False))
     order = np.argsort(hashes, kind="stable")
-    ids = table["ids"].combine_chunks()
-    lists = [ids[int(k)].as_py() for k in order]
-    counts = np.array([len(one) for one in lists], np.int64)
-    flat = np.array([k for one in lists for k in one], np.int32)
-    return Lookup(hashes[order], np.append(0, np.cumsum(counts)), flat)
+    starts = lists.offsets.to_numpy()
+    counts = np.diff(starts)[order]
+    bounds = np.append(0, np.cumsum(counts, dtype=np.int64))
+    index = np.arange(bounds[-1]) + np.repeat(starts[:-1][order] - bounds[:-1], counts)
+    return Lookup(hashes[order], bounds, lists.values.to_numpy()[index])
 
 
 class Encoder:
@@ -243,36 +252,54 @@ class Encoder:
         self.piece_bytes = np.frombuffer(b"".join(vocabulary.decoded), np.uint8)
         self.known: dict[tuple[bytes, bool], list[int]] = {}
 
+    @cached_property
+    def reach(self) -> dict[str, int]:
+        """Cost of every piece, and of whatever some piece begins with. Built where it is first
+        needed, which is a task and not the driver."""
+        found = {
+            piece[:end]: _FAR for piece in self.vocabulary.ids for end in range(1, len(piece))
+        }
+        found.update(self.vocabulary.costs)
+        return found
+
     def word(self, raw: bytes, marked: bool) -> list[int]:
         """The cheapest way through the lattice of one word."""
         if (raw, marked) in self.known:
             return self.known[raw, marked]
-        vocabulary = self.vocabulary
+        vocabulary, reach = self.vocabulary, self.reach
         text = (MARK if marked else "") + raw.decode("utf-8", "surrogateescape")
-        best: list[tuple[int, int, tuple[int, ...]]] = [(0, 0, ())]
-        for end in range(1, len(text) + 1):
-            found = None
-            for start in range(max(0, end - vocabulary.longest), end):
-                piece = text[start:end]
-                cost = vocabulary.costs.get(piece)
-                if cost is not None and (start == 0 or not piece.startswith(MARK)):
-                    ids: tuple[int, ...] = (vocabulary.ids[piece],)
-                elif end - start == 1:
-                    own = piece.encode("utf-8", "surrogateescape")
-                    ids = tuple(vocabulary.byte_ids[byte] for byte in own)
-                    cost = len(own) * vocabulary.byte_cost
-                else:
-                    continue
-                if found is None or best[start][0] + cost < found[0]:
-                    found = (best[start][0] + cost, start, ids)
-            best.append(found)
-        way, end = [], len(text)
+        size = len(text)
+        best, back = [0] + [_FAR] * size, [0] * (size + 1)
+        for start in range(size):
+            so_far = best[start]
+            single = False
+            if start == 0 or text[start] != MARK:
+                for end in range(start + 1, size + 1):
+                    # None: no piece goes on like this; _FAR: a longer one may.
+                    cost = reach.get(text[start:end])
+                    if cost is None:
+                        break
+                    if cost < _FAR:
+                        single = single or end == start + 1
+                        if so_far + cost < best[end]:
+                            best[end], back[end] = so_far + cost, start
+            if not single:
+                cost = len(text[start].encode("utf-8", "surrogateescape")) * vocabulary.byte_cost
+                if so_far + cost < best[start + 1]:
+                    best[start + 1], back[start + 1] = so_far + cost, start
+        way, end = [], size
         while end:
-            _, start, ids = best[end]
-            way.append(ids)
+            start = back[end]
+            piece = text[start:end]
+            known = vocabulary.ids.get(piece) if start == 0 or text[start] != MARK else None
+            if known is None:
+                own = piece.encode("utf-8", "surrogateescape")
+                way.extend(vocabulary.byte_ids[byte] for byte in reversed(own))
+            else:
+                way.append(known)
             end = start
-        result = [k for ids in reversed(way) for k in ids]
-        if len(self.known) >= 100_000:
+        result = way[::-1]
+        if len(self.known) >= KNOWN_WORDS:
             self.known.clear()
         self.known[raw, marked] = result
         return result
@@ -309,11 +336,16 @@ class Encoder:
         if len(missing):
             data = raw.tobytes()
             ends = self._ends(block, space)
-            for k in missing:
-                ids = self.word(data[starts[k] : ends[k]], bool(marked[k]))
-                low[k], counts[k] = size, len(ids)
-                pool.append(np.array(ids, np.int32))
-                size += len(ids)
+            rare: list[int] = []
+            for k, start, end, mark in zip(
+                missing.tolist(), starts[missing].tolist(), ends[missing].tolist(),
+                marked[missing].tolist(), strict=True,
+            ):
+                ids = self.word(data[start:end], mark)
+                low[k], counts[k] = size + len(rare), len(ids)
+                rare += ids
+            pool.append(np.array(rare, np.int32))
+            size += len(rare)
         single = np.arange(256)
         table = np.zeros(256, np.int32)
         for byte, k in self.spaces.items():
@@ -355,38 +387,50 @@ RESULT = StructType(
 )
 
 
-def encoder(docs: DataFrame, vocabulary: Vocabulary, most: int = FREQUENT):
-    """A function of a text column that gives a struct of ``ids`` and ``round_trip``: whether
-    decoding them gives back the text."""
-    lookup = lookup_of(encode_words(frequent_words(docs, most), vocabulary))
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lookup))
-
-    @F.arrow_udf(RESULT)
-    def encode(texts: pa.Array) -> pa.Array:
-        own = Encoder(*shared.value)
-        parts, sizes, whole = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], []
-        for block in blocks(texts):
-            ids, bounds = own.block(block)
-            back, cuts = own.decode(ids, bounds)
-            same = np.diff(cuts) == np.diff(block.cuts)
-            if len(back) == len(block.raw):
-                wrong = np.append(0, np.cumsum(back != block.raw))
-                same &= wrong[block.cuts[1:]] == wrong[block.cuts[:-1]]
-            else:
-                same &= False
-            parts.append(ids)
-            sizes.append(np.diff(bounds))
-            whole.extend(same)
-        bounds = np.cumsum(np.concatenate(sizes)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(parts)))
-        return pa.StructArray.from_arrays([lists, pa.array(whole, pa.bool_())], RESULT.names)
-
-    return encode
-
-
-def encoded(docs: DataFrame, path: str = MODEL, most: int = FREQUENT) -> DataFrame:
-    """``docs`` with ``pieces``, a struct of ``ids`` and ``round_trip``."""
-    return docs.withColumn("pieces", encoder(docs, load(path), most)("text"))
+def encoder_for(docs: DataFrame, vocabulary: Vocabulary, most: int = FREQUENT) -> Encoder:
+    """An encoder that looks up the words most frequent in ``docs`` (text)."""
+    words = frequent_words(docs, most)
+    table = stored(encode_words(words, vocabulary), "lookup")
+    lookup = lookup_of(table)
+    drop(words, table)
+    return Encoder(vocabulary, lookup)
+
+
+def encoded(
+    docs: DataFrame,
+    path: str = MODEL,
+    most: int = FREQUENT,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all of them if left out) and ``pieces``, a struct of
+    ``ids`` and ``round_trip``: whether decoding the ids gives back the text."""
+    kept = [name for name in (docs.columns if keep is None else keep) if name != "pieces"]
+    # A Python worker builds its encoder once and keeps it over its tasks.
+    shared = docs.sparkSession.sparkContext.broadcast(encoder_for(docs, load(path), most))
+    text = next(fresh for k in range(1 << 30) if (fresh := f"text{k}") not in docs.columns)
+    schema = StructType([*docs.select(*kept).schema, StructField("pieces", RESULT)])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            # A batch out for every block, so that no large one is held.
+            for block in blocks(batch.column(text)):
+                ids, bounds = own.block(block)
+                back, cuts = own.decode(ids, bounds)
+                same = np.diff(cuts) == np.diff(block.cuts)
+                if len(back) == len(block.raw):
+                    wrong = np.append(0, np.cumsum(back != block.raw))
+                    same &= wrong[block.cuts[1:]] == wrong[block.cuts[:-1]]
+                else:
+                    same &= False
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
+                found = pa.StructArray.from_arrays([lists, pa.array(same)], RESULT.names)
+                rows = batch.slice(block.first, len(same))
+                columns = [rows.column(name) for name in kept]
+                yield pa.RecordBatch.from_arrays([*columns, found], [*kept, "pieces"])
+
+    given = docs.select(*kept, F.col("text").cast("string").alias(text))
+    return given.mapInArrow(task, schema)
 
 
 def decoded(ids: str, vocabulary: Vocabulary):

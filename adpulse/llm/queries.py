@@ -18,15 +18,17 @@ from adpulse.llm import (
     warc,
 )
 from adpulse.llm.store import CLEANUP, setting, stored
-from adpulse.llm.tables import table
+from adpulse.llm.tables import small_batches, table
 from adpulse.scratch import scratch_dir
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows, name = quality.judged(table(spark, sf_dir, "documents"))
     returned = (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -36,6 +38,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     rows, _ = language.identified(docs, ~F.coalesce(held_out, F.lit(False)))
@@ -48,12 +51,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     targets = good.where("quality = 1").select("doc_id")
     return crossentropy.differences(table(spark, sf_dir, "documents"), targets)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = scratch_dir(spark, "warc")
     with setting(spark, CLEANUP, "true"):
         warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -61,6 +66,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
         F.coalesce(mixing.count_words("text"), F.lit(0)).alias("size"),
@@ -193,7 +199,8 @@ def _pair_up(prints: DataFrame, carried: list[str]) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    small_batches(spark)
+    rows = pieces.encoded(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return rows.select(
         "doc_id",
         F.size("pieces.ids").cast("long").alias("n_pieces"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Bytes that are hashed at once; a longer text is hashed in pieces.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = (np.uint64(30), np.uint64(27), np.uint64(31))

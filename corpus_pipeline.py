@@ -16,19 +16,21 @@ from pyspark.sql import functions as F
 
 from adpulse.llm import mixing, neardup, pieces, pii, quality
 from adpulse.llm.store import drop, stored
-from adpulse.llm.tables import table
+from adpulse.llm.tables import small_batches, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or that the votes judge bad go."""
+    small_batches(spark)
     return quality.kept_rows(docs.select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id; of rows
     that repeat an id, one. Rows without an id are no one's duplicate and stay."""
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     named = docs.where("doc_id is not null")
     kept = neardup.near_duplicates(named).where("kept").select("doc_id").distinct()
@@ -51,6 +53,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice."""
+    small_batches(spark)
     sized = docs.select(
         *COLUMNS,
         F.coalesce(mixing.count_words("text"), F.lit(0)).alias("size"),
@@ -63,7 +66,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document, and whether they decode to its text."""
-    rows = pieces.encoded(docs.select(*COLUMNS))
+    small_batches(spark)
+    rows = pieces.encoded(docs, keep=["doc_id", "source"])
     return rows.select(
         "doc_id",
         "source",
