@@ -88,3 +88,45 @@ def test_no_targets_and_empty_table(spark, messy, empty):
     assert all(
         row["target_loss"] == pytest.approx(uniform, rel=1e-5) for row in rows if row["n_tokens"]
     )
+
+
+def _exact(rows, chosen, size):
+    """Losses under models over a vocabulary of ``size`` words."""
+    split = {k: text.split() for k, text in rows}
+    words, contexts, pairs = [[Counter(), Counter()] for _ in range(3)]
+    for k, found in split.items():
+        for model in (0, 1) if k in chosen else (1,):
+            words[model].update(found)
+            contexts[model].update([None, *found[:-1]])
+            pairs[model].update(zip([None, *found[:-1]], found))
+    total = sum(words[0].values())
+    scales = (1.0, total / sum(words[1].values()))
+    losses = {}
+    for k, found in split.items():
+        sums = [0.0, 0.0]
+        for before, word in zip([None, *found[:-1]], found):
+            for m, by in enumerate(scales):
+                single = (by * words[m][word] + 1) / (total + size)
+                double = by * pairs[m][before, word] + crossentropy.BACKOFF * single
+                sums[m] -= math.log(double / (by * contexts[m][before] + crossentropy.BACKOFF))
+        losses[k] = [loss / len(found) for loss in sums]
+    return losses
+
+
+def test_more_words_and_bigrams_than_slots(spark):
+    """Every word and bigram has a count of its own, however many there are."""
+    rows = [
+        (k, " ".join(f"the w{(k * 999 + j * 17) % 300_007} v{k}x{j}" for j in range(1500)))
+        for k in range(300)
+    ]
+    n_words = len({word for _, text in rows for word in text.split()})
+    assert n_words > 1 << crossentropy.WORD_BITS
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    chosen = set(range(0, 300, 3))
+    expected = _exact(rows, chosen, n_words)
+    got = crossentropy.differences(docs, _targets(spark, chosen)).collect()
+    assert len(got) == len(rows)
+    for row in got:
+        target, background = expected[row["doc_id"]]
+        assert row["target_loss"] == pytest.approx(target, rel=1e-9)
+        assert row["background_loss"] == pytest.approx(background, rel=1e-9)
