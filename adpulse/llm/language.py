@@ -2,7 +2,7 @@
 
 Two texts are as alike as the blended spectrum of character n-grams they both have: the kernel is
 the number of n-grams (n = 1 to 3, each counted once) in both, over the root of the product of
-their numbers. Landmarks, a part of the training texts, turn kernel values into features
+their numbers. Landmarks, some training texts of each language, turn kernel values into features
 (Nyström); one ridge regression per language (one versus the rest) is fitted on them. Since every
 kernel value is a product with a row of landmark presences, all landmarks and regressions fold into
 one matrix of n-grams by languages, and a batch of texts is scored by one matrix product.
@@ -34,7 +34,8 @@ from adpulse.llm.words import PIECE, utf8
 
 PER_LANGUAGE = 300
 LANGUAGES = 200
-LANDMARKS = 400
+#: Landmarks of all languages together, and the least number of each.
+LANDMARKS, LEAST_LANDMARKS = 400, 8
 TRAIN_CHARS = 200_000
 RIDGE = 0.1
 UNKNOWN = "und"
@@ -161,8 +162,7 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
         features.append(table)
     present = np.concatenate([_presence(*part, symbols, tuple(features)) for part in parts])
 
-    every = max(1, -(-len(texts) // LANDMARKS))
-    landmarks = present[::every].astype(np.float64)
+    landmarks = present[_landmarks(labels)].astype(np.float64)
     values, vectors = np.linalg.eigh(landmarks @ landmarks.T)
     solid = values > 1e-8 * max(values.max(initial=0), 1e-300)
     whiten = landmarks.T @ (vectors[:, solid] / np.sqrt(values[solid]))
@@ -175,6 +175,16 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
     return Model(languages, symbols, tuple(features), weights.astype(np.float32))
 
 
+def _landmarks(labels: list[str]) -> np.ndarray:
+    """Places of the first texts of each language, as many of each."""
+    names, language = np.unique(np.array(labels), return_inverse=True)
+    per = max(LEAST_LANDMARKS, -(-LANDMARKS // len(names)))
+    order = np.argsort(language, kind="stable")
+    firsts = np.searchsorted(language[order], np.arange(len(names)))
+    rank = np.arange(len(order)) - firsts[language[order]]
+    return np.sort(order[rank < per])
+
+
 def _ranges(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
     low = 0
     while low < len(cuts) - 1:

@@ -76,3 +76,31 @@ def test_messy_rows(spark, monkeypatch, messy, cluttered, empty):
     unlabelled = messy.withColumn("lang", F.lit(None).cast("string"))
     monkeypatch.setattr(queries, "table", lambda *_: unlabelled)
     assert {row["lang_pred"] for row in queries.op8_language_id(spark, "").collect()} == {"und"}
+
+
+def _texts_of(alphabets, n, seed):
+    """``n`` texts of each language, the languages in turn, from letters of its own."""
+    draw = np.random.default_rng(seed)
+    texts, labels = [], []
+    for _ in range(n):
+        for k, letters in enumerate(alphabets):
+            words = ["".join(draw.choice(list(letters), 4)) for _ in range(8)]
+            texts.append(" ".join(words))
+            labels.append(f"l{k:03}")
+    return texts, labels
+
+
+def _accuracy(alphabets):
+    model = language.train(*_texts_of(alphabets, language.PER_LANGUAGE, 1))
+    texts, labels = _texts_of(alphabets, 10, 2)
+    best, _ = language.score(model, *language.utf8(pa.array(texts)))
+    return np.mean([model.languages[k] == label for k, label in zip(best, labels)])
+
+
+@pytest.mark.parametrize("n", [2, 3, 8, 12])
+def test_every_language_has_landmarks(n):
+    letters = "abcdefghijklmnopqrstuvwxyzßäöüéèêñçøåæ"
+    assert _accuracy([letters[3 * k : 3 * k + 3] for k in range(n)]) == 1
+    labels = [f"l{k % n}" for k in range(n * language.PER_LANGUAGE)]
+    counts = np.unique(np.array(labels)[language._landmarks(labels)], return_counts=True)[1]
+    assert len(counts) == n and len(set(counts)) == 1
