@@ -5,14 +5,15 @@ the number of n-grams (n = 1 to 3, each counted once) in both, over the root of
 their numbers. Landmarks, some training texts of each language, turn kernel values into features
 (Nyström); one ridge regression per language (one versus the rest) is fitted on them. Since every
 kernel value is a product with a row of landmark presences, all landmarks and regressions fold into
-one matrix of n-grams by languages, and a batch of texts is scored by one matrix product.
+one matrix of n-grams by languages, and a text is scored by the sum of its n-grams' rows.
 
-Letters are lower-cased; everything else is a gap, and a run of gaps is one. Letters that the
-training texts do not have share one symbol. Whole texts are read.
+Letters are lower-cased; everything else is a gap, and a run of gaps is one. Every letter of the
+training texts, of whatever script, has a symbol of its own; letters that they do not have share
+one. Whole texts are read.
 
 The training sample is bounded: for each language the ``PER_LANGUAGE`` labelled texts with the
-smallest hashed ids, at most ``LANGUAGES`` languages (the most frequent), texts of at most
-``TRAIN_CHARS`` characters. All texts are scored.
+smallest hashed ids, or as many fewer as keep all languages together at ``SAMPLE`` texts, texts of
+at most ``TRAIN_CHARS`` characters. Every language that has one is learned. All texts are scored.
 
 Defined results: null text or text without a letter is ``und`` with score 0, and so is all if
 there is nothing to learn from. Equal scores go to the language first in code-point order. Repeated
@@ -33,7 +34,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from adpulse.llm.words import PIECE, utf8
 
 PER_LANGUAGE = 300
-LANGUAGES = 200
+SAMPLE = 60_000
 #: Landmarks of all languages together, and the least number of each.
 LANDMARKS, LEAST_LANDMARKS = 400, 8
 TRAIN_CHARS = 200_000
@@ -41,26 +42,48 @@ RIDGE = 0.1
 UNKNOWN = "und"
 
 _ORDERS = (1, 2, 3)
-_SYMBOL_BITS = 6
-_SYMBOLS = 1 << _SYMBOL_BITS
-_GAP, _OTHER = 0, _SYMBOLS - 1
-_PLANE = 0x10000
+_GAP = 0
+_POINTS = 0x110000
+#: Codes of n-grams up to here are looked up in a table, larger ones by bisection.
+_TABLE = 1 << 20
+#: Texts by n-grams that are flagged at once.
+_FLAGS = 1 << 24
+
+
+class Lookup(NamedTuple):
+    """The n-grams of one order: their sorted codes, and the feature of the first one."""
+
+    codes: np.ndarray
+    first: int
+    #: Feature of every code, if there are few.
+    table: np.ndarray | None
+
+    def find(self, codes: np.ndarray, none: int) -> np.ndarray:
+        if self.table is not None:
+            return self.table[codes]
+        if not len(self.codes):
+            return np.full(len(codes), none)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at + self.first, none)
 
 
 class Model(NamedTuple):
     languages: tuple[str, ...]
-    #: Symbol of every code point of the first plane.
+    #: Symbol of every code point. The largest is of letters that were not learned.
     symbols: np.ndarray
-    #: Per order, the feature of every n-gram, or the last feature (none) for unknown ones.
-    features: tuple[np.ndarray, ...]
+    #: Per order, the features of n-grams; the number of features stands for unknown ones.
+    features: tuple[Lookup, ...]
+    #: Row of weights of every feature; the last row is zero.
+    rows: np.ndarray
     #: n-grams by languages.
     weights: np.ndarray
+    constants: np.ndarray
 
 
 def _lower_table() -> np.ndarray:
-    """Lower case of every code point of the first plane; 0 for what is no letter."""
-    table = np.zeros(_PLANE, np.uint32)
-    for point in range(_PLANE):
+    """Lower case of every code point; 0 for what is no letter."""
+    table = np.zeros(_POINTS, np.uint32)
+    for point in range(_POINTS):
         letter = chr(point)
         if letter.isalpha():
             low = letter.lower()
@@ -80,8 +103,7 @@ def _symbol_runs(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of all texts, each text after a gap of its own and without repeated gaps, and
     the text of each symbol."""
-    found = np.where(points < _PLANE, symbols[np.minimum(points, _PLANE - 1)], _GAP)
-    found = np.insert(found, cuts[:-1], _GAP)
+    found = np.insert(symbols[points], cuts[:-1], _GAP)
     owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts) + 1)
     found, owner = np.append(found, _GAP), np.append(owner, len(cuts) - 2)
     keep = np.ones(len(found), bool)
@@ -89,7 +111,9 @@ def _symbol_runs(
     return found[keep], owner[keep]
 
 
-def _grams(found: np.ndarray, owner: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _grams(
+    found: np.ndarray, owner: np.ndarray, order: int, base: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Number of every n-gram and its text. A gap is only the first or the last symbol of one; the
     gap before the next text closes a text."""
     if len(found) < order:
@@ -98,7 +122,7 @@ def _grams(found: np.ndarray, owner: np.ndarray, order: int) -> tuple[np.ndarray
     code = np.zeros(n, np.int64)
     inside = np.ones(n, bool)
     for k in range(order):
-        code = code * _SYMBOLS + found[k : k + n]
+        code = code * base + found[k : k + n]
         if 0 < k < order - 1:
             inside &= found[k : k + n] != _GAP
     if order == 2:
@@ -117,62 +141,129 @@ def _blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
+def _size(features: tuple[Lookup, ...]) -> int:
+    return sum(len(lookup.codes) for lookup in features)
+
+
+def _entries(
+    raw: np.ndarray, cuts: np.ndarray, symbols: np.ndarray, features: tuple[Lookup, ...]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Text and feature of every known n-gram, each once in a text, in order."""
+    size, base = _size(features), int(symbols.max()) + 1
+    found, owner = _symbol_runs(*_points(raw, cuts), symbols)
+    places = []
+    for order, lookup in zip(_ORDERS, features, strict=True):
+        code, of = _grams(found, owner, order, base)
+        places.append(of * (size + 1) + lookup.find(code, size))
+    place = np.concatenate(places)
+    n = (len(cuts) - 1) * (size + 1)
+    if n <= _FLAGS:
+        flags = np.zeros(n, bool)
+        flags[place] = True
+        place = np.flatnonzero(flags)
+    else:
+        place = np.unique(place)
+    text, feature = np.divmod(place, size + 1)
+    known = feature < size
+    return text[known], feature[known]
+
+
+def _scales(text: np.ndarray, n: int) -> np.ndarray:
+    """What makes each row of presences one of length 1."""
+    return 1 / np.sqrt(np.maximum(np.bincount(text, minlength=n), 1))
+
+
 def _presence(
-    raw: np.ndarray, cuts: np.ndarray, symbols: np.ndarray, features: tuple[np.ndarray, ...]
+    raw: np.ndarray, cuts: np.ndarray, symbols: np.ndarray, features: tuple[Lookup, ...]
 ) -> np.ndarray:
     """Texts by known n-grams, each row scaled to length 1."""
-    size = max(int(table.max(initial=0)) for table in features)
-    present = np.zeros((len(cuts) - 1, size + 1), bool)
-    found, owner = _symbol_runs(*_points(raw, cuts), symbols)
-    for order, table in zip(_ORDERS, features, strict=True):
-        code, of = _grams(found, owner, order)
-        present[of, table[code]] = True
-    rows = present[:, :size].astype(np.float32)
-    return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
+    text, feature = _entries(raw, cuts, symbols, features)
+    present = np.zeros((len(cuts) - 1, _size(features)), np.float32)
+    present[text, feature] = _scales(text, len(present))[text]
+    return present
+
+
+def _sums(text: np.ndarray, values: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """Per text the sum of the rows of ``values`` at ``places``, some texts at a time."""
+    sums = np.zeros((n, values.shape[1]))
+    cuts = np.searchsorted(text, np.arange(n + 1))
+    step = max(1, _FLAGS // (4 * values.shape[1]))
+    low = 0
+    while low < n:
+        high = min(max(int(np.searchsorted(cuts, cuts[low] + step, "right")) - 1, low + 1), n)
+        worded = np.flatnonzero(np.diff(cuts[low : high + 1])) + low
+        if len(worded):
+            chosen = values[places[cuts[low] : cuts[high]]]
+            sums[worded] = np.add.reduceat(chosen, cuts[worded] - cuts[low], axis=0, dtype=np.float64)
+        low = high
+    return sums
 
 
 def train(texts: list[str], labels: list[str]) -> Model | None:
     """Fit on labelled texts, in the order given. None if there is none."""
-    languages = tuple(sorted(set(labels)))
-    if not languages:
+    languages, language = np.unique(np.array(labels, object), return_inverse=True)
+    if not len(languages):
         return None
     lower = _lower_table()
     raw, cuts = utf8(pa.array(texts, pa.string()))
-    points, _ = _points(raw, cuts)
-    letters, counts = np.unique(lower[points[points < _PLANE]], return_counts=True)
-    counts, letters = counts[letters > 0], letters[letters > 0]
-    chosen = letters[np.lexsort((letters, -counts))][: _SYMBOLS - 2]
-    of_letter = np.full(_PLANE, _OTHER, np.int64)
-    of_letter[chosen] = np.arange(1, len(chosen) + 1)
-    symbols = np.where(lower > 0, of_letter[np.minimum(lower, _PLANE - 1)], _GAP)
-
     parts = [(raw[cuts[low] : cuts[high]], cuts[low : high + 1] - cuts[low])
              for low, high in _ranges(cuts)]
-    known: list[np.ndarray] = [np.zeros(_SYMBOLS**order, bool) for order in _ORDERS]
-    for part, inner in parts:
-        found, owner = _symbol_runs(*_points(part, inner), symbols)
-        for order, flags in zip(_ORDERS, known, strict=True):
-            flags[_grams(found, owner, order)[0]] = True
-    size = sum(int(flags.sum()) for flags in known)
+    seen = np.zeros(_POINTS, bool)
+    for part in parts:
+        seen[lower[_points(*part)[0]]] = True
+    letters = np.flatnonzero(seen[1:]) + 1
+    base = len(letters) + 2
+    of_letter = np.full(_POINTS, base - 1, np.int32)
+    of_letter[letters] = np.arange(1, base - 1)
+    symbols = np.where(lower > 0, of_letter[lower], np.int32(_GAP))
+
+    known = [np.zeros(0, np.int64) for _ in _ORDERS]
+    for part in parts:
+        runs = _symbol_runs(*_points(*part), symbols)
+        known = [
+            np.union1d(codes, _grams(*runs, order, base)[0])
+            for order, codes in zip(_ORDERS, known, strict=True)
+        ]
+    size = sum(map(len, known))
     features, at = [], 0
-    for flags in known:
-        table = np.full(len(flags), size, np.int64)
-        table[flags] = np.arange(at, at + int(flags.sum()))
-        at += int(flags.sum())
-        features.append(table)
-    present = np.concatenate([_presence(*part, symbols, tuple(features)) for part in parts])
-
-    landmarks = present[_landmarks(labels)].astype(np.float64)
-    values, vectors = np.linalg.eigh(landmarks @ landmarks.T)
+    for order, codes in zip(_ORDERS, known, strict=True):
+        table = None
+        if base**order <= _TABLE:
+            table = np.full(base**order, size, np.int64)
+            table[codes] = np.arange(at, at + len(codes))
+        features.append(Lookup(codes, at, table))
+        at += len(codes)
+    found, n = [], 0
+    for part in parts:
+        text, feature = _entries(*part, symbols, tuple(features))
+        found.append((text.astype(np.int32) + n, feature.astype(np.int32)))
+        n += len(part[1]) - 1
+    text, feature = (np.concatenate(column) for column in zip(*found, strict=True))
+    scales = _scales(text, n)
+
+    # Only n-grams of landmarks have a weight. Their rows: n-grams by landmarks.
+    chosen = _landmarks(labels)
+    landmark = np.full(n, -1)
+    landmark[chosen] = np.arange(len(chosen))
+    mine = landmark[text] >= 0
+    held = np.unique(feature[mine])
+    rows = np.full(size, len(held), np.int32)
+    rows[held] = np.arange(len(held))
+    held_by = np.zeros((len(held) + 1, len(chosen)), np.float32)
+    held_by[rows[feature[mine]], landmark[text[mine]]] = scales[text[mine]]
+    kernel = _sums(text, held_by, rows[feature], n) * scales[:, None]
+    values, vectors = np.linalg.eigh(kernel[chosen])
     solid = values > 1e-8 * max(values.max(initial=0), 1e-300)
-    whiten = landmarks.T @ (vectors[:, solid] / np.sqrt(values[solid]))
-    mapped = present.astype(np.float64) @ whiten
-    truth = np.array([[1.0 if label == name else -1.0 for name in languages] for label in labels])
-    mapped = np.column_stack([mapped, np.ones(len(mapped))])
+    whiten = vectors[:, solid] / np.sqrt(values[solid])
+    mapped = np.column_stack([kernel @ whiten, np.ones(n)])
     gram = mapped.T @ mapped + RIDGE * np.eye(mapped.shape[1])
-    solved = np.linalg.solve(gram, mapped.T @ truth)
-    weights = np.vstack([whiten @ solved[:-1], solved[-1:]])
-    return Model(languages, symbols, tuple(features), weights.astype(np.float32))
+    # 1 for a text's own language, -1 for the others.
+    order = np.argsort(language, kind="stable")
+    firsts = np.searchsorted(language[order], np.arange(len(languages)))
+    truth = 2 * np.add.reduceat(mapped[order], firsts, axis=0).T - mapped.sum(0)[:, None]
+    solved = np.linalg.solve(gram, truth)
+    weights = held_by @ (whiten @ solved[:-1]).astype(np.float32)
+    return Model(tuple(languages), symbols, tuple(features), rows, weights, solved[-1])
 
 
 def _landmarks(labels: list[str]) -> np.ndarray:
@@ -195,8 +286,10 @@ def _ranges(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def score(model: Model, raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the language and score of each text of a batch."""
-    present = _presence(raw, cuts, model.symbols, model.features)
-    values = present @ model.weights[:-1] + model.weights[-1]
+    text, feature = _entries(raw, cuts, model.symbols, model.features)
+    n = len(cuts) - 1
+    sums = _sums(text, model.weights, model.rows[feature], n)
+    values = sums * _scales(text, n)[:, None] + model.constants
     best = values.argmax(1)
     return best, np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1)
 
@@ -231,26 +324,30 @@ def training_sample(docs: DataFrame, eligible: Column) -> tuple[list[str], list[
     counts = (
         labelled.groupBy("lang")
         .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(LANGUAGES)
         .collect()
     )
     if not counts:
         return [], []
+    per_language = max(1, min(PER_LANGUAGE, SAMPLE // len(counts)))
     # Below this bound lie about twice as many hashes as are wanted, whatever the size.
     rank = F.xxhash64(F.col("doc_id").cast("string"), "lang")
-    bounds = [F.lit(row["lang"]) for row in counts]
-    shares = [F.lit(min(1.0, 2 * PER_LANGUAGE / row["n"])) for row in counts]
-    share = F.create_map(*[x for pair in zip(bounds, shares, strict=True) for x in pair])
+    shares = pa.table(
+        {
+            "lang": pa.array([row["lang"] for row in counts], pa.string()),
+            "share": [min(1.0, 2 * per_language / row["n"]) for row in counts],
+        }
+    )
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares))
     draw = F.pmod(rank, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = labelled.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")])
+    drawn = labelled.withColumn("draw", draw).join(share, "lang")
+    picked = drawn.where(F.col("draw") < F.col("share"))
     by_language: dict[str, list] = {row["lang"]: [] for row in counts}
-    for row in picked.limit(8 * PER_LANGUAGE * len(counts)).collect():
+    for row in picked.limit(8 * per_language * len(counts)).collect():
         by_language[row["lang"]].append(row)
     turns = []
     for rows in by_language.values():
         rows.sort(key=lambda row: (row["draw"], row["doc_id"], row["text"]))
-        turns += [(turn, row) for turn, row in enumerate(rows[:PER_LANGUAGE])]
+        turns += [(turn, row) for turn, row in enumerate(rows[:per_language])]
     turns.sort(key=lambda pair: (pair[0], pair[1]["lang"]))
     return [row["text"] for _, row in turns], [row["lang"] for _, row in turns]
 

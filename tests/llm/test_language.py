@@ -104,3 +104,19 @@ def test_every_language_has_landmarks(n):
     labels = [f"l{k % n}" for k in range(n * language.PER_LANGUAGE)]
     counts = np.unique(np.array(labels)[language._landmarks(labels)], return_counts=True)[1]
     assert len(counts) == n and len(set(counts)) == 1
+
+
+def test_every_letter_is_learned():
+    """Scripts with more letters together than any small alphabet, two beyond the first plane."""
+    firsts = (0x61, 0x430, 0x3B1, 0x627, 0x4E00, 0x4F00, 0xAC00, 0xB000, 0x20000, 0x20100)
+    widths = (26, 32, 17, 20, 200, 200, 200, 200, 32, 32)
+    scripts = ["".join(map(chr, range(at, at + n))) for at, n in zip(firsts, widths)]
+    assert _accuracy(scripts) == 1
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k, f"{chr(0x4E00 + k % 250) * 3} x", f"l{k % 250:03}") for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got, model = language.identified(docs, F.lit(True))
+    assert len(model.languages) == 250
+    assert all(row["lang"] == row["language"]["lang"] for row in got.collect())
