@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adpulse.llm import (
+    bpe,
     crossentropy,
     fingerprint,
     language,
@@ -14,6 +15,7 @@ from adpulse.llm import (
     pieces,
     pii,
     quality,
+    trie,
     urlfilter,
     warc,
 )
@@ -207,3 +209,20 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("pieces.ids").alias("ids"),
         F.col("pieces.round_trip").alias("round_trip"),
     )
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.encoded(docs, keep=["doc_id"], decoded_as="decoded")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))

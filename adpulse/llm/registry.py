@@ -22,6 +22,8 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
     "op10_warc": queries.op10_warc,
+    "op12_bpe": queries.op12_bpe,
+    "op13_conversation_trie": queries.op13_conversation_trie,
     "pipeline": pipeline,
 }
 
@@ -29,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filter": sql.OP6,
     "op9_minhash_near_dedup": sql.OP9,
     "op10_warc": sql.OP10,
+    "op13_conversation_trie": sql.OP13,
 }

@@ -105,3 +105,67 @@ select c.page_id, c.host, cast(c.day as varchar) as fetched_on, f.matched is not
        f.matched, f.categories, cast(f.listed_on as varchar) as listed_on
 from captures c left join found f on f.host = c.host and f.day = c.day
 """
+
+#: The CRC of an id's decimal digits, byte by byte and bit by bit.
+_CRC32 = """
+xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(
+      string_split(cast(conv_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), cast(range(8) as bigint[])),
+      lambda r, i: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end)),
+  4294967295)"""
+
+OP13 = f"""
+with given as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  where conv_id is not null
+),
+own as (
+  select conv_id, list({{'role': role, 'text': text}} order by turn nulls first, role, sha256(
+    concat(strlen(role), ':', role, text))) as own
+  from given group by conv_id
+),
+rebuilt as (
+  select c.conv_id, list_concat(list_slice(coalesce(b.own, []), 1, c.h), list_slice(c.own, c.h + 1, len(c.own)))
+    as path
+  from (select conv_id, own, cast({_CRC32} % 4 as bigint) as h from own) c
+  left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+),
+steps as (
+  select conv_id, len(path) as size, unnest(range(0, len(path) + 1)) as depth, path from rebuilt
+),
+members as (
+  select conv_id, size, depth, list_slice(path, 1, depth) as prefix,
+         list_slice(path, 1, depth - 1) as above
+  from steps
+),
+nodes as (
+  select prefix, depth, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs,
+         string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (size = depth) as ends,
+         case when depth = 0 then 0 else len(list_filter(string_split_regex(
+           any_value(prefix[len(prefix)].text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) end as words
+  from members group by prefix, depth
+),
+kids as (
+  select above as prefix, depth - 1 as depth, count(*) as n from nodes where depth > 0 group by all
+),
+counted as (
+  select n.*, coalesce(k.n, 0) as n_children
+  from nodes n left join kids k on k.prefix = n.prefix and k.depth = n.depth
+),
+upwards as (
+  select list_slice(prefix, 1, up) as prefix, up as depth, n_children, n_convs, words
+  from (select *, unnest(range(0, depth + 1)) as up from counted)
+),
+subtrees as (
+  select prefix, depth, count(*) filter (n_children = 0) as n_leaves,
+         sum((n_convs - 1) * words) as saved_tokens
+  from upwards group by prefix, depth
+)
+select c.conv_id, cast(c.depth as bigint) as depth, p.conv_id as parent_conv_id,
+       cast(c.n_convs as bigint) as n_convs, cast(c.n_children as bigint) as n_children,
+       cast(s.n_leaves as bigint) as n_leaves, cast(s.saved_tokens as bigint) as saved_tokens,
+       sha256(coalesce(c.ends, '')) as ends_sha256
+from counted c
+join subtrees s on s.prefix = c.prefix and s.depth = c.depth
+left join counted p on c.depth > 0 and p.depth = c.depth - 1 and p.prefix = c.above
+"""

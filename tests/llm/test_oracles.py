@@ -14,7 +14,7 @@ def test_matches_sql(spark, name):
     columns = sorted(frame.columns)
     got = sorted(map(repr, (tuple(row) for row in frame.select(*columns).collect())))
     with duckdb.connect() as connection:
-        for table in ("documents", "pages", "labels", "benchmark"):
+        for table in ("documents", "pages", "labels", "benchmark", "conversations"):
             connection.execute(
                 f"create view {table} as select * from read_parquet('{FOLDER}/{table}.parquet')"
             )

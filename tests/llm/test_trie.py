@@ -1,0 +1,157 @@
+"""The trie against brute force over all prefixes."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from adpulse.llm import trie
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = (
+    "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+    "ends_sha256",
+)
+
+
+def rebuilt(rows):
+    def place(row):
+        role, text = row[2] or "", row[3] or ""
+        digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+        return row[1] is not None, row[1] or 0, role, digest[:32]
+
+    own = defaultdict(list)
+    for row in sorted((row for row in rows if row[0] is not None), key=place):
+        own[row[0]].append((row[2] or "", row[3] or ""))
+    result = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = int(c - np.fmod(c, 20))
+        result[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    return result
+
+
+def brute(paths):
+    """Rows of the trie of ``{conv_id: path}``."""
+    nodes = sorted({path[:d] for path in paths.values() for d in range(len(path) + 1)}, key=len)
+    members = {node: sorted(c for c, p in paths.items() if p[: len(node)] == node) for node in nodes}
+    children = {node: [n for n in nodes if len(n) == len(node) + 1 and n[:-1] == node] for node in nodes}
+    leaves, saved = {}, {}
+    for node in reversed(nodes):
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        leaves[node] = sum(leaves[n] for n in children[node]) or 1
+        saved[node] = (len(members[node]) - 1) * words + sum(saved[n] for n in children[node])
+    return sorted(
+        (
+            members[node][0],
+            len(node),
+            members[node[:-1]][0] if node else -1,
+            len(members[node]),
+            len(children[node]),
+            leaves[node],
+            saved[node],
+            hashlib.sha256(
+                ",".join(str(c) for c in members[node] if len(paths[c]) == len(node)).encode()
+            ).hexdigest(),
+        )
+        for node in nodes
+    )
+
+
+def rows_of(frame):
+    assert tuple(frame.columns) == COLUMNS
+    return sorted(
+        tuple(-1 if name == "parent_conv_id" and row[name] is None else row[name] for name in COLUMNS)
+        for row in frame.collect()
+    )
+
+
+def made(n, seed, deepest=6, choices=3):
+    """Conversations with many common beginnings and many equal ones."""
+    draw = np.random.default_rng(seed)
+    rows = []
+    for c in range(n):
+        for t in range(int(draw.integers(1, deepest + 1))):
+            said = int(min(draw.integers(0, choices), draw.integers(0, choices)))
+            rows.append((c * 7, t, ("user", "assistant")[t % 2], "word " * said + f"x{said}"))
+    return rows
+
+
+@pytest.mark.parametrize("shard_turns", [4, 60, 1 << 20])
+def test_against_brute_force(spark, shard_turns):
+    rows = made(120, seed=shard_turns)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert rows_of(trie.conversation_trie(frame, shard_turns)) == brute(rebuilt(rows))
+
+
+def test_one_conversation_held_by_very_many(spark):
+    """Its members fall into several shards, its ends are folded from their pieces."""
+    rows = [(20 * c, t, "user", f"turn {t}") for c in range(400) for t in range(4)]
+    rows += [(20 * c, t, "user", f"turn {min(t, 2)}") for c in range(400, 420) for t in range(5)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(trie.conversation_trie(frame, 100)) == brute(rebuilt(rows))
+
+
+def test_messy_rows(spark):
+    rows = [
+        (None, 0, "user", "belongs to none"),
+        (1, None, None, None),
+        (1, 0, "user", "a b"),
+        (1, 0, "user", "a b"),
+        (1, 0, "assistant", "a b"),
+        (2, 5, None, "a b"),
+        (2, 1, "", ""),
+        (3, 0, "us", "era b"),
+        (4, 0, "user", "w " * 200_000),
+        (5, 0, "x", None),
+        (20, 0, "user", "hi"),
+        (21, 0, "user", "hi"),
+        (22, 0, "user", "other"),
+        (-3, 0, "user", "negative"),
+        (-25, 0, "user", "negative"),
+        (10**15, 0, "user", "far"),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for name in ("path", "words", "key", "digest", "own", "base", "h", "depth"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    for size in (1, 1000):
+        assert rows_of(trie.conversation_trie(frame, size)) == brute(rebuilt(rows))
+
+
+def test_turnless_conversations_are_members_of_the_root(spark):
+    lonely = next(c for c in range(1, 20) if zlib.crc32(str(c).encode()) % 4 == 3)
+    rows = [(lonely, 0, "user", "gone"), (lonely + 20, 0, "user", "gone too")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(trie.conversation_trie(frame)) == brute(rebuilt(rows))
+
+
+def test_a_very_long_conversation(spark):
+    rows = [(40, t, "user", f"t{t}") for t in range(5000)] + made(30, 5)
+    paths = rebuilt(rows)
+    found = trie.conversation_trie(spark.createDataFrame(rows, SCHEMA), 500)
+    assert found.count() == len({p[:d] for p in paths.values() for d in range(len(p) + 1)})
+    deepest = found.orderBy(F.desc("depth")).first()
+    assert deepest["conv_id"] == 40 and deepest["depth"] == len(paths[40])
+
+
+def test_no_rows(spark):
+    assert trie.conversation_trie(spark.createDataFrame([], SCHEMA)).collect() == []
+    nobody = spark.createDataFrame([(None, 1, "user", "x")], SCHEMA)
+    assert trie.conversation_trie(nobody).collect() == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=9), min_size=1, max_size=12), st.integers(1, 4))
+def test_order_by_windows(paths, window):
+    size = np.array([len(path) for path in paths])
+    ids = np.array([k for path in paths for k in path], np.int64)
+    conv = np.arange(len(paths))[::-1].copy()
+    bounds = np.append(0, np.cumsum(size))
+    shard = trie.Shard(conv, ids, ids, bounds, np.zeros(4, "S16"))
+    expected = sorted(range(len(paths)), key=lambda k: (paths[k], conv[k]))
+    assert trie.in_order(shard, window).tolist() == expected
