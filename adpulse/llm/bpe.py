@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 REMEMBERED_CHARS = 40
 #: Characters of text whose ids are given out at once.
 BLOCK_CHARS = 1 << 21
@@ -147,7 +148,7 @@ class Remembered(dict):
     def __missing__(self, unit: str) -> bytes:
         ids = self.older.get(unit)
         if ids is None:
-            ids = np.array(self.find(unit), np.int32).tobytes()
+            ids = array("i", self.find(unit)).tobytes()
             if len(unit) > REMEMBERED_CHARS:
                 return ids
         if len(self) >= REMEMBERED:

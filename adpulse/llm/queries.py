@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adpulse.llm import (
+    align,
     bpe,
     crossentropy,
     fingerprint,
@@ -211,6 +212,14 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    rows = align.measured(docs, ["doc_id"], {"groups_sha256": digest})
+    return rows.withColumn("groups_sha256", F.coalesce("groups_sha256", F.lit("")))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": queries.op8_language_id,
     "op9_minhash_near_dedup": queries.op9_minhash_near_dedup,
     "op10_warc": queries.op10_warc,
+    "op11_tokenizer_alignment": queries.op11_tokenizer_alignment,
     "op12_bpe": queries.op12_bpe,
     "op13_conversation_trie": queries.op13_conversation_trie,
     "pipeline": pipeline,

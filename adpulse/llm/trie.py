@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from adpulse.llm.store import drop, stored
 
-SHARD_TURNS = 1 << 21
+SHARD_TURNS = 1 << 19
 WINDOW = 64
 DIGEST = 16
 #: First turns that a rebuilt conversation may take from another.

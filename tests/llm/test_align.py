@@ -1,0 +1,186 @@
+"""Alignment against brute force with the public libraries."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from adpulse.llm import align, queries
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+
+class Libraries:
+    def __init__(self):
+        self.a = Tokenizer.from_file(align.BYTE_VOCABULARY)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=align.PIECE_MODEL)
+        letters = {}
+        shift = 0
+        for byte in range(256):
+            if 33 <= byte <= 126 or 161 <= byte <= 172 or 174 <= byte <= 255:
+                letters[chr(byte)] = byte
+            else:
+                letters[chr(256 + shift)] = byte
+                shift += 1
+        self.a_bytes = {k: bytes(letters[c] for c in t) for t, k in self.a.get_vocab(False).items()}
+
+    def b_bytes(self, k):
+        piece = self.b.id_to_piece(k)
+        return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode()
+
+    def groups(self, text):
+        """Groups of (A ids, B ids) of a text."""
+        if not text:
+            return []
+        a = self.a.encode(" " + text, add_special_tokens=False).ids
+        b = self.b.encode(text)
+        whole = (" " + text).encode()
+        parts = [[self.a_bytes[k] for k in a], [self.b_bytes(k) for k in b]]
+        if any(b"".join(part) != whole for part in parts):
+            return []
+        ends = [np.cumsum([len(x) for x in part]).tolist() for part in parts]
+        common, found, at = set(ends[0]) & set(ends[1]), [([], [])], [0, 0]
+        for end in sorted(common):
+            for side, ids in enumerate((a, b)):
+                while at[side] < len(ids) and ends[side][at[side]] <= end:
+                    found[-1][side].append(ids[at[side]])
+                    at[side] += 1
+            found.append(([], []))
+        return found[:-1]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    return Libraries()
+
+
+def brute(libraries, texts):
+    """The measures of every text of ``texts``, which is the corpus."""
+    linked = []
+    counts = Counter()
+    for text in texts:
+        pairs = Counter((x, y) for a, b in libraries.groups(text) for x in a for y in b)
+        linked.append(pairs)
+        counts.update(pairs.keys())
+    most = defaultdict(int)
+    for (a, _), n in counts.items():
+        most[a] = max(most[a], n)
+    rows = []
+    for text, pairs in zip(texts, linked):
+        groups = libraries.groups(text)
+        shown = ";".join("|".join(",".join(map(str, ids)) for ids in group) for group in groups)
+        rows.append((
+            sum(len(a) for a, _ in groups),
+            sum(len(b) for _, b in groups),
+            len(groups),
+            sum(pairs.values()),
+            sum(n for pair, n in pairs.items() if counts[pair] == most[pair[0]]),
+            sum(n * counts[pair] for pair, n in pairs.items()),
+            hashlib.sha256(shown.encode()).hexdigest() if groups else "",
+        ))
+    return rows
+
+
+NAMES = [*align.MEASURES, "groups_sha256"]
+
+
+def digest():
+    return {"groups_sha256": F.when(F.length("groups") > 0, F.sha2("groups", 256)).otherwise("")}
+
+
+def check(frame, libraries, texts):
+    """``frame`` has the number of its text in ``texts`` as ``n``."""
+    found = {row["n"]: tuple(row[name] or (0 if k < 6 else "") for k, name in enumerate(NAMES)) for row in frame.collect()}
+    expected = brute(libraries, texts)
+    assert len(found) == len(texts)
+    for k, row in enumerate(expected):
+        assert found[k] == row, texts[k]
+
+
+ODD = [
+    None, "", " ", "  two  spaces ", "a", "</s> <|endoftext|> <unk> <0x41>", "a▁b", "▁", "x" * 3000,
+    "日本語 テスト 🙂 ünï", "line\nline\t\r\n\x00", "The cat sat on the mat.", "The cat sat on the mat.",
+    "The cat sat on the dog.", "   nbsp", "0123456789 " * 30,
+]
+
+
+@pytest.mark.parametrize("chars", [1, 60, 1 << 22])
+def test_against_libraries(spark, libraries, chars):
+    rows = spark.createDataFrame(list(enumerate(ODD)), "n long, text string").repartition(3)
+    check(align.measured(rows, ["n"], digest(), chars=chars), libraries, ODD)
+
+
+def test_documents(spark, libraries, documents):
+    texts = [row["text"] for row in documents.collect()]
+    texts += texts[:20]  # copies count
+    rows = spark.createDataFrame(list(enumerate(texts)), "n long, text string").repartition(5)
+    check(align.measured(rows, ["n"], digest(), chars=20_000), libraries, texts)
+
+
+def test_query(spark, libraries):
+    folder = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
+    number = {row["doc_id"]: k for k, row in enumerate(given)}
+    found = queries.op11_tokenizer_alignment(spark, folder)
+    assert found.columns == ["doc_id", *NAMES]
+    expected = brute(libraries, [row["text"] for row in given])
+    rows = found.collect()
+    assert len(rows) == len(given)
+    for row in rows:
+        assert tuple(row[name] for name in NAMES) == expected[number[row["doc_id"]]]
+
+
+def test_wide_groups_give_the_same_links():
+    draw = np.random.default_rng(1)
+    a = [draw.integers(0, 9, 40).astype(np.int32) for _ in range(5)]
+    b = [draw.integers(0, 7, 30).astype(np.int32) for _ in range(5)]
+    one = np.ones(9, np.int64)
+    # Tokens of 3 and 4 bytes end together at every twelfth byte.
+    left, right = align.sides(a, b, 3 * one, 4 * one)
+    plain, groups = align.links(left, right, 100)
+    wide, same = align.links(left, right, 100, wide=5)
+    for x, y in zip([*plain, groups], [*wide, same], strict=True):
+        assert x.tolist() == y.tolist()
+    assert groups.tolist() == [12] * 50
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=30), max_size=5))
+def test_any_texts(libraries, texts):
+    own = align.Tokenizers(align.load())
+    a, b = align.sides(*own.of(texts), own.a_sizes, own.b_sizes)
+    flat, cuts = align.printed(a, b)
+    for k, text in enumerate(texts):
+        groups = libraries.groups(text)
+        shown = ";".join("|".join(",".join(map(str, ids)) for ids in group) for group in groups)
+        assert flat[cuts[k] : cuts[k + 1]].tobytes().decode() == shown
+
+
+def test_messy_rows(cluttered):
+    for name in ("key", "block", "codes", "kept", "n_a", "copies", "text_key"):
+        cluttered = cluttered.withColumn(name, F.lit("clash"))
+    found = align.measured(cluttered, cluttered.columns, {"groups": F.col("groups")})
+    assert found.count() == cluttered.count()
+    assert set(found.columns) == {*cluttered.columns, *align.MEASURES, "groups"}
+    rows = found.collect()
+    assert {row["n_a"] for row in rows if not row["text"]} == {0}
+    assert all(row["groups"] and row["n_links"] >= row["n_groups"] > 0 for row in rows if row["doc_id"] == 5)
+    same = {tuple(row[name] for name in align.MEASURES) for row in rows if row["doc_id"] in (1, 6)}
+    assert len(same) == 1
+
+
+def test_no_rows(empty):
+    assert align.measured(empty, ["doc_id"]).collect() == []
+
+
+def test_pair_counts(spark):
+    rows = spark.createDataFrame([("a b",), ("a b",), ("a c",)], "text string")
+    values = align.load()
+    texts = align.aligned(rows, values)
+    counts = align.pair_counts(texts, values["pieces"]).collect()
+    assert sorted(row["n"] for row in counts) == [1, 2, 3]
+    assert all(row["best"] for row in counts)
