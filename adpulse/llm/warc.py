@@ -7,7 +7,9 @@ row is longer than a chunk, so neither the writer nor the reader holds a whole r
 cell it comes from.
 
 Reading: the start line of a record is the line separator of Spark's text reader, which reads
-record by record. Chunks never contain that separator, as a payload that has it is cut inside it.
+record by record. It ends in a version mark, and a payload is cut inside every such mark, so no chunk
+holds one: neither inside a chunk, nor where a chunk follows a header or precedes the next record, can
+the separator arise, whatever else a payload begins or ends with.
 The digest of a record in one chunk is taken where it is read; the chunks of the others are sorted
 by number and folded one after the other into a running digest.
 
@@ -44,7 +46,8 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 _SEPARATOR = END + START
-_CUT = r"(?<=\r\n\r\nWARC/1\.)(?=1\r\n)"
+_MARK = START.rstrip()
+_CUT = r"(?<=WARC/1\.)(?=1)"
 
 
 def base32(sha1_hex: Column) -> Column:
@@ -60,9 +63,9 @@ def base32(sha1_hex: Column) -> Column:
 
 
 def chunks(payload: str, size: int = CHUNK_CHARS) -> Column:
-    """The payload in pieces of at most ``size`` characters, none of which contains the
-    separator. An empty payload is one empty piece."""
-    short = (F.length(payload) <= size) & (F.instr(payload, _SEPARATOR) == 0)
+    """The payload in pieces of at most ``size`` characters, none of which contains a version
+    mark. An empty payload is one empty piece."""
+    short = (F.length(payload) <= size) & (F.instr(payload, _MARK) == 0)
     parts = F.split(payload, _CUT, -1)
     cut = F.flatten(
         F.transform(parts, lambda part: F.regexp_extract_all(part, F.lit(f"(?s).{{1,{size}}}"), 0))

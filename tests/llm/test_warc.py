@@ -62,6 +62,31 @@ def test_round_trip(spark, size):
     assert sorted(map(tuple, warc.read_archives(spark, path).collect()), key=str) == _expected(PAGES)
 
 
+@pytest.mark.parametrize("size", [7, 64, 1 << 16])
+def test_no_payload_ends_a_record(spark, size):
+    """Payloads, and chunks of payloads, that begin or end like the start of a record."""
+    starts = ["WARC/1.1\r\n", "\r\nWARC/1.1\r\n", "\n\r\nWARC/1.1\r\n", MARKER, "WARC/1.1", "\r\nWARC/1.1"]
+    ends = ["\r\n\r\nWARC/1.1", "\r\n\r\nWARC/1.1\r", "WARC/1.1", "\r\nWARC/1.1", MARKER, "\r\n\r\n", "\r\n"]
+    fill = "x" * (size - 3)
+    pages = [start + "hello" for start in starts] + ["x" + end for end in ends]
+    pages += [start + fill + end for start in starts for end in ends]
+    pages += [fill + "abc" + start + fill for start in starts]
+    pages += [fill[: max(size - k, 0)] + MARKER + "tail" for k in range(16)]
+    pages += [*starts, *ends, "WARC/1.1" * 50, "WARC/1.1WARC/1.1\r\n"]
+    rows = [(k, f"http://a.org/{k}", page) for k, page in enumerate(pages)]
+    path = _written(spark, rows, size=size)
+    found = sorted(map(tuple, warc.read_archives(spark, path).collect()), key=str)
+    assert found == _expected(rows)
+
+
+def test_payload_of_several_megabytes(spark):
+    long = "".join(f"<p>{k} é🙂</p>\r\n\r\nWARC/1.1\r\n" for k in range(120_000))
+    rows = [(1, "u", long), (2, "v", long), (3, "w", "z" * 3_000_000)]
+    path = _written(spark, rows)
+    found = sorted(map(tuple, warc.read_archives(spark, path).collect()), key=str)
+    assert found == _expected(rows)
+
+
 def test_smaller_payloads_are_all_responses(spark):
     path = _written(spark, PAGES, min_bytes=20)
     got = sorted(map(tuple, warc.read_archives(spark, path).collect()), key=str)
