@@ -15,10 +15,15 @@ order, so documents meet it without being moved. It is found from the sums of bu
 ``BUCKET_ROWS`` documents and then within one bucket, so neither a hot source nor a large pattern
 comes together in one task.
 
+The order is that of a hash of doc_id and text. Rows without an id, or that share one, have places of
+their own if their texts differ. Rows equal in both stand at one place and are summed there; if the
+cut goes through them, as many as fit are taken, found from the counts of the chunks they were read in
+and then within one chunk.
+
 Defined results: null or empty text has size 0 and no word taken; it is taken as often as its place
-says. A null source is a source of its own, last in order. Rows that repeat a doc_id share a place,
-so they are taken alike. A document without any source is not taken. Without any words every target
-is 0. Other columns pass through; those named like the result's are replaced.
+says. A null source is a source of its own, last in order. A document without any source is not
+taken. Without any words every target is 0. Other columns pass through; those named like the
+result's are replaced.
 """
 
 from __future__ import annotations
@@ -173,8 +178,22 @@ class Mix(NamedTuple):
     flows: dict[tuple[str, str | None], int]
 
 
+def tie_breakers(text: str) -> list[Column]:
+    """Columns that ``mixed`` wants of a stored table: ``tie``, a hash of the text, and ``row``, which
+    tells equal rows apart."""
+    return [F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row")]
+
+
+#: Rows of one chunk have these bits of ``row`` in common.
+CHUNK_BITS = 33
+
+
 def _place(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), "doc_id")
+    return F.xxhash64(F.lit(seed), "doc_id", "tie")
+
+
+def _id() -> Column:
+    return F.coalesce("doc_id", F.lit(-(2**63)))
 
 
 def planned(sized: DataFrame, targets=shared_targets) -> tuple[Mix, dict[str, int]]:
@@ -194,12 +213,9 @@ def planned(sized: DataFrame, targets=shared_targets) -> tuple[Mix, dict[str, in
     return Mix(sizes, wanted, patterns, flows), {row["pattern"]: row["n"] for row in rows}
 
 
-CUT_SCHEMA = "pattern string, rounds long, cut_place long, cut_id long"
-
-
 def cuts(sized: DataFrame, mix: Mix, counts: dict[str, int], seed: int = SEED) -> DataFrame:
-    """``pattern, rounds, cut_place, cut_id``: a document is taken ``rounds`` times, and once more
-    if its place in the seeded order (its hash, then its id) is not beyond the cut."""
+    """``pattern, rounds, cut``: a document is taken ``rounds`` times, and once more if its position
+    (place, id, size, row) in the seeded order is not beyond the cut."""
     spark = sized.sparkSession
     rows = []
     for name, size in sorted(mix.patterns.items()):
@@ -212,7 +228,8 @@ def cuts(sized: DataFrame, mix: Mix, counts: dict[str, int], seed: int = SEED) -
 
     # Broadcasts here have a row per pattern, at most MAX_PATTERNS.
     partial = F.broadcast(wanted.where("rest > 0"))
-    placed = sized.withColumn("place", _place(seed)).join(partial, "pattern")
+    placed = sized.withColumn("place", _place(seed)).withColumn("id", _id())
+    placed = placed.join(partial, "pattern")
     along = (F.col("place").cast("double") / F.lit(2.0**64) + 0.5) * F.col("buckets")
     bucket = F.least(F.greatest(F.floor(along), F.lit(0)), F.col("buckets") - 1)
     placed = placed.withColumn("bucket", bucket)
@@ -222,43 +239,69 @@ def cuts(sized: DataFrame, mix: Mix, counts: dict[str, int], seed: int = SEED) -
         "since", F.col("until") - F.col("words")
     )
     cut_in = sums.where("since < rest and rest <= until").select("pattern", "bucket", "since")
-    within = Window.partitionBy("pattern", "bucket").orderBy("place", "doc_id").rowsBetween(
+    at = ["place", "id", "size"]
+    inside = placed.join(F.broadcast(cut_in), ["pattern", "bucket"])
+    # Equal rows in one: a third of a pattern's rows may stand at one place.
+    groups = inside.groupBy("pattern", "bucket", "since", "rest", *at).agg(F.count("*").alias("n"))
+    within = Window.partitionBy("pattern", "bucket").orderBy(*at).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    inside = placed.join(F.broadcast(cut_in), ["pattern", "bucket"]).withColumn(
-        "start", F.col("since") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    start = F.col("since") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(within), F.lit(0))
+    groups = groups.withColumn("room", F.col("rest") - start)
+    # As many as fit by at least half; none in this bucket: the bucket's lower end.
+    fitting = F.when(F.col("size") > 0, F.floor(F.col("room") / F.col("size") + 0.5)).otherwise(
+        F.when(F.col("room") >= 0, F.col("n")).otherwise(0)
     )
-    # The last document that at least half fits; none in this bucket: the bucket's lower end.
-    fits = F.col("start") + F.col("size") / 2 <= F.col("rest")
-    last = inside.groupBy("pattern").agg(
-        F.max(F.when(fits, F.struct("place", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"))))
-        .alias("last"),
+    groups = groups.withColumn("taken", F.least(F.col("n"), F.greatest(fitting, F.lit(0))))
+    last = groups.groupBy("pattern").agg(
+        F.max(F.when(F.col("taken") > 0, F.struct(*at, "taken", "n"))).alias("last"),
         F.min("place").alias("least"),
-    )
+    )
     last = last.select(
         "pattern",
-        F.coalesce("last.place", F.col("least") - 1).alias("cut_place"),
-        F.coalesce("last.id", F.lit(2**63 - 1)).alias("cut_id"),
+        F.coalesce("last.place", F.col("least") - 1).alias("place"),
+        F.coalesce("last.id", F.lit(2**63 - 1)).alias("id"),
+        F.coalesce("last.size", F.lit(2**63 - 1)).alias("size"),
+        F.when(F.col("last.taken") < F.col("last.n"), F.col("last.taken")).alias("taken"),
+    )
+    last = stored(last, "places")
+    # A row per pattern again, and a row per chunk.
+    tied = placed.join(F.broadcast(last.where("taken is not null")), ["pattern", *at])
+    tied = tied.withColumn("chunk", F.shiftright("row", CHUNK_BITS))
+    sums = tied.groupBy("pattern", "taken", "chunk").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("pattern").orderBy("chunk")
+    sums = sums.withColumn("until", F.sum("n").over(before))
+    chunk = sums.where("until >= taken and until - n < taken").select(
+        "pattern", "chunk", (F.col("taken") - F.col("until") + F.col("n")).alias("rank")
     )
+    numbered = tied.join(F.broadcast(chunk), ["pattern", "chunk"]).withColumn(
+        "number", F.row_number().over(Window.partitionBy("pattern", "chunk").orderBy("row"))
+    )
+    rows = numbered.where("number = rank").select("pattern", F.col("row").alias("cut_row"))
+    cut = F.struct(*at, F.coalesce("cut_row", F.lit(2**63 - 1)).alias("row"))
+    last = last.join(rows, "pattern", "left").select("pattern", cut.alias("cut"))
     found = wanted.select("pattern", "rounds").join(last, "pattern", "left")
-    return found.select("pattern", "rounds", "cut_place", "cut_id")
+    return found.select("pattern", "rounds", "cut")
 
 
 def copies(seed: int = SEED) -> Column:
     """How often a document joined with its pattern's cut is taken."""
-    place = _place(seed)
-    own = F.coalesce("doc_id", F.lit(-(2**63)))
-    taken = (place < F.col("cut_place")) | (
-        (place == F.col("cut_place")) & (own <= F.col("cut_id"))
-    )
-    return F.col("rounds") + F.when(taken, 1).otherwise(0)
+    own = F.struct(
+        _place(seed).alias("place"), _id().alias("id"),
+        F.col("size").cast("long").alias("size"), F.col("row").alias("row"),
+    )
+    return F.col("rounds") + F.when(own <= F.col("cut"), 1).otherwise(0)
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, Mix]:
-    """``docs`` (doc_id, size, pattern and whatever else) with ``rounds, cut_place, cut_id`` and
-    ``copies``, and the flow behind them. No row of ``docs`` is shuffled for it."""
-    docs = docs.drop("rounds", "cut_place", "cut_id", "copies")
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "pattern")
+    """``docs`` (a stored table of doc_id, size, pattern, ``tie_breakers`` and whatever else) with
+    ``rounds``, ``cut`` and ``copies``, and the flow behind them. No row of ``docs`` is shuffled for
+    it."""
+    docs = docs.drop("rounds", "cut", "copies")
+    sized = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("size").cast("long").alias("size"),
+        "pattern", "tie", "row",
+    )
     mix, counts = planned(sized)
     # One row per pattern, at most MAX_PATTERNS; a pattern's key is as long as its sources' names.
     found = stored(cuts(sized, mix, counts, seed), "cuts")

@@ -43,8 +43,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
-    rows, _ = language.identified(docs, ~F.coalesce(held_out, F.lit(False)))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    rows, _ = language.identified(docs, ~held_out)
     return rows.select(
         "doc_id",
         held_out.alias("held_out"),
@@ -74,6 +74,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.coalesce(mixing.count_words("text"), F.lit(0)).alias("size"),
         mixing.pattern_key(F.array("source")).alias("pattern"),
+        *mixing.tie_breakers("text"),
     )
     docs = stored(docs, "sizes")
     rows, mix = mixing.mixed(docs)

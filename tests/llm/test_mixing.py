@@ -75,7 +75,9 @@ def test_every_pattern_takes_what_flows_through_it(spark, monkeypatch, bucket_ro
     sets = [["a"], ["b"], ["a", "b"], ["c"], [None], ["c", "a"]]
     rows = [(k, draw.randint(0, 40), sets[k % 7 % 6]) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>")
-    docs = docs.select("*", mixing.pattern_key("sources").alias("pattern"))
+    docs = docs.select(
+        "*", mixing.pattern_key("sources").alias("pattern"), *mixing.tie_breakers("size")
+    )
     got, mix = _mixed(docs)
     assert len(got) == 400
     for pattern, size in mix.patterns.items():
@@ -117,7 +119,6 @@ def test_messy_rows(spark, monkeypatch, messy, cluttered, empty):
     rows = queries.op3_source_mix(spark, "").collect()
     assert len(rows) == messy.count()
     assert {row["taken"] for row in rows if row["doc_id"] in (2, 3, 4)} == {0}
-    assert len({row["copies"] for row in rows if row["doc_id"] == 6}) == 1
     monkeypatch.setattr(queries, "table", lambda *_: empty)
     assert queries.op3_source_mix(spark, "").collect() == []
 
@@ -125,14 +126,49 @@ def test_messy_rows(spark, monkeypatch, messy, cluttered, empty):
 def test_clashing_columns_are_replaced(cluttered):
     docs = cluttered.withColumn("size", F.lit(3)).withColumn(
         "pattern", mixing.pattern_key(F.array("source"))
-    )
+    ).select("*", *mixing.tie_breakers("text"))
     rows, _ = mixing.mixed(docs)
     assert {type(row["copies"]) for row in rows.collect()} == {int}
 
 
+@pytest.mark.parametrize("ids", [lambda k: None, lambda k: 7, lambda k: None if k % 2 else k])
+def test_targets_hold_whatever_the_ids(spark, monkeypatch, ids):
+    """Three sources of 10,000 words in 1,000 documents each, unlike texts."""
+    rows = [(ids(k), f"t{k} " + "word " * 9, f"s{k % 3}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    found = queries.op3_source_mix(spark, "").collect()
+    taken: dict = {}
+    for row in found:
+        taken[row["target"]] = taken.get(row["target"], 0) + row["taken"]
+    assert sorted(round(target) for target in taken) == [8333, 16667, 20000]
+    for target, words in taken.items():
+        assert abs(words - target) <= 5
+
+
+@pytest.mark.parametrize("bucket_rows", [50, 4096])
+def test_equal_rows_are_taken_by_count(spark, monkeypatch, bucket_rows):
+    """Half of a source is one row, repeated; as many of them are taken as fit."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    rows = [(None, "a b c d", "x")] * 900 + [(k, f"a b c {k}", "x") for k in range(900)]
+    rows += [(k, f"a b c {k}", "y") for k in range(5000, 6800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    for seed in range(4):
+        monkeypatch.setattr(mixing, "SEED", seed)
+        monkeypatch.setattr(mixing.mixed, "__defaults__", (seed,))
+        found = queries.op3_source_mix(spark, "").collect()
+        taken: dict = {}
+        for row in found:
+            taken[row["target"]] = taken.get(row["target"], 0) + row["taken"]
+        assert all(abs(words - target) <= 2 for target, words in taken.items())
+        assert len(taken) == 2
+
+
 def test_too_many_patterns_are_refused(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
     docs = spark.createDataFrame([(k, 1, f'["{k}"]') for k in range(3)],
                                  "doc_id long, size long, pattern string")
+    docs = docs.select("*", *mixing.tie_breakers("pattern"))
     with pytest.raises(ValueError, match="more than 2"):
         mixing.mixed(docs)
