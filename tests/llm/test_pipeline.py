@@ -112,7 +112,23 @@ def test_messy_rows_and_empty_table(spark, messy, cluttered, empty):
     assert counts["redact_pii"] == counts["encode_pieces"] == messy.count()
 
 
+def test_near_dedup_loses_no_text(spark):
+    """One id on unlike texts, rows without an id, copies among them."""
+    texts = [" ".join(f"{name}{k}" for k in range(60)) for name in ("ant", "bee", "cat", "dog")]
+    near = texts[1].replace("bee59", "end")
+    rows = [
+        (1, texts[0]), (1, texts[1]), (1, texts[2]), (2, texts[0]), (None, texts[3]),
+        (None, texts[3]), (None, near), (None, texts[2]), (5, texts[3]), (5, texts[3]),
+    ]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    expected = sorted([(1, texts[0]), (1, texts[1]), (1, texts[2]), (5, texts[3])])
+    for parts in (1, 4):
+        found = corpus_pipeline.near_dedup(spark, docs.repartition(parts), FOLDER)
+        assert sorted((row["doc_id"], row["text"]) for row in found.collect()) == expected
+
+
 def test_registry(spark):
     names = list(registry.QUERIES)
     assert names == [name for name in names if re.fullmatch(r"op\d+_\w+|pipeline", name)]
-    assert len(names) == 11 and set(registry.ORACLES) <= set(names)
+    assert len(names) == 14 and set(registry.ORACLES) <= set(names)
