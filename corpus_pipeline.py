@@ -28,15 +28,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id; of rows
-    that repeat an id, one. Rows without an id are no one's duplicate and stay."""
+    """One document of each group of near duplicates stays, the one with the smallest id (null last),
+    of several texts under it the one with the smallest hash. Every row takes part, whatever its id;
+    rows without words are no one's duplicate and stay."""
     small_batches(spark)
-    docs = docs.select(*COLUMNS)
-    named = docs.where("doc_id is not null")
-    kept = neardup.near_duplicates(named).where("kept").select("doc_id").distinct()
-    # A merge join at every size, so that the rows of an id end side by side.
-    chosen = named.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id is null"))
+    # The operator's ids are the rows' own numbers, which a stored table keeps.
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    found = neardup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "row")
+    named = rows.select("row", order.alias("order")).join(
+        found.select(F.col("doc_id").alias("row"), "component_id"), "row"
+    )
+    kept = named.groupBy("component_id").agg(F.min("order")["row"].alias("row")).select("row")
+    # A merge join at every size: what is kept grows with the corpus.
+    return rows.join(kept.hint("merge"), "row", "left_semi").select(*COLUMNS)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +63,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *COLUMNS,
         F.coalesce(mixing.count_words("text"), F.lit(0)).alias("size"),
         mixing.pattern_key(F.array("source")).alias("pattern"),
+        *mixing.tie_breakers("text"),
     )
-    rows, _ = mixing.mixed(sized)
+    rows, _ = mixing.mixed(stored(sized, "sizes"))
     repeated = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
     return rows.select(*COLUMNS, repeated.alias("copy")).select(*COLUMNS)
 
