@@ -7,6 +7,8 @@ jobs for several types can share one.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,7 +36,6 @@ def overwrite_days(
     ``rebalance`` lets adaptive execution give each day files of a sensible size: small
     days share a task, a large one is split over several.
     """
-    spark = rows.sparkSession
     wanted = [as_day(day) for day in days]
     replaced = [f"{by}={day.isoformat()}" for day in wanted]
     chosen = rows.where(F.col(by).isin(wanted))
@@ -42,15 +43,21 @@ def overwrite_days(
         replaced = [f"{day}/EVENT_TYPE={kind}" for day in replaced for kind in types]
         chosen = chosen.where(F.col("EVENT_TYPE").isin(*types))
         then_by = ("EVENT_TYPE", *then_by)
+    if rebalance:
+        chosen = chosen.hint("rebalance", by, *then_by)
+    _swap(chosen, path, replaced, (by, *then_by))
+
+
+def _swap(rows: DataFrame, path: str, replaced: list[str], by: tuple[str, ...]) -> None:
+    """Write the partitions ``replaced``, and remove those of them that got no rows."""
+    spark = rows.sparkSession
     before: dict[str, str] = {}
     for partition in replaced:
         before.update(a_file_of_each(spark, f"{path.rstrip('/')}/{partition}"))
-    if rebalance:
-        chosen = chosen.hint("rebalance", by, *then_by)
     (
-        chosen.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by, *then_by)
+        .partitionBy(*by)
         .parquet(path)
     )
     for partition, file in before.items():
@@ -58,6 +65,16 @@ def overwrite_days(
             remove(spark, partition)
 
 
+def overwrite_hours(rows: DataFrame, path: str, hours: list[dt.datetime]) -> None:
+    """Replace the given hours of a Parquet table by ``landing_date`` and ``landing_hour`` with
+    ``rows``, which are of those hours alone. Other hours of their days stay."""
+    by = ("landing_date", "landing_hour")
+    replaced = [
+        f"landing_date={hour.date().isoformat()}/landing_hour={hour.hour}" for hour in hours
+    ]
+    _swap(rows.hint("rebalance", *by), path, replaced, by)
+
+
 def overwrite_day(
     rows: DataFrame, path: str, day: Day, types: tuple[str, ...] | None = None
 ) -> None:

@@ -91,7 +91,7 @@ def read_json(
     return reader.schema(StructType(fields)).option("recursiveFileLookup", "true").json(paths)
 
 
-def _paths(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
+def paths_of(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
     """A missing directory fails the read, so a late feed is not mistaken for a quiet one.
     ``allow_missing`` names all of them in one glob, which needs only one to exist."""
     if allow_missing:
@@ -99,6 +99,16 @@ def _paths(base: str, dirs: list[str], allow_missing: bool) -> list[str]:
     return [f"{base.rstrip('/')}/{name}" for name in dirs]
 
 
+def hour_of_path(path: Column, layout: Layout = PLAIN) -> tuple[Column, Column]:
+    """Landing date and hour of a file."""
+    parts = F.split(path, "/")
+    if layout.partitioned:
+        day, hour = (F.substring_index(F.element_at(parts, n), "=", -1) for n in (-3, -2))
+        return day.cast("date"), hour.cast("int")
+    year, month, day, hour = (F.element_at(parts, n) for n in range(-5, -1))
+    return F.concat_ws("-", year, month, day).cast("date"), hour.cast("int")
+
+
 def _with_landing_hour(
     spark: SparkSession, base: str, paths: list[str] | str, layout: Layout
 ) -> DataFrame:
@@ -106,15 +116,8 @@ def _with_landing_hour(
     not have the layout fails the job: its rows would belong to no day."""
     if layout.partitioned:
         return read_json(spark, paths, partitioned_below=base)
-    rows = read_json(spark, paths)
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    year, month, day, hour = (F.element_at(parts, n) for n in range(-5, -1))
-    return rows.withColumns(
-        {
-            "landing_date": F.concat_ws("-", year, month, day).cast("date"),
-            "landing_hour": hour.cast("int"),
-        }
-    )
+    date, hour = hour_of_path(F.col("_metadata.file_path"), layout)
+    return read_json(spark, paths).withColumns({"landing_date": date, "landing_hour": hour})
 
 
 def read_landing(
@@ -128,7 +131,7 @@ def read_landing(
 ) -> DataFrame:
     """One day's landing directories with their grace hours, as a single scan."""
     dirs = landing_dirs(day, None, grace_hours, layout)
-    return with_event_time(read_json(spark, _paths(base, dirs, allow_missing), keep_malformed))
+    return with_event_time(read_json(spark, paths_of(base, dirs, allow_missing), keep_malformed))
 
 
 def read_landing_days(
@@ -143,12 +146,19 @@ def read_landing_days(
     """Events of the days first..last in one scan, each of them landed within the grace
     hours around its own day: what ``read_landing`` day by day would keep."""
     dirs = landing_dirs(first, last, grace_hours, layout)
-    rows = _with_landing_hour(spark, base, _paths(base, dirs, allow_missing), layout)
+    rows = _with_landing_hour(spark, base, paths_of(base, dirs, allow_missing), layout)
     events = with_event_time(rows)
     in_time = in_landing_span(F.col("event_date"), grace_hours)
     return on_days(events, first, last).where(in_time)
 
 
+def read_landing_files(
+    spark: SparkSession, base: str, files: list[str], layout: Layout = PLAIN
+) -> DataFrame:
+    """The files named, each row with the date and hour of its directory."""
+    return _with_landing_hour(spark, base, files, layout)
+
+
 def read_landing_hours(
     spark: SparkSession,
     base: str,
@@ -159,7 +169,7 @@ def read_landing_hours(
     """Whole landing days, or all there are, each row with the date and hour of its
     directory."""
     dirs = None if days is None else [layout.day_dir(day) for day in days]
-    paths = base if dirs is None else _paths(base, dirs, allow_missing)
+    paths = base if dirs is None else paths_of(base, dirs, allow_missing)
     return _with_landing_hour(spark, base, paths, layout)
 
 
