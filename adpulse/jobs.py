@@ -13,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from adpulse.functions.days import days_between
+from adpulse.functions.hours import hours_between
 from adpulse.model import GRACE_HOURS, LATENESS, POST, PRODUCT, WALL_IMPRESSION
-from adpulse.plans import daily, insights, streams
+from adpulse.plans import daily, hourly, insights, streams
 from adpulse.sources.landing import PARTITIONED, PLAIN, store_landing
+from adpulse.streaming.changelog import COMPACT_EVERY
 from adpulse.streaming.runs import state_settings, wait
 
 PAIRS = {"product": PRODUCT, "post": POST}
@@ -52,6 +54,16 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("store-landing", "source", "first", "last")
     sub.add_argument("--layout", choices=LAYOUTS, default="plain")
     sub.add_argument("--allow-missing", action="store_true")
+    for name in ("hour-count", "recount-late"):
+        sub = job(name, "source")
+        sub.add_argument("--first", help="hour to start with, e.g. 2021-06-30T05")
+        sub.add_argument("--layout", choices=LAYOUTS, default="plain")
+        if name == "hour-count":
+            sub.add_argument("--every", default="1 minute", help="or 'once' to end when caught up")
+            sub.add_argument("--close-after", type=int, default=hourly.CLOSE_AFTER, help="hours")
+            sub.add_argument("--wait-seconds", type=int, help="give up after this long")
+        else:
+            sub.add_argument("--before", required=True, help="hour to stop at")
     job("compact").add_argument("--of", choices=["count", "rate"], required=True)
     for name in ("stream-count", "stream-rate"):
         sub = job(name, "source")
@@ -63,7 +75,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument(
             "--max-files", type=int, help="files per micro-batch, if they arrive in event order"
         )
-        sub.add_argument("--compact-every", type=int, help="fold the log after so many batches")
+        sub.add_argument(
+            "--compact-every", type=int, default=COMPACT_EVERY, help="batches, 0 for never"
+        )
         sub.add_argument("--state-partitions", type=int, help="fixed by the first start")
     for name in ("daily-count", "stream-count"):
         jobs.choices[name].add_argument("--type", action="append", help="repeat for several")
@@ -104,6 +118,21 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         days = days_between(args.first, args.last)
         layout = LAYOUTS[args.layout]
         store_landing(spark, args.source, args.target, days, layout, args.allow_missing)
+    elif args.job == "recount-late":
+        hours = hours_between(args.first, args.before)
+        found = hourly.recount_late(spark, args.source, args.target, hours, LAYOUTS[args.layout])
+        print(json.dumps([hour.isoformat() for hour in found]))
+    elif args.job == "hour-count":
+        where = (spark, args.source, args.target)
+        how = {
+            "first": args.first,
+            "close_after": args.close_after,
+            "layout": LAYOUTS[args.layout],
+        }
+        if args.every == "once":
+            print(json.dumps({"hours": hourly.catch_up(*where, **how)}))
+        else:
+            wait(hourly.start_hours(*where, args.every, **how), args.wait_seconds)
     elif args.job == "compact":
         fold = streams.compact_counts if args.of == "count" else streams.compact_rates
         fold(spark, args.target)

@@ -13,7 +13,7 @@ from adpulse.operators.selection import on_day_label, on_days
 from adpulse.plans.tables import COUNT_LOG, RATE_LOG
 from adpulse.sources.streams import count_arrivals, stream_events
 from adpulse.streaming.aggregates import daily_counts, daily_rate, joined_daily_rate
-from adpulse.streaming.changelog import compact, latest, read_changes
+from adpulse.streaming.changelog import COMPACT_EVERY, compact, latest, read_changes
 from adpulse.streaming.runs import FINAL_DAYS, start_finals, start_upserts
 
 # The window belongs to the key: as a value it would be a struct to aggregate.
@@ -38,7 +38,7 @@ def stream_daily_counts(
     final: bool = False,
     day: Day | None = None,
     max_files: int | None = None,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Running counts as upserts, or each day once when ``final``. With ``day``, only of
     events whose ``DAY`` text names it."""
@@ -59,7 +59,7 @@ def stream_daily_rate(
     day: Day | None = None,
     final: bool = False,
     max_files: int | None = None,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Running rates as upserts, or each day's two counts once when ``final``, which needs a
     ``lateness``; ``final_rates`` reads those."""
