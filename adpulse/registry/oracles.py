@@ -156,6 +156,33 @@ WHERE event_date = DATE '{GRACE_DAY}'
        OR (landing_date = DATE '{GRACE_DAY}' - INTERVAL 1 DAY AND landing_hour = 23)
        OR (landing_date = DATE '{GRACE_DAY}' + INTERVAL 1 DAY AND landing_hour = 0))
 GROUP BY EVENT_TYPE, landing_date, landing_hour""",
+    "scan_late_hours": f"""
+WITH {EVENTS}
+SELECT landing_date, landing_hour, count(*) AS events FROM ev
+WHERE event_id % 7 = 0 AND landing_hour = 13 GROUP BY landing_date, landing_hour""",
+    "count_late_hour": f"""
+WITH {EVENTS}
+SELECT {K}, EVENT_TYPE, event_date, count(*) AS impressions FROM ev
+WHERE landing_date = event_date
+   OR (landing_date = event_date - INTERVAL 1 DAY AND landing_hour = 23)
+   OR (landing_date = event_date + INTERVAL 1 DAY AND landing_hour = 0)
+GROUP BY {K}, EVENT_TYPE, event_date""",
+    "json_schema_drift": f"""
+WITH {EVENTS},
+lines AS (SELECT *, event_id % 97 = 0 AS cut FROM ev),
+seen AS (
+  SELECT landing_date, landing_hour, 'DEVICE' AS field, 'OBJECT' AS seen, 'unknown' AS problem
+  FROM lines WHERE NOT cut AND event_id % 50 = 0
+  UNION ALL
+  SELECT landing_date, landing_hour, 'DAY', 'BIGINT', 'type'
+  FROM lines WHERE NOT cut AND event_id % 71 = 0
+  UNION ALL
+  SELECT landing_date, landing_hour, 'CAMPAIGN_ID', NULL, 'missing'
+  FROM lines WHERE NOT cut AND (event_id % 89 = 0 OR CAMPAIGN_ID IS NULL)
+  UNION ALL
+  SELECT landing_date, landing_hour, NULL, NULL, 'unparsable' FROM lines WHERE cut
+)
+SELECT *, count(*) AS lines FROM seen GROUP BY ALL""",
     "json_schema_contract": f"""
 WITH {EVENTS}
 SELECT CASE WHEN NOT cut THEN BRAND END AS BRAND,
@@ -242,6 +269,9 @@ SELECT {K}, EVENT_TYPE, previous, "current" FROM ({WALL_CHANGE})""",
 WITH {EVENTS} {_counts(WALL, 'impressions')}
 UNION ALL {_counts('product-click', 'impressions')}""",
     "sink_replace_all": f"WITH {EVENTS} {_counts('post-impression', 'impressions')}",
+    "catalog_replace": f"""
+WITH {EVENTS} {_counts('post-impression', 'impressions')}
+UNION ALL {_counts(WALL, 'impressions')}""",
     "sink_append": f"""
 WITH {EVENTS} {_counts('product-impression', 'impressions')}
 UNION ALL {_counts('post-impression', 'impressions')}""",

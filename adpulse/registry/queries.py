@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.functions.days import as_day, days_between, shift
 from adpulse.functions.event_time import with_event_time
+from adpulse.functions.hours import HOUR, hours_between
 from adpulse.model import (
     ALL_TYPES,
     EVENT_SCHEMA,
@@ -27,14 +28,15 @@ from adpulse.model import (
     Pair,
 )
 from adpulse.operators import changes, counts, rates, selection, unions
-from adpulse.plans import streams
+from adpulse.plans import hourly, streams
 from adpulse.plans.insights import write_count_change, write_rate_change
 from adpulse.plans.tables import COUNT_CHANGE_TABLE, COUNT_TABLE, RATE_CHANGE_TABLE
 from adpulse.registry.dates import DAY, FIRST, GRACE_DAY, LAST, SPLIT
 from adpulse.scratch import scratch_dir
+from adpulse.sinks import catalog
 from adpulse.sinks import daily as sink
 from adpulse.sinks.files import make_dir
-from adpulse.sources import landing
+from adpulse.sources import drift, landing
 from adpulse.sources.tables import table_counts, table_days, table_events, text_events
 from adpulse.streaming import aggregates, runs
 
@@ -127,6 +129,68 @@ def json_schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _late_landing(spark: SparkSession, sf_dir: str) -> tuple[str, str, list[dt.datetime]]:
+    """Land and count all hours but for every 7th event of each day's hour 13, then close the hours
+    and let those events arrive. Returns the landing directory, the counts' and the hours."""
+    base, target = scratch_dir(spark, "landing"), scratch_dir(spark, "hourly")
+    days = _days_of(spark, sf_dir)
+    hours = hours_between(days[0], shift(days[-1], 2)) if days else []
+    late = (F.col("event_id") % 7 == 0) & (F.col("landing_hour") == "13")
+    for step in (~late, late):
+        (
+            table_events(spark, sf_dir)
+            .where(step)
+            .select(*EVENT_SCHEMA.names, "landing_date", "landing_hour")
+            .hint("rebalance", "landing_date", "landing_hour")
+            .write.mode("append")
+            .partitionBy("landing_date", "landing_hour")
+            .json(base)
+        )
+        if step is not late and hours:
+            over = hours[-1] + hourly.CLOSE_AFTER * HOUR
+            hourly.catch_up(
+                spark, base, target, over, first=hours[0], layout=landing.PARTITIONED
+            )
+    return base, target, hours
+
+
+def scan_late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that arrived in closed hours, by hour."""
+    base, target, hours = _late_landing(spark, sf_dir)
+    late = hourly.late_events(spark, base, target, hours, landing.PARTITIONED)
+    return late.drop("files")
+
+
+def count_late_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by landing hour after the late hours, and no others, were counted again."""
+    base, target, hours = _late_landing(spark, sf_dir)
+    hourly.recount_late(spark, base, target, hours, landing.PARTITIONED)
+    return hourly.merged_counts(spark, target)
+
+
+def json_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th line has a field more, every 71st has its day as a number, every 89th lacks its
+    campaign or has it null, every 97th is cut off."""
+    base = scratch_dir(spark, "landing")
+    n = F.col("event_id")
+    more = F.when(n % 50 == 0, F.lit(", \"DEVICE\": {\"os\": \"x\"}")).otherwise(F.lit(""))
+    campaign = F.when(n % 89 != 0, F.col("CAMPAIGN_ID"))
+    names = [name for name in EVENT_SCHEMA.names if name not in ("DAY", "CAMPAIGN_ID")]
+    line = F.to_json(F.struct(*names, campaign.alias("CAMPAIGN_ID")))
+    quote = F.when(n % 71 == 0, F.lit("")).otherwise(F.lit('"'))
+    day = F.concat(F.lit(', "DAY": '), quote, F.col("DAY").cast("int").cast("string"), quote)
+    line = F.concat(F.substring(line, F.lit(1), F.length(line) - 1), day, more, F.lit("}"))
+    cut = F.when(n % 97 == 0, F.substring(line, 1, 10)).otherwise(line)
+    (
+        table_events(spark, sf_dir)
+        .select(cut.alias("value"), "landing_date", "landing_hour")
+        .hint("rebalance", "landing_date", "landing_hour")
+        .write.partitionBy("landing_date", "landing_hour")
+        .text(base)
+    )
+    return drift.schema_drift(spark, base, layout=landing.PARTITIONED)
+
+
 def union_by_name_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table_events(spark, sf_dir).select(*KEYS, "EVENT_TYPE")
     union = unions.union_reads(
@@ -319,6 +383,19 @@ def sink_replace_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read_days(spark, table, COUNT_TABLE)
 
 
+def catalog_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named table in a named database: one metric, then another in its place, then a third
+    beside it."""
+    place = scratch_dir(spark, "database")
+    database = f"daily_{place.split('/')[-2].split('-')[-1]}"
+    catalog.ensure_database(spark, database, place)
+    for kind in (PRODUCT_IMPRESSION, POST_IMPRESSION):
+        rows = _counts(kind, "impressions")(spark, sf_dir)
+        catalog.replace_table(rows, database, "impressions")
+    catalog.append_table(_counts(WALL_IMPRESSION, "impressions")(spark, sf_dir), database, "impressions")
+    return catalog.read_table(spark, database, "impressions").select(*COUNT_TABLE.names)
+
+
 def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two metrics side by side in one named table."""
     table = sink.collection(scratch_dir(spark, "metrics"), "daily", "impressions")
@@ -485,7 +562,10 @@ QUERIES: dict[str, Query] = {
     "scan_with_grace": scan_with_grace,
     "scan_days_with_grace": scan_days_with_grace,
     "scan_landing_table": scan_landing_table,
+    "scan_late_hours": scan_late_hours,
+    "count_late_hour": count_late_hour,
     "json_schema_contract": json_schema_contract,
+    "json_schema_drift": json_schema_drift,
     "union_by_name_missing": union_by_name_missing,
     "event_time_quality": event_time_quality,
     "filter_type_day": filter_type_day,
@@ -518,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "sink_two_types": sink_two_types,
     "sink_replace_all": sink_replace_all,
     "sink_append": sink_append,
+    "catalog_replace": catalog_replace,
     "insight_rate_product": insight_rate_product,
     "insight_count_wall": insight_count_wall,
     "stream_wall_daily": stream_wall_daily,

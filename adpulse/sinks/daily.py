@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from adpulse.functions.days import Day, as_day, days_between
-from adpulse.sinks.files import a_file_of_each, exists, remove
+from adpulse.sinks.files import a_file_of_each, exists, remove, rename
 
 
 def overwrite_days(
@@ -87,25 +87,31 @@ def overwrite_range(
     overwrite_days(rows, path, days_between(first, last), types=types)
 
 
-def _partitions(rows: DataFrame) -> tuple[str, ...]:
+def partitions_of(rows: DataFrame) -> tuple[str, ...]:
     return ("event_date", "EVENT_TYPE") if "EVENT_TYPE" in rows.columns else ("event_date",)
 
 
 def replace_all(rows: DataFrame, path: str) -> None:
-    """Replace the whole table, every day of it."""
-    by = _partitions(rows)
-    (
-        rows.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    """Replace the whole table, every day of it. The new one is written beside it and takes its
+    place when it is complete; if that fails, the old rows stay."""
+    spark, by = rows.sparkSession, partitions_of(rows)
+    path = path.rstrip("/")
+    new, old = f"{path}.next", f"{path}.previous"
+    if not exists(spark, path) and exists(spark, old):  # ended between its two renames
+        rename(spark, old, path)
+    rows.hint("rebalance", *by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(*by).parquet(new)
+    remove(spark, old)
+    if exists(spark, path):
+        rename(spark, path, old)
+    rename(spark, new, path)
+    remove(spark, old)
 
 
 def append(rows: DataFrame, path: str) -> None:
     """Add rows without looking at what is there. A rerun adds them a second time."""
-    by = _partitions(rows)
+    by = partitions_of(rows)
     rows.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 

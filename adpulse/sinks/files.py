@@ -46,6 +46,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def rename(spark: SparkSession, path: str, other: str) -> None:
+    files, target = _locate(spark, path)
+    if not files.rename(target, _locate(spark, other)[1]):
+        raise OSError(f"{path} cannot become {other}")
+
+
 def numbered_dirs(spark: SparkSession, path: str, name: str) -> list[int]:
     """The numbers N for which a directory ``name=N`` exists, in order."""
     entries = [entry.getPath().getName() for entry in _entries(spark, path)]

@@ -217,3 +217,41 @@ def test_days_from_the_landing_table_agree_with_the_files(spark, base, tmp_path)
     columns = (*EVENT_SCHEMA.names, "event_date", "landing_hour")
     assert rows(stored, *columns) == rows(landed, *columns)
     assert "PartitionFilters: [isnotnull(landing_date" in stored._jdf.queryExecution().toString()
+
+
+def test_drift_by_landing_hour(spark, tmp_path):
+    from adpulse.sources.drift import schema_drift
+
+    hour = tmp_path / "in/2021/06/30/05"
+    hour.mkdir(parents=True)
+    whole = (
+        '"BRAND": "a", "WALL_ID": "w", "WALLGROUP_ID": "g", "CAMPAIGN_ID": "c", "EVENT_TYPE": "x", '
+        '"DAY": "30", "ISOTIMESTAMP": "2021-06-30T05:00:00Z"'
+    )
+    (hour / "a.json").write_text(
+        "{" + whole + "}\n"
+        "{" + whole.replace('"30"', "30") + ', "MORE": [1, {"x": 2}], "ODD": null}\n'
+        "{" + whole.replace('"c"', "null") + ', "MORE": 1.5}\n'
+        '{}\nnot json\n[1]\n"text"\n'
+    )
+    quiet = tmp_path / "in/2021/06/30/06"
+    quiet.mkdir()
+    (quiet / "a.json").write_text("{" + whole + "}\n")
+    found = schema_drift(spark, str(tmp_path / "in"))
+    names = [f for f in EVENT_SCHEMA.names if f not in ("DAY", "CAMPAIGN_ID")]
+    expected = [
+        (5, None, None, "unparsable", 3),
+        (5, "CAMPAIGN_ID", None, "missing", 2),
+        (5, "DAY", None, "missing", 1),
+        (5, "DAY", "BIGINT", "type", 1),
+        (5, "MORE", "ARRAY", "unknown", 1),
+        (5, "MORE", "DECIMAL", "unknown", 1),
+        (5, "ODD", None, "unknown", 1),
+        *[(5, name, None, "missing", 1) for name in names],
+    ]
+    got = rows(found, "landing_hour", "field", "seen", "problem", "lines")
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    none = tmp_path / "none/2021/06/30/05"
+    none.mkdir(parents=True)
+    (none / "a.json").write_text("")
+    assert schema_drift(spark, str(tmp_path / "none")).count() == 0

@@ -15,6 +15,7 @@ from adpulse.plans.tables import (
     RATE_CHANGE_TABLE,
     RATE_TABLE,
 )
+from adpulse.sinks import catalog
 from adpulse.sinks.daily import (
     append,
     collection,
@@ -155,3 +156,58 @@ def test_two_types_share_a_table(spark, tmp_path, table):
     overwrite_day(none, table, D30, (WALL_IMPRESSION,))
     found = read_days(spark, table, COUNT_TABLE)
     assert rows(found, "EVENT_TYPE", "impressions") == [(PRODUCT_CLICK, 3)]
+
+
+def _failing(rows):
+    """Rows of which one cannot be computed."""
+    return rows.withColumn(
+        "impressions",
+        F.when(F.col("BRAND") == "b", F.raise_error(F.lit("lost")).cast("long")).otherwise(
+            F.col("impressions")
+        ),
+    )
+
+
+METRIC = "BRAND string, EVENT_TYPE string, event_date date, impressions long"
+
+
+def _metric(spark, n):
+    rows = [(brand, "x", dt.date(2021, 6, 29), n) for brand in "ab"]
+    return spark.createDataFrame(rows, METRIC)
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    replace_all(_metric(spark, 1), path)
+    with pytest.raises(Exception, match="lost"):
+        replace_all(_failing(_metric(spark, 2)), path)
+    read = spark.read.parquet(path).select("BRAND", "impressions")
+    assert rows(read) == [("a", 1), ("b", 1)]
+    replace_all(_metric(spark, 3), path)
+    assert rows(spark.read.parquet(path).select("BRAND", "impressions")) == [("a", 3), ("b", 3)]
+    # Ended between its two renames.
+    (tmp_path / "table").rename(tmp_path / "table.previous")
+    replace_all(_metric(spark, 4), path)
+    assert rows(spark.read.parquet(path).select("BRAND", "impressions")) == [("a", 4), ("b", 4)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["table"]
+
+
+def test_a_failed_replacement_leaves_the_named_table(spark, tmp_path):
+    catalog.ensure_database(spark, "metrics_test", f"{tmp_path}/db")
+    try:
+        read = ["BRAND", "impressions"]
+        catalog.replace_table(_metric(spark, 1), "metrics_test", "daily")
+        with pytest.raises(Exception, match="lost"):
+            catalog.replace_table(_failing(_metric(spark, 2)), "metrics_test", "daily")
+        assert rows(catalog.read_table(spark, "metrics_test", "daily"), *read) == [("a", 1), ("b", 1)]
+        catalog.replace_table(_metric(spark, 3), "metrics_test", "daily")
+        catalog.append_table(_metric(spark, 4).where("BRAND = 'a'"), "metrics_test", "daily")
+        found = [("a", 3), ("a", 4), ("b", 3)]
+        assert rows(catalog.read_table(spark, "metrics_test", "daily"), *read) == found
+        spark.sql("ALTER TABLE metrics_test.daily RENAME TO metrics_test.daily__previous")
+        assert rows(catalog.read_table(spark, "metrics_test", "daily"), *read) == found
+        catalog.recover(spark, "metrics_test", "daily")
+        assert [t.name for t in spark.catalog.listTables("metrics_test")] == ["daily"]
+        assert rows(catalog.read_table(spark, "metrics_test", "daily"), *read) == found
+    finally:
+        spark.sql("DROP DATABASE metrics_test CASCADE")
