@@ -39,7 +39,7 @@ from adpulse.llm.store import setting, stored
 
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 21
 #: Links of a group above which its distinct ids are counted before they are paired.
 WIDE_GROUP = 1 << 12
 
@@ -61,14 +61,13 @@ class Tokenizers:
     def __init__(self, values: dict):
         self.coder = bpe.Coder(values, plain=True)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=values["model"])
-        self.a_bytes = values["bytes_of"]
         self.b_bytes = [
             bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(k) else
             piece.replace(MARK, " ").encode()
             for k in range(values["pieces"])
             for piece in [self.pieces.id_to_piece(k)]
         ]
-        self.a_sizes = np.array([len(b) for b in self.a_bytes], np.int64)
+        self.a_sizes = np.array([len(b) for b in values["bytes_of"]], np.int64)
         self.b_sizes = np.array([len(b) for b in self.b_bytes], np.int64)
 
     def of(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -78,10 +77,9 @@ class Tokenizers:
         for text, second in zip(texts, self.pieces.encode(texts, num_threads=1), strict=True):
             whole = b" " + text.encode("utf-8", "surrogatepass")
             first = np.frombuffer(self.coder.encode(" " + text), np.int32)
-            same = (
-                b"".join([self.a_bytes[k] for k in first.tolist()]) == whole
-                and b"".join([self.b_bytes[k] for k in second]) == whole
-            )
+            # A byte-level vocabulary has every byte, so only lengths could tell.
+            same = int(self.a_sizes[first].sum()) == len(whole)
+            same = same and b"".join([self.b_bytes[k] for k in second]) == whole
             a.append(first if same else none)
             b.append(np.array(second, np.int32) if same else none)
         return a, b
@@ -235,7 +233,7 @@ def block_rows(
             *[pa.array(np.diff(part)) for part in (a.bounds, b.bounds, group_bounds, link_sums)],
             _binaries(flat, cuts, pa.string()),
             _binaries(steps.astype(np.int32), found.bounds, pa.binary()),
-            _binaries(found.times.astype(np.int64), found.bounds, pa.binary()), nothing, nothing,
+            _binaries(found.times.astype(np.int32), found.bounds, pa.binary()), nothing, nothing,
         ],
         NAMES,
     )
@@ -326,7 +324,7 @@ def _summed(texts: pa.Table, replies: pa.Table) -> pa.Table:
     sums, bests = [], []
     for pairs, times in zip(texts["pairs"], texts["times"], strict=True):
         at = np.cumsum(np.frombuffer(pairs.as_buffer(), np.int32))
-        many = np.frombuffer(times.as_buffer(), np.int64)
+        many = np.frombuffer(times.as_buffer(), np.int32)
         sums.append(int(n[at] @ many))
         bests.append(int(best[at] @ many))
     return pa.table(

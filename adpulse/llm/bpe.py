@@ -178,7 +178,11 @@ class Coder:
         return merged(symbols, self.vocabulary["merges"], self.vocabulary["width"])
 
     def _ordinary(self, text: str) -> bytes:
-        plain = text.isascii() or self.later(text) is None
+        try:
+            text.encode("latin-1")  # the quickest way to see that none of them occurs
+            plain = True
+        except UnicodeEncodeError:
+            plain = self.later(text) is None
         units = self.units(text) if plain else self.plain_units(text)
         return b"".join(map(self.known.__getitem__, units))
 
