@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from adpulse.functions.days import Day, shift
 from adpulse.operators.changes import compare_rates, count_change
 from adpulse.plans.tables import COUNT_TABLE, RATE_TABLE
+from adpulse.sinks.catalog import read_table, replace_table
 from adpulse.sinks.daily import overwrite_day, read_days
 
 
@@ -21,3 +22,18 @@ def write_rate_change(spark: SparkSession, rates: str, target: str, day: Day) ->
 def write_count_change(spark: SparkSession, counts: str, target: str, day: Day) -> None:
     stored = read_days(spark, counts, COUNT_TABLE, shift(day, -1), day)
     overwrite_day(count_change(stored, day, count="impressions"), target, day)
+
+
+def replace_rate_change(
+    spark: SparkSession, database: str, rates: str, target: str, day: Day
+) -> None:
+    """``write_rate_change`` between named tables. If the rates are laid out by key, no row of them
+    is moved to be compared."""
+    replace_table(compare_rates(read_table(spark, database, rates), day), database, target)
+
+
+def replace_count_change(
+    spark: SparkSession, database: str, counts: str, target: str, day: Day
+) -> None:
+    stored = read_table(spark, database, counts)
+    replace_table(count_change(stored, day, count="impressions"), database, target)

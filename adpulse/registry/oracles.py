@@ -277,6 +277,8 @@ WITH {EVENTS} {_counts('product-impression', 'impressions')}
 UNION ALL {_counts('post-impression', 'impressions')}""",
     "insight_rate_product": _rate_change("product"),
     "insight_count_wall": WALL_CHANGE,
+    "insight_rate_by_key": _rate_change("product"),
+    "insight_count_by_key": WALL_CHANGE,
     "stream_wall_daily": WALL_COUNTS,
     "stream_wall_final": f"""
 WITH {EVENTS}, daily AS ({_counts(WALL, "impressions")})

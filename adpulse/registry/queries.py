@@ -29,7 +29,12 @@ from adpulse.model import (
 )
 from adpulse.operators import changes, counts, rates, selection, unions
 from adpulse.plans import hourly, streams
-from adpulse.plans.insights import write_count_change, write_rate_change
+from adpulse.plans.insights import (
+    replace_count_change,
+    replace_rate_change,
+    write_count_change,
+    write_rate_change,
+)
 from adpulse.plans.tables import COUNT_CHANGE_TABLE, COUNT_TABLE, RATE_CHANGE_TABLE
 from adpulse.registry.dates import DAY, FIRST, GRACE_DAY, LAST, SPLIT
 from adpulse.scratch import scratch_dir
@@ -383,12 +388,18 @@ def sink_replace_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read_days(spark, table, COUNT_TABLE)
 
 
-def catalog_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A named table in a named database: one metric, then another in its place, then a third
-    beside it."""
+def _database(spark: SparkSession) -> str:
+    """A new database in a folder of its own."""
     place = scratch_dir(spark, "database")
     database = f"daily_{place.split('/')[-2].split('-')[-1]}"
     catalog.ensure_database(spark, database, place)
+    return database
+
+
+def catalog_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named table in a named database: one metric, then another in its place, then a third
+    beside it."""
+    database = _database(spark)
     for kind in (PRODUCT_IMPRESSION, POST_IMPRESSION):
         rows = _counts(kind, "impressions")(spark, sf_dir)
         catalog.replace_table(rows, database, "impressions")
@@ -422,6 +433,27 @@ def insight_count_wall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read_days(spark, target, COUNT_CHANGE_TABLE)
 
 
+#: Buckets of the tables that are laid out by key.
+BUCKETS = 16
+
+
+def insight_rate_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From daily rates in a table laid out by key, half of it appended, to a named comparison."""
+    database, half = _database(spark), F.col("event_date") <= as_day(SPLIT)
+    daily = _rate(PRODUCT)(spark, sf_dir)
+    catalog.replace_table(daily.where(half), database, "rates", BUCKETS)
+    catalog.append_table(daily.where(~half), database, "rates", BUCKETS)
+    replace_rate_change(spark, database, "rates", "change", DAY)
+    return catalog.read_table(spark, database, "change").select(*RATE_CHANGE_TABLE.names)
+
+
+def insight_count_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _database(spark)
+    catalog.replace_table(count_wall_daily(spark, sf_dir), database, "counts", BUCKETS)
+    replace_count_change(spark, database, "counts", "change", DAY)
+    return catalog.read_table(spark, database, "change").select(*COUNT_CHANGE_TABLE.names)
+
+
 # --- streams -------------------------------------------------------------------------
 
 
@@ -601,6 +633,8 @@ QUERIES: dict[str, Query] = {
     "catalog_replace": catalog_replace,
     "insight_rate_product": insight_rate_product,
     "insight_count_wall": insight_count_wall,
+    "insight_rate_by_key": insight_rate_by_key,
+    "insight_count_by_key": insight_count_by_key,
     "stream_wall_daily": stream_wall_daily,
     "stream_wall_final": stream_wall_final,
     "stream_wall_upsert": stream_wall_upsert,

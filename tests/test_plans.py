@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from adpulse.functions.event_time import with_event_time
 from adpulse.model import KEYS, PRODUCT, PRODUCT_IMPRESSION, WALL_IMPRESSION
-from adpulse.operators.changes import compare_rates
+from adpulse.operators.changes import compare_rates, join_days, regroup
 from adpulse.operators.counts import event_counts
-from adpulse.operators.rates import rate
+from adpulse.operators.rates import RATE, rate
 from adpulse.operators.selection import of_type, on_days
 from adpulse.plans.streams import COUNT_KEY
 from adpulse.plans.tables import RATE_TABLE
 from adpulse.registry.queries import QUERIES
+from adpulse.sinks import catalog
 from adpulse.sinks.daily import overwrite_range, read_days
 from adpulse.sources.landing import read_json, read_landing_table
 from adpulse.sources.tables import table_events
@@ -136,7 +137,7 @@ def test_latest_is_one_hash_aggregation(spark, tmp_path):
 
 def test_no_query_leaves_the_jvm(spark):
     for name, query in QUERIES.items():
-        if name.startswith(("stream_", "sink_", "insight_", "scan_", "json_")):
+        if name.startswith(("stream_", "sink_", "insight_", "scan_", "json_", "catalog_")):
             continue  # their frames only read back what they wrote
         text = plan(query(spark, SF_DIR))
         assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoop", text), name
@@ -181,3 +182,27 @@ def test_a_hot_user_when_the_customers_are_too_large_to_broadcast(spark, tmp_pat
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_days_laid_out_by_key_are_compared_without_an_exchange(spark, tmp_path):
+    catalog.ensure_database(spark, "plans_test", f"{tmp_path}/db")
+    try:
+        daily = rate(table_events(spark, SF_DIR, PRODUCT.types), PRODUCT)
+        expected = rows(compare_rates(daily, "2024-01-30"), *KEYS, "previous", "current")
+        first = daily.where("event_date < '2024-01-30'")
+        catalog.replace_table(first, "plans_test", "rates", 8)
+        catalog.append_table(daily.where("event_date = '2024-01-30'"), "plans_test", "rates", 8)
+        stored = catalog.read_table(spark, "plans_test", "rates")
+        compared = compare_rates(stored, "2024-01-30")
+        assert "Exchange" not in plan(compared)
+        assert rows(compared, *KEYS, "previous", "current") == expected
+        sides = [
+            on_days(stored, day).select(*KEYS, F.col(RATE).alias(name))
+            for day, name in (("2024-01-29", "previous"), ("2024-01-30", "current"))
+        ]
+        joined = join_days(sides[0], sides[1].hint("merge"))
+        assert "Exchange" not in plan(joined)
+        assert rows(regroup(joined), *KEYS, "previous", "current") == expected
+        assert "PushedFilters: [IsNotNull(event_date)" in formatted(compared)
+    finally:
+        spark.sql("DROP DATABASE plans_test CASCADE")
