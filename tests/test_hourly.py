@@ -200,3 +200,18 @@ def test_only_the_hours_needed_are_read(spark, base, tmp_path):
     plan = hourly.merged_counts(spark, out, first="2021-06-30")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(landing_date" in plan
     assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+
+
+def test_jobs(spark, base, tmp_path, capsys):
+    from adpulse.jobs import run
+
+    where = ["--source", str(base), "--target", f"{tmp_path}/out"]
+    first = hourly.this_hour() - 3 * HOUR
+    land(base, first, many(4, A, WALL_IMPRESSION, f"{first.isoformat()}Z"))
+    run(spark, ["hour-count", *where, "--first", first.isoformat(), "--every", "once"])
+    assert '{"hours": 1}' in capsys.readouterr().out
+    land(base, first, many(2, A, WALL_IMPRESSION, f"{first.isoformat()}Z"), "late")
+    run(spark, ["recount-late", *where, "--first", first.isoformat(), "--before", hourly.this_hour().isoformat()])
+    assert first.isoformat() in capsys.readouterr().out
+    merged = hourly.merged_counts(spark, f"{tmp_path}/out", grace_hours=None)
+    assert rows(merged, "event_date", "impressions") == [(first.date(), 6)]
