@@ -8,8 +8,9 @@ calibrated for precision on rows the trees have not seen, selects what is added.
 
 Nothing is annotated, so the trees learn from the base: a base span is a positive example, and so
 is each way of disguising it (sign left out, separators replaced, written out) in the same context;
-a proposal that fails the checks is a negative one. Examples come from a bounded sample of
-``SAMPLE_DOCS`` documents, drawn by hashed id; every document is searched.
+a proposal that fails the checks is a negative one. Examples come from every document. Equal ones
+become one row with their count, and what is learned from these rows is spread over tasks by their
+number; nothing but sums, the trees and the thresholds reaches the driver.
 
 The trees become literal arrays of nodes and one SQL expression that walks them, so all spans of a
 text are found within its row: no shuffle, no join, no code outside the JVM, and a plan as large for
@@ -24,19 +25,21 @@ steps (``pii``, ``pii_text``, ``pii_proposed``) are replaced.
 from __future__ import annotations
 
 import re
+from math import isqrt
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 24
-SAMPLE_DOCS = 20_000
 TREES, DEPTH = 12, 4
 PRECISION = 0.98
+EXAMPLES_PER_TASK = 50_000
+BINS = 32
 
 # The base patterns. Each match starts where a search from left to right finds it;
 # the look-behinds only spare starts within a run that has failed as a whole.
@@ -324,49 +327,63 @@ def examples(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.select(F.inline(F.concat(*parts)))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees | None:
-    """Trees and thresholds from a bounded sample of ``docs`` (doc_id, text)."""
-    total = docs.count()
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30))
-    drawn = docs.where(place < int((1 << 30) * min(1.0, sample_docs / max(total, 1))))
-    rows = examples(drawn.limit(2 * sample_docs)).withColumn(
-        "fold", F.pmod(F.xxhash64("values", "label"), F.lit(4))
-    )
+def fit(docs: DataFrame) -> Trees | None:
+    """Trees and thresholds from the examples of all ``docs`` (text)."""
+    rows = examples(docs).withColumn("fold", F.pmod(F.xxhash64("values", "label"), F.lit(4)))
     rows = rows.groupBy("kind", "values", "label", "fold").agg(
         F.count("*").cast("double").alias("weight")
     )
     rows = rows.withColumn("features", array_to_vector("values")).persist()
     try:
-        seen = {row["label"] for row in rows.where("fold > 0").select("label").distinct().collect()}
-        if len(seen) < 2:
+        learned = rows.where("fold > 0")
+        counts = [row["count"] for row in learned.groupBy("label").count().collect()]
+        if len(counts) < 2:
             return None
         learner = GBTClassifier(
             featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES,
-            maxDepth=DEPTH, stepSize=0.3, seed=7,
+            maxDepth=DEPTH, maxBins=_bins(sum(counts)), stepSize=0.3, seed=7,
         )
-        text = learner.fit(rows.where("fold > 0").coalesce(1)).toDebugString
+        tasks = -(-sum(counts) // EXAMPLES_PER_TASK)
+        dealt = learned.repartition(tasks, "values", "label").sortWithinPartitions("values", "label")
+        text = learner.fit(dealt).toDebugString
         judged = rows.where("fold = 0").select(
             "kind", "label", "weight", probability(text, F.col("values")).alias("p")
         )
-        return Trees(text, _thresholds(judged.collect()))
+        return Trees(text, _thresholds(judged))
     finally:
         rows.unpersist()
 
 
-def _thresholds(rows: list) -> dict[str, float]:
-    """Per kind the lowest probability, 0.5 at least, from which enough are positive."""
-    found = {}
-    for kind in KINDS:
-        own = sorted(((r["p"], r["label"], r["weight"]) for r in rows if r["kind"] == kind), reverse=True)
-        good = total = 0.0
-        for k, (p, label, weight) in enumerate(own):
-            if p < 0.5:
-                break
-            good, total = good + label * weight, total + weight
-            last_of_ties = k + 1 == len(own) or own[k + 1][0] < p
-            if last_of_ties and good >= PRECISION * total:
-                found[kind] = p
-    return found
+def _bins(examples: int) -> int:
+    """Bins of a feature. The learner takes its limits from a sample of as many rows as the square
+    of the bins, 10,000 at least; so many that this is all of them, up to 2^31 different examples."""
+    return min(max(BINS, isqrt(max(examples - 1, 0)) + 1), isqrt((1 << 31) - 1))
+
+
+def _thresholds(judged: DataFrame, cells: int = 1024) -> dict[str, float]:
+    """Per kind the lowest probability, 0.5 at least, from which enough are positive. Sums over all
+    higher ones are those of whole cells, a few numbers per kind, and those within the own cell."""
+
+    def sums(rows: DataFrame, *keys: str | Column) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum("good").alias("good"), F.sum("total").alias("total"))
+
+    def running(window) -> list[Column]:
+        return [F.sum(c).over(window).alias(f"{c}_above") for c in ("good", "total")]
+
+    rows = judged.where("p >= 0.5").select(
+        "kind", "p", F.floor(F.col("p") * cells).alias("cell"),
+        (F.col("label") * F.col("weight")).alias("good"), F.col("weight").alias("total"),
+    )
+    rows = sums(rows, "kind", "cell", "p")
+    higher = Window.partitionBy("kind").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = sums(rows, "kind", "cell").select("kind", "cell", *running(higher)).na.fill(0.0)
+    own = Window.partitionBy("kind", "cell").orderBy(F.desc("p"))
+    rows = rows.select("kind", "cell", "p", F.sum("good").over(own).alias("good"),
+                       F.sum("total").over(own).alias("total"))
+    good, total = (F.col(c) + F.col(f"{c}_above") for c in ("good", "total"))
+    enough = rows.join(whole, ["kind", "cell"]).where(good >= PRECISION * total)
+    found = {r["kind"]: r["p"] for r in enough.groupBy("kind").agg(F.min("p").alias("p")).collect()}
+    return {kind: found[kind] for kind in KINDS if kind in found}
 
 
 # --- spans and redaction ---------------------------------------------------------------

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -179,3 +180,68 @@ def test_trees_do_not_fill_the_plan(spark, trees, documents):
         plan = pii.found_spans(documents, model)._jdf.queryExecution().optimizedPlan().toString()
         sizes.append(plan.count("CASE WHEN"))
     assert sizes[0] == sizes[1]
+
+
+def test_every_document_is_learned_from(spark):
+    """Of 60,000 texts the only ones with examples are those that a draw of 20,000 leaves out."""
+    place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30))
+    shown = F.concat(
+        F.lit("mail joe"), "id", F.lit("@example.org or 10.0."), F.col("id") % 250, F.lit(".7, not 123-4567-"),
+        F.col("id") % 10,
+    )
+    held = (place > 1 << 29) & (F.col("id") % 50 == 0)
+    docs = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.when(held, shown).otherwise(F.lit("none")).alias("text")
+    )
+    trees = pii.fit(docs)
+    assert trees and trees.thresholds.keys() == {"email", "ip"}
+    rows = _found(spark, ["write to ann.lee (at) example (dot) com", "call 123-4567-5 now"], trees)
+    assert "email:" in rows[0]["spans"] and rows[1]["spans"] == ""
+
+
+def test_many_different_examples(spark, monkeypatch):
+    """More different examples than a task takes, and than the learner itself looks at by default:
+    ten flags, each of one example that is frequent, are all found, whatever the tasks."""
+    many, copies = 24_000, 500
+
+    def made(docs):
+        flag = F.when(F.col("id") >= many, F.floor((F.col("id") - many) / copies))
+        flags = [F.coalesce((flag == k).cast("double"), F.lit(0.0)) for k in range(10)]
+        place = F.coalesce(flag * 1_900 + 11, F.col("id")).cast("double")
+        return docs.select(
+            F.lit("email").alias("kind"),
+            F.array(F.lit(0.0), place, *[F.lit(0.0)] * 6, *flags).alias("values"),
+            flag.isNull().cast("double").alias("label"),
+        )
+
+    docs = spark.range(many + 10 * copies)
+    fold = F.pmod(F.xxhash64("values", "label"), F.lit(4))
+    learned = made(docs).where((F.col("label") == 0) & (fold > 0)).select("values").distinct()
+    expected = {row["values"].index(1.0) for row in learned.collect()}
+    assert len(expected) > 4
+    monkeypatch.setattr(pii, "examples", made)
+    for size in (pii.EXAMPLES_PER_TASK, 5_000):
+        monkeypatch.setattr(pii, "EXAMPLES_PER_TASK", size)
+        used = {int(k) for k in re.findall(r"feature (\d+) <=", pii.fit(docs).text)}
+        assert expected <= used
+
+
+def test_thresholds_match_a_walk_over_all_rows(spark):
+    draw = random.Random(5)
+    rows = []
+    for kind, share in (("email", 0.99), ("ip", 0.97), ("card", 0.5), ("phone", 0.985)):
+        for _ in range(3000):
+            p = draw.choice([draw.random(), round(draw.random(), 2)])
+            good = draw.random() < (share if p > 0.5 else 0.3)
+            rows.append((kind, float(good), float(draw.randint(1, 9)), p))
+    expected = {}
+    for kind in PATTERNS:
+        own = [(p, label, weight) for k, label, weight, p in rows if k == kind and p >= 0.5]
+        for p in {p for p, _, _ in own}:
+            above = [(label * weight, weight) for q, label, weight in own if q >= p]
+            if sum(g for g, _ in above) >= 0.98 * sum(w for _, w in above):
+                expected[kind] = min(p, expected.get(kind, 1.0))
+    judged = spark.createDataFrame(rows, "kind string, label double, weight double, p double")
+    assert pii._thresholds(judged) == expected
+    assert pii._thresholds(judged, cells=2) == expected
+    assert expected.keys() >= {"email"} and "card" not in expected
